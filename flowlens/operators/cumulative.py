@@ -59,3 +59,22 @@ def running_totals(counts: DataFrame, score: str, measures: Sequence[str], by: S
     return (cells.join(starts, [*by, "_cell"])
             .select(*counts.columns, *[(F.col(f"_{m}_start") + F.sum(m).over(inside)).alias(f"{m}_upto")
                                        for m in measures]))
+
+
+def with_next(counts: DataFrame, score: str, measures: Sequence[str], by: Sequence[str] = (),
+              bounds: Sequence[float] = (), descending: bool = True) -> DataFrame:
+    """Add ``<measure>_next``: the measure at the next score, null at the last one."""
+    direction = F.desc if descending else F.asc
+    cells = counts.withColumn("_cell", cell_of(F.col(score), bounds))
+    inside = Window.partitionBy(*by, "_cell").orderBy(direction(score))
+    following = cells.select("*", *[F.lead(m).over(inside).alias(f"{m}_next") for m in measures])
+    if not bounds:
+        return following.drop("_cell")
+    # The last score of a cell is followed by the first score of the next cell in use.
+    opening = F.max_by if descending else F.min_by
+    firsts = cells.groupBy(*by, "_cell").agg(opening(F.struct(*measures), F.col(score)).alias("_first"))
+    over_cells = Window.partitionBy(*(by or [F.lit(0)])).orderBy(direction("_cell"))
+    after = small(firsts.select(*by, "_cell", F.lead("_first").over(over_cells).alias("_after")))
+    return (following.join(after, [*by, "_cell"])
+            .select(*counts.columns, *[F.coalesce(f"{m}_next", F.col("_after")[m]).alias(f"{m}_next")
+                                       for m in measures]))

@@ -30,8 +30,9 @@ def alert_stats(alerts: DataFrame) -> DataFrame:
 
 def dashboard_stats(analyses: DataFrame, alerts: DataFrame) -> DataFrame:
     """Both summaries in one row."""
-    left = analysis_stats(analyses).withColumn("_one", F.lit(1))
-    return left.join(alert_stats(alerts).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    counted = alert_stats(alerts)
+    return analysis_stats(analyses).select(
+        "*", *[counted.select(c).scalar().alias(c) for c in ("total_alerts", "new_alerts")])
 
 
 def batch_summary(results: DataFrame, batch: Sequence[str] = ("batch_id",)) -> DataFrame:

@@ -51,16 +51,20 @@ def match_counts(predictions: DataFrame, truth: DataFrame, features: Sequence[st
 
 def match_rows(predictions: DataFrame, truth: DataFrame, features: Sequence[str], label: str,
                outputs: Sequence[str] = ("prediction",)) -> DataFrame:
-    """The joined rows themselves; large groups of copies unfold in pieces over many tasks."""
+    """The joined rows themselves; large groups of copies unfold in pieces over many tasks.
+
+    Two groups of n copies give n² rows, as any join of them does. Metrics need only the
+    counts: use ``match_counts`` for them.
+    """
     return repeat_rows(match_counts(predictions, truth, features, label, outputs), "pairs")
 
 
 def coverage(predictions: DataFrame, matched: DataFrame) -> DataFrame:
     """One row (predictions, matched, complete): joined rows against prediction rows."""
-    rows = predictions.agg(F.count(F.lit(1)).alias("predictions"), F.lit(1).alias("_one"))
-    pairs = matched.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("matched"), F.lit(1).alias("_one"))
-    return rows.join(pairs, "_one").select("predictions", "matched",
-                                           (F.col("predictions") == F.col("matched")).alias("complete"))
+    pairs = matched.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("matched"))
+    rows = predictions.agg(F.count(F.lit(1)).alias("predictions"))
+    return (rows.withColumn("matched", pairs.scalar())
+            .withColumn("complete", F.col("predictions") == F.col("matched")))
 
 
 def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -137,22 +137,37 @@ def mean_auc(per_label: DataFrame) -> DataFrame:
     return per_label.agg(F.when(F.count("auc") == F.count(F.lit(1)), F.avg("auc")).alias("auc"))
 
 
-def roc_points(counts: DataFrame, by: Sequence[str] = (), bounds: Sequence[float] | None = None) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score."""
+def roc_points(counts: DataFrame, by: Sequence[str] = (), bounds: Sequence[float] | None = None,
+               drop_intermediate: bool = False) -> DataFrame:
+    """(threshold, fpr, tpr) at every distinct score.
+
+    ``drop_intermediate`` leaves out points on a straight line between their neighbours.
+    """
     cells = cumulative.cell_bounds(counts, "score") if bounds is None else bounds
     upto = cumulative.running_totals(counts, "score", ["pos", "neg"], by, cells)
+    if drop_intermediate:
+        upto = _corners(upto, by, cells)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     if by:
         joined = upto.join(totals, list(by))
         pos, neg = F.col("_pos"), F.col("_neg")
     else:
-        pos, neg = (F.lit(v) for v in totals.first())
         joined = upto
+        pos, neg = totals.select("_pos").scalar(), totals.select("_neg").scalar()
     return joined.select(*by, F.col("score").alias("threshold"),
                          (F.col("neg_upto") / F.when(neg > 0, neg)).alias("fpr"),
                          (F.col("pos_upto") / F.when(pos > 0, pos)).alias("tpr"))
 
 
+def _corners(upto: DataFrame, by: Sequence[str], cells: Sequence[float]) -> DataFrame:
+    """First and last point, and those where the curve changes direction."""
+    stepped = cumulative.with_next(upto, "score", ["pos", "neg"], by, cells)
+    first = ((F.col("pos_upto") == F.col("pos")) & (F.col("neg_upto") == F.col("neg")))
+    last = F.col("pos_next").isNull()
+    turns = (F.col("pos") != F.col("pos_next")) | (F.col("neg") != F.col("neg_next"))
+    return stepped.filter(first | last | turns)
+
+
 def summary_over_folds(folds: DataFrame, value: str = "auc") -> DataFrame:
     """Mean and population deviation over the folds."""
     return folds.agg(F.avg(value).alias(f"{value}_mean"), F.stddev_pop(value).alias(f"{value}_std"),
@@ -168,7 +183,5 @@ def metrics_document(counts: DataFrame, auc: DataFrame | None = None) -> DataFra
     rows = confusion_grid(counts).select("y_true", F.collect_list("n").over(in_row).alias("cells")).distinct()
     matrix = rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("y_true", "cells"))),
                                   lambda r: r["cells"]).alias("confusion_matrix"))
-    document = report.withColumn("_one", F.lit(1)).join(matrix.withColumn("_one", F.lit(1)), "_one")
-    if auc is not None:
-        document = document.join(auc.select("auc", F.lit(1).alias("_one")), "_one")
-    return document.drop("_one")
+    document = report.withColumn("confusion_matrix", matrix.scalar())
+    return document.withColumn("auc", auc.select("auc").scalar()) if auc is not None else document
