@@ -19,7 +19,12 @@ MOST_CELLS = 4096
 
 
 def cell_bounds(df: DataFrame, score: str, cell_values: int = CELL_VALUES) -> list[float]:
-    """Upper bounds of all cells but the last; empty when one cell is enough."""
+    """Upper bounds of all cells but the last; empty when one cell is enough.
+
+    ``df`` should be a stored table: it is counted, sketched and read again.
+    """
+    if df.count() <= cell_values:
+        return []
     distinct = df.agg(F.approx_count_distinct(score)).first()[0]
     cells = min(MOST_CELLS, -(-distinct // cell_values))
     if cells <= 1:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.labels import ANOMALY, NORMAL
 from flowlens.operators import cumulative
+from flowlens.session import stage
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -112,9 +113,17 @@ def score_counts(df: DataFrame, score: str, positive: Column, by: Sequence[str]
             .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")))
 
 
+def _ordered_input(counts: DataFrame, bounds: Sequence[float] | None) -> tuple[DataFrame, Sequence[float]]:
+    """Counts and their cells. The counts are stored first: whatever scored the rows runs once."""
+    if bounds is not None:
+        return counts, bounds
+    stored = stage(counts, "scores")
+    return stored, cumulative.cell_bounds(stored, "score")
+
+
 def roc_auc(counts: DataFrame, by: Sequence[str] = (), bounds: Sequence[float] | None = None) -> DataFrame:
     """Area under the ROC curve as a rank statistic, ties counted half; null without both classes."""
-    cells = cumulative.cell_bounds(counts, "score") if bounds is None else bounds
+    counts, cells = _ordered_input(counts, bounds)
     ranked = cumulative.running_totals(counts, "score", ["neg"], by, cells, descending=False)
     pos, neg = F.sum(F.col("pos").cast("double")), F.sum(F.col("neg").cast("double"))
     beaten = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2.0))
@@ -143,7 +152,7 @@ def roc_points(counts: DataFrame, by: Sequence[str] = (), bounds: Sequence[float
 
     ``drop_intermediate`` leaves out points on a straight line between their neighbours.
     """
-    cells = cumulative.cell_bounds(counts, "score") if bounds is None else bounds
+    counts, cells = _ordered_input(counts, bounds)
     upto = cumulative.running_totals(counts, "score", ["pos", "neg"], by, cells)
     if drop_intermediate:
         upto = _corners(upto, by, cells)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.functions import text
-from flowlens.session import small
+from flowlens.session import small, stage
 
 BUCKET_ROWS = 500_000
 PIECE_ROWS = 100_000
@@ -75,7 +75,8 @@ class Ranked:
         # A struct compares its null fields as equal: missing labels form a group of their own.
         members = [text.col(c).alias(f"g{i}") for i, c in enumerate(group)] or [F.lit(0).alias("all")]
         if self.folded:
-            rows = df.groupBy(*[text.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_weight"))
+            # Folding shuffles every column, so it is done once and stored.
+            rows = stage(df.groupBy(*[text.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_weight")), "folded")
         else:
             rows = df.withColumn("_weight", F.lit(1).cast("long"))
         rows = rows.withColumn("_group", F.struct(*members))

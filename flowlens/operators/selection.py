@@ -60,12 +60,10 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, tuple[Column, Callable[
                 for i, name in enumerate(names) if counts[i]}
     while any(_is_wide(s, order_rows) for s in searches.values()):
         _narrow(flat, values, {i: s for i, s in searches.items() if _is_wide(s, order_rows)})
-    result = _ordered(flat, values, searches)
-    spark = df.sparkSession
-    totals = spark.createDataFrame([(i, name, counts[i]) for i, name in enumerate(names)],
-                                   "_i int, name string, n bigint")
-    return totals.join(result, "_i", "left").select("name", "value", "n") if searches else (
-        totals.select("name", F.lit(None).cast("double").alias("value"), "n"))
+    found = _ordered(flat, values, searches)
+    rows = [F.struct(F.lit(name).alias("name"), F.max(F.when(F.col("_i") == i, F.col("value"))).alias("value"),
+                     F.lit(counts[i]).cast("long").alias("n")) for i, name in enumerate(names)]
+    return found.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def _is_wide(search: _Search, order_rows: int) -> bool:
@@ -96,6 +94,9 @@ def _narrow(flat: DataFrame, values: list[Column], searches: dict[int, _Search])
 
 
 def _ordered(flat: DataFrame, values: list[Column], searches: dict[int, _Search]) -> DataFrame:
+    """(_i, value) of each search that has rows."""
+    if not searches:
+        return flat.select(F.lit(0).alias("_i"), values[0].alias("value")).limit(0)
     cells = [F.when(s.holds(values[i]), F.struct(F.lit(i).alias("_i"), values[i].alias("value")))
              for i, s in searches.items()]
     rank = F.lit(None).cast("long")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -84,9 +86,17 @@ class Trained:
                        document["inputs"], document["extra"])
 
 
+def _labeller(target: str, classes: Mapping[str, float]) -> StringIndexerModel:
+    """Codes of the classes in alphabetical order."""
+    return StringIndexerModel.from_labels(sorted(classes), inputCol=target, outputCol="label")
+
+
 def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None = None,
         provenance: Sequence[str] = ()) -> Trained:
-    """Impute, scale, one-hot encode and fit a forest; ``provenance`` columns are no features."""
+    """Impute, scale, one-hot encode and fit a forest; ``provenance`` columns are no features.
+
+    Fitting passes over ``train`` several times, so give it a stored table.
+    """
     settings = settings or ForestSettings()
     harmonise.require_column(train, target)
     known = train.filter(text.col(target).isNotNull())
@@ -101,9 +111,10 @@ def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None
                                  handleInvalid="keep", stringOrderType="alphabetAsc"),
                    OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True)]
         blocks += hot
-    labeller = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(known)
+    weights = encoding.class_weights(known, target)
+    labeller = _labeller(target, weights)
     stages += [VectorAssembler(inputCols=blocks, outputCol="features"), settings.classifier()]
-    weighted = encoding.with_weight(known, target, encoding.class_weights(known, target)) if settings.balanced else known
+    weighted = encoding.with_weight(known, target, weights) if settings.balanced else known
     model = Pipeline(stages=stages).fit(labeller.transform(weighted))
     names = list(fits)
     indexer = next((s for s in model.stages if isinstance(s, StringIndexerModel)), None)
@@ -117,10 +128,11 @@ def fit_encoded(train: DataFrame, features: Sequence[str], target: str = "class"
     """Fit on columns that are encoded already; the model keeps their order."""
     settings = settings or ForestSettings(balanced=False)
     known = train.filter(text.col(target).isNotNull())
-    labeller = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(known)
+    weights = encoding.class_weights(known, target)
+    labeller = _labeller(target, weights)
     rows = assembled(known, features, [target])
     if settings.balanced:
-        rows = encoding.with_weight(rows, target, encoding.class_weights(known, target))
+        rows = encoding.with_weight(rows, target, weights)
     model = Pipeline(stages=[settings.classifier()]).fit(labeller.transform(rows))
     return Trained(model, list(labeller.labels), list(features), list(features), {"settings": asdict(settings)})
 
@@ -181,17 +193,24 @@ def auc_of(trained: Trained, scored: DataFrame, target: str, positive: str = ANO
 
 def cross_validate(df: DataFrame, target: str = "class", folds: int = FOLDS, settings: ForestSettings | None = None,
                    key: Sequence[str] | None = None, provenance: Sequence[str] = (), most_rows: int = CV_ROWS,
-                   positive: str = ANOMALY, seed: int = 42) -> DataFrame:
-    """(fold, auc) of a model fitted on the other folds, preprocessing included."""
+                   positive: str = ANOMALY, parallelism: int = 4, seed: int = 42) -> DataFrame:
+    """(fold, auc) of a model fitted on the other folds, preprocessing included.
+
+    ``parallelism`` folds are submitted at a time, as in Spark's own cross validation.
+    """
     subset = sampling.cap_rows(df, most_rows, (), key, seed)
     folded = stage(sampling.stratified_folds(subset, folds, target, key, seed), "folds")
     hidden = [*provenance, *(key or ())]
-    rows = []
-    for fold in range(folds):
+    spark = df.sparkSession
+
+    def run(fold: int) -> tuple[int, float | None]:
         trained = fit(folded.filter(F.col("fold") != fold).drop("fold"), target, settings, hidden)
         scored = predict(trained, folded.filter(F.col("fold") == fold).drop("fold"), positive)
-        rows.append((fold, auc_of(trained, scored, target, positive).first()["auc"]))
-    return df.sparkSession.createDataFrame(rows, "fold int, auc double")
+        return fold, auc_of(trained, scored, target, positive).first()["auc"]
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), range(folds)))
+    return spark.createDataFrame(rows, "fold int, auc double")
 
 
 def draw_settings(draws: int = SEARCH_DRAWS, space: Mapping[str, Sequence] = SEARCH_SPACE, seed: int = 42) -> list[ForestSettings]:
@@ -210,8 +229,10 @@ def random_search(df: DataFrame, features: Sequence[str], target: str = "class",
     """
     known = df.filter(text.col(target).isNotNull())
     folded = sampling.stratified_folds(known, folds, target, key, seed)
-    labeller = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(known)
     weights = encoding.class_weights(known, target)
+    labeller = _labeller(target, weights)
+    if positive not in labeller.labels:
+        raise ValueError(f"no row of class '{positive}' in column '{target}'")
     rows = encoding.with_weight(assembled(folded, features, [target, "fold"]), target, weights, "_balanced")
     rows = stage(labeller.transform(rows.withColumn("_even", F.lit(1.0))).drop(target), "search")
     settings = draw_settings(draws, space, seed)
@@ -227,7 +248,7 @@ def random_search(df: DataFrame, features: Sequence[str], target: str = "class",
     search = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=judge, numFolds=folds,
                             foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = search.fit(rows)
-    scores = list(fitted.avgMetrics)
+    scores = [float(value) for value in fitted.avgMetrics]
     best = max(range(draws), key=scores.__getitem__)
     trained = Trained(PipelineModel([fitted.bestModel]), list(labeller.labels), list(features),
                       list(features), {"settings": asdict(settings[best]), "cv_f1": scores[best]})
