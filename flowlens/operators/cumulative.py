@@ -77,9 +77,8 @@ def with_next(counts: DataFrame, score: str, measures: Sequence[str], by: Sequen
         return following.drop("_cell")
     # The last score of a cell is followed by the first score of the next cell in use.
     opening = F.max_by if descending else F.min_by
-    firsts = cells.groupBy(*by, "_cell").agg(opening(F.struct(*measures), F.col(score)).alias("_first"))
+    firsts = cells.groupBy(*by, "_cell").agg(*[opening(F.col(m), F.col(score)).alias(m) for m in measures])
     over_cells = Window.partitionBy(*(by or [F.lit(0)])).orderBy(direction("_cell"))
-    after = small(firsts.select(*by, "_cell", F.lead("_first").over(over_cells).alias("_after")))
+    after = small(firsts.select(*by, "_cell", *[F.lead(m).over(over_cells).alias(f"_{m}_after") for m in measures]))
     return (following.join(after, [*by, "_cell"])
-            .select(*counts.columns, *[F.coalesce(f"{m}_next", F.col("_after")[m]).alias(f"{m}_next")
-                                       for m in measures]))
+            .select(*counts.columns, *[F.coalesce(f"{m}_next", f"_{m}_after").alias(f"{m}_next") for m in measures]))

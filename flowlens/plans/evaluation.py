@@ -23,7 +23,10 @@ class Evaluation(NamedTuple):
 def evaluate(trained: learning.Trained, test: DataFrame, target: str = "class",
              predict_only: bool = False, positive: str = labels.ANOMALY) -> Evaluation:
     """Score a test table; without a label column only predict, if that is allowed."""
-    cleaned, wanted = harmonise.normalise_headers(cleaning.infinities_to_null(test), target)
+    cleaned = cleaning.infinities_to_null(test)
+    wanted = target
+    if not trained.encoded:
+        cleaned, wanted = harmonise.normalise_headers(cleaned, target)
     found = wanted if wanted in cleaned.columns else labels.find_target(cleaned.columns, target)
     if found is None:
         if not predict_only:

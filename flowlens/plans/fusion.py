@@ -39,7 +39,7 @@ def fuse(datasets: Mapping[str, DataFrame], cap: int | None = TRAINING_CAP, labe
         key = (keys or {}).get(name)
         taken = sampling.cap_rows(df, cap, (), key, seed) if cap is not None else df
         target = F.lower(text.col(label).cast("string")).alias("_class")
-        hidden = set(harmonise.NON_FEATURES) | {label} | set(provenance)
+        hidden = {*harmonise.NON_FEATURES, "source_label", label, *provenance}
         features = [text.col(c) for c in taken.columns if c not in hidden or c in keep]
         parts.append(taken.select(*features, target).withColumn("dataset", F.lit(name))
                      .withColumnRenamed("_class", "class"))

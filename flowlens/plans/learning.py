@@ -79,6 +79,11 @@ class Trained:
         spark.createDataFrame([(document,)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{path}/metadata")
 
+    @property
+    def encoded(self) -> bool:
+        """True for a model on encoded columns, which keeps their names as they are."""
+        return len(self.model.stages) == 1
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> Trained:
         document = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
@@ -95,9 +100,12 @@ def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None
         provenance: Sequence[str] = ()) -> Trained:
     """Impute, scale, one-hot encode and fit a forest; ``provenance`` columns are no features.
 
-    Fitting passes over ``train`` several times, so give it a stored table.
+    Headers are normalised first. Fitting passes over ``train`` several times, so give it a
+    stored table.
     """
     settings = settings or ForestSettings()
+    train, target = harmonise.normalise_headers(train, target)
+    provenance = [text.header_name(name) for name in provenance]
     harmonise.require_column(train, target)
     known = train.filter(text.col(target).isNotNull())
     numbers, categories = harmonise.feature_types(known, exclude=[target, *provenance])
@@ -157,7 +165,8 @@ def prediction_columns(trained: Trained, positive: str = ANOMALY) -> list[Column
 
 def predict(trained: Trained, df: DataFrame, positive: str = ANOMALY) -> DataFrame:
     """Input columns plus the prediction columns."""
-    rows = assembled(df, trained.features) if len(trained.model.stages) == 1 else df
+    df = df if trained.encoded else harmonise.normalise_headers(df, "")[0]
+    rows = assembled(df, trained.features) if trained.encoded else df
     return trained.model.transform(rows).select(*[text.col(c) for c in df.columns],
                                                 *prediction_columns(trained, positive))
 

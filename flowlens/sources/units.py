@@ -80,6 +80,17 @@ def group_units(status: DataFrame) -> list[UnitGroup]:
     return sorted(groups, key=lambda group: group.paths[0])
 
 
+def _kept_name(label: str) -> str:
+    """Name of the source label in the merged table, which has its own ``class``."""
+    return "source_label" if label.lower() == "class" else label
+
+
+def source_labels(spark: SparkSession, root: str, candidates: Sequence[str], fallback: str = "error") -> list[str]:
+    """Label columns of the merged table: where classes come from, never features."""
+    status = label_status(unit_headers(spark, root), candidates, fallback)
+    return sorted({_kept_name(group.label) for group in group_units(status)})
+
+
 def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
                 fallback: str = "error", normal_tokens: Sequence[str] = labels.IDS2025_TOKENS,
                 passthrough: bool = False, drop: Sequence[str] = (), schema=None,
@@ -87,6 +98,8 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
                 seed: int = 42) -> DataFrame:
     """One table from all labelled units, with ``source_file`` and ``class`` last.
 
+    The source labels stay in the table; ``source_labels`` names them for exclusion.
+
     ``unit_cap`` bounds the rows per file and ``total_cap`` stops before the first file that
     starts at or above it; both are features of the sample build, off by default.
     """
@@ -96,9 +109,10 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
         raw = files.load_csv(spark, group.paths, schema)
         raw = files.with_source(raw, "source_file").select("*", F.col("_metadata.file_path").alias("_unit"))
         raw = harmonise.strip_headers(raw).drop(*drop)
-        label = text.col(group.label)
-        mapped = (labels.class_passthrough(label) if passthrough else
-                  labels.class_of(label, raw.schema[group.label].dataType, normal_tokens))
+        kept = _kept_name(group.label)
+        raw = raw.withColumnRenamed(group.label, kept)
+        mapped = (labels.class_passthrough(text.col(kept)) if passthrough else
+                  labels.class_of(text.col(kept), raw.schema[kept].dataType, normal_tokens))
         parts.append(raw.withColumn("class", mapped))
     if not parts:
         raise ValueError(f"no labelled CSV file below {root}")
