@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import text
 
+PROOF_ROWS = 5000
+
 
 def value_counts(df: DataFrame, column: str, top: int | None = None, keep_null: bool = False) -> DataFrame:
     """(value, count) by descending count; ties in value order."""
@@ -44,16 +46,23 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], count_null: bool = Tr
 
 
 def screen_columns(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
-    """Columns that may hold at most ``limit`` values, by a one-pass sketch.
+    """Columns that may hold at most ``limit`` values; callers count the survivors exactly.
 
-    The margin of four times the limit is far beyond the error of the sketch, so no column
-    within the limit is lost; callers count the survivors exactly.
+    Some rows with more than ``limit`` values prove a column too large. The others are
+    sketched in one pass, with a margin of four times the limit: far beyond the error of the
+    sketch, so no column within the limit is lost.
     """
     if not columns:
         return []
-    row = df.agg(*[F.approx_count_distinct(text.col(c), 0.02).alias(f"c{i}")
-                   for i, c in enumerate(columns)]).first()
-    return [c for c, estimate in zip(columns, row) if estimate <= 4 * limit]
+    head = df.select(*[text.col(c) for c in columns]).limit(PROOF_ROWS)
+    seen = head.agg(*[F.size(F.collect_set(text.col(c).cast("string"))).alias(f"c{i}")
+                      for i, c in enumerate(columns)]).first()
+    open_columns = [c for c, n in zip(columns, seen) if n <= limit]
+    if not open_columns:
+        return []
+    row = df.agg(*[F.approx_count_distinct(text.col(c)).alias(f"c{i}")
+                   for i, c in enumerate(open_columns)]).first()
+    return [c for c, estimate in zip(open_columns, row) if estimate <= 4 * limit]
 
 
 def low_cardinality(df: DataFrame, columns: Sequence[str] | None = None, limit: int = 30) -> DataFrame:

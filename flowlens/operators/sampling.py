@@ -2,7 +2,7 @@
 
 Rows are ordered inside their group by a hash of seed and key, so a result depends neither on
 partitioning nor on task order. No task ever sorts a whole group: rows are spread over hash
-buckets of about ``BUCKET_ROWS`` rows and bucket sizes are aggregated map-side. Quotas and
+buckets of at most ``BUCKET_ROWS`` rows (a million buckets per group at most) and bucket sizes are aggregated map-side. Quotas and
 splits then only need to know in which bucket of the group each cut falls: rows of other
 buckets are decided by comparing bucket names, and just the bucket with the cut is sorted.
 Folds need every rank, so their rows move to their bucket; a hot group spreads over as many
@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.functions import text
-from flowlens.session import small, stage
+from flowlens.session import small, small_rows, stage
 
-BUCKET_ROWS = 500_000
+BUCKET_ROWS = 50_000
+MOST_DIGITS = 5
 PIECE_ROWS = 100_000
 HASH_DIGITS = 8
 
@@ -50,15 +51,16 @@ def fraction(df: DataFrame, share: float, key: Sequence[str], seed: int = 42) ->
 
 def repeat_rows(df: DataFrame, times: str, piece: int = PIECE_ROWS) -> DataFrame:
     """Each row ``times`` times. Long runs are cut into pieces that move to other tasks."""
-    pieces = F.ceil(F.col(times) / piece)
-    cut = (df.filter(F.col(times) > 0)
-           .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
-           .withColumn("_length", F.least(F.lit(piece).cast("long"), F.col(times) - F.col("_piece") * piece)))
-    spread = cut.withColumn("_spread", F.xxhash64(*[
-        F.to_json(text.col(f.name)) if isinstance(f.dataType, T.MapType) else text.col(f.name)
-        for f in cut.schema])).repartition("_spread")
-    return (spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_length"))))
-            .drop("_piece", "_length", "_spread", "_copy", times))
+    one = F.lit(1).cast("long")
+    short = (df.filter((F.col(times) > 0) & (F.col(times) <= piece))
+             .withColumn("_copy", F.explode(F.sequence(one, F.col(times)))))
+    # Rows with so many copies are few, but each is worth many tasks.
+    cut = (df.filter(F.col(times) > piece)
+           .withColumn("_piece", F.explode(F.sequence(one, F.ceil(F.col(times) / piece))))
+           .withColumn("_length", F.least(F.lit(piece).cast("long"), F.col(times) - (F.col("_piece") - 1) * piece))
+           .repartition("_piece"))
+    long = cut.withColumn("_copy", F.explode(F.sequence(one, F.col("_length")))).drop("_piece", "_length")
+    return short.unionByName(long).drop("_copy", times)
 
 
 class Ranked:
@@ -74,20 +76,23 @@ class Ranked:
         self.folded = key is None
         # A struct compares its null fields as equal: missing labels form a group of their own.
         members = [text.col(c).alias(f"g{i}") for i, c in enumerate(group)] or [F.lit(0).alias("all")]
+        hashed = order_hash(seed, _key_columns(df, key)).alias("_hash")
         if self.folded:
-            # Folding shuffles every column, so it is done once and stored.
-            rows = stage(df.groupBy(*[text.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_weight")), "folded")
+            # Folding shuffles every column and hashes whole rows, so it is done once and stored.
+            plain = [text.col(c) for c in df.columns]
+            rows = df.groupBy(*plain).agg(F.count(F.lit(1)).alias("_weight"))
+            rows = stage(rows.select("*", hashed), "folded")
         else:
-            rows = df.withColumn("_weight", F.lit(1).cast("long"))
+            rows = df.select("*", F.lit(1).cast("long").alias("_weight"), hashed)
         rows = rows.withColumn("_group", F.struct(*members))
         distinct = F.greatest(F.lit(1.0), F.col("_distinct") / bucket_rows)
-        self.sizes = small(
+        self.sizes, found = small_rows(
             rows.groupBy("_group").agg(F.sum("_weight").alias("_size"), F.count(F.lit(1)).alias("_distinct"))
-            .select("_group", "_size", F.least(F.lit(HASH_DIGITS), F.ceil(F.log2(distinct) / 4))
+            .select("_group", "_size", F.least(F.lit(MOST_DIGITS), F.ceil(F.log2(distinct) / 4))
                     .cast("int").alias("_digits")))
-        self.bucketed = not self.sizes.filter("_digits > 0").isEmpty()
-        self.rows = (rows.withColumn("_hash", order_hash(seed, _key_columns(df, key)))
-                     .join(self.sizes, "_group")
+        self.bucketed = (any(r["_digits"] for r in found) if found is not None
+                         else not self.sizes.filter("_digits > 0").isEmpty())
+        self.rows = (rows.join(self.sizes, "_group")
                      .withColumn("_bucket", F.substring(F.col("_hash"), F.lit(1), F.col("_digits"))))
 
     def buckets(self) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ def upper_rank(q: float) -> Callable[[int], int]:
 
 @dataclass
 class _Search:
+    value: Column
+    place: int
     rank: int
     rows: int
     low: float | None = None
@@ -43,6 +46,9 @@ class _Search:
             return value.isNotNull()
         return (value >= self.low) & (value <= self.high)
 
+    def is_wide(self, order_rows: int) -> bool:
+        return self.narrowing and self.rows > order_rows and (self.low is None or self.low < self.high)
+
 
 def order_statistics(df: DataFrame, wanted: Mapping[str, tuple[Column, Callable[[int], int]]],
                      order_rows: int = ORDER_ROWS) -> DataFrame:
@@ -50,41 +56,36 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, tuple[Column, Callable[
 
     ``n`` counts the finite values of the column.
     """
-    names = list(wanted)
-    flat = df.select(*[numeric.missing_if_not_finite(wanted[name][0]).alias(f"v{i}")
-                       for i, name in enumerate(names)])
-    values = [F.col(f"v{i}") for i in range(len(names))]
-    counted = flat.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values)]).first()
-    counts = list(counted)
-    searches = {i: _Search(wanted[name][1](counts[i]), counts[i])
-                for i, name in enumerate(names) if counts[i]}
-    while any(_is_wide(s, order_rows) for s in searches.values()):
-        _narrow(flat, values, {i: s for i, s in searches.items() if _is_wide(s, order_rows)})
-    found = _ordered(flat, values, searches)
-    rows = [F.struct(F.lit(name).alias("name"), F.max(F.when(F.col("_i") == i, F.col("value"))).alias("value"),
-                     F.lit(counts[i]).cast("long").alias("n")) for i, name in enumerate(names)]
-    return found.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-
-
-def _is_wide(search: _Search, order_rows: int) -> bool:
-    return search.narrowing and search.rows > order_rows and (search.low is None or search.low < search.high)
-
-
-def _narrow(flat: DataFrame, values: list[Column], searches: dict[int, _Search]) -> None:
+    places: dict[str, int] = {}
+    for column, _ in wanted.values():
+        places.setdefault(str(column), len(places))
+    distinct = {places[str(column)]: column for column, _ in wanted.values()}
+    flat = df.select(*[numeric.missing_if_not_finite(column).alias(f"v{j}") for j, column in distinct.items()])
+    counts = list(flat.agg(*[F.count(f"v{j}").alias(f"n{j}") for j in distinct]).first())
+    searches = {}
+    for name, (column, rank) in wanted.items():
+        j = places[str(column)]
+        if counts[j]:
+            searches[name] = _Search(F.col(f"v{j}"), j, rank(counts[j]), counts[j])
+    while wide := [s for s in searches.values() if s.is_wide(order_rows)]:
+        _narrow(flat, wide)
+    return _pick(flat, searches, {name: counts[places[str(column)]] for name, (column, _) in wanted.items()})
+
+
+def _narrow(flat: DataFrame, searches: list[_Search]) -> None:
     margin = 3.0 / SKETCH_ACCURACY
     proposals = []
-    for i, s in searches.items():
+    for s in searches:
         share = (s.rank + 0.5) / s.rows
         marks = F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin)))
-        proposals.append(F.percentile_approx(F.when(s.holds(values[i]), values[i]), marks, SKETCH_ACCURACY))
-    intervals = flat.agg(*[p.alias(f"p{i}") for i, p in zip(searches, proposals)]).first()
+        proposals.append(F.percentile_approx(F.when(s.holds(s.value), s.value), marks, SKETCH_ACCURACY))
+    intervals = list(flat.agg(*[p.alias(f"p{i}") for i, p in enumerate(proposals)]).first())
     checks = []
-    for (i, s), (low, high) in zip(searches.items(), intervals):
-        inside = s.holds(values[i])
-        checks += [F.count_if(inside & (values[i] < low)), F.count_if(inside & (values[i] >= low) & (values[i] <= high))]
-    found = flat.agg(*[c.alias(f"c{j}") for j, c in enumerate(checks)]).first()
-    for position, (s, (low, high)) in enumerate(zip(searches.values(), intervals)):
-        below, inside = found[2 * position], found[2 * position + 1]
+    for s, (low, high) in zip(searches, intervals):
+        held = s.holds(s.value)
+        checks += [F.count_if(held & (s.value < low)), F.count_if(held & (s.value >= low) & (s.value <= high))]
+    found = list(flat.agg(*[c.alias(f"c{i}") for i, c in enumerate(checks)]).first())
+    for s, (low, high), below, inside in zip(searches, intervals, found[::2], found[1::2]):
         confirmed = below <= s.rank < below + inside
         # An interval that misses the rank or hardly shrinks ends the search; the rows that
         # are left are then grouped by value as they are, which stays exact.
@@ -93,21 +94,33 @@ def _narrow(flat: DataFrame, values: list[Column], searches: dict[int, _Search])
             s.rank, s.rows, s.low, s.high = s.rank - below, inside, low, high
 
 
-def _ordered(flat: DataFrame, values: list[Column], searches: dict[int, _Search]) -> DataFrame:
-    """(_i, value) of each search that has rows."""
-    if not searches:
-        return flat.select(F.lit(0).alias("_i"), values[0].alias("value")).limit(0)
-    cells = [F.when(s.holds(values[i]), F.struct(F.lit(i).alias("_i"), values[i].alias("value")))
-             for i, s in searches.items()]
-    rank = F.lit(None).cast("long")
-    for i, s in searches.items():
-        rank = F.when(F.col("_i") == i, F.lit(s.rank)).otherwise(rank)
-    grouped = (flat.select(F.explode(F.array(*cells)).alias("cell")).filter("cell is not null")
-               .select("cell._i", "cell.value").groupBy("_i", "value").agg(F.count(F.lit(1)).alias("_rows")))
-    upto = Window.partitionBy("_i").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (grouped.withColumn("_upto", F.sum("_rows").over(upto))
-            .filter((F.col("_upto") > rank) & (F.col("_upto") - F.col("_rows") <= rank))
-            .select("_i", "value"))
+def _pick(flat: DataFrame, searches: dict[str, _Search], counts: Mapping[str, int]) -> DataFrame:
+    """Group the values that are left and pick the one at each rank."""
+    cells = []
+    for j in sorted({s.place for s in searches.values()}):
+        value = F.col(f"v{j}")
+        mine = [s.holds(value) for s in searches.values() if s.place == j]
+        cells.append(F.when(reduce(Column.__or__, mine), F.struct(F.lit(j).alias("_j"), value.alias("value"))))
+    nothing = F.array(F.lit(None).cast("struct<_j: int, value: double>"))
+    grouped = (flat.select(F.explode(F.array(*cells) if cells else nothing).alias("cell"))
+               .filter("cell is not null").select("cell._j", "cell.value")
+               .groupBy("_j", "value").agg(F.count(F.lit(1)).alias("_rows")))
+    upto = Window.partitionBy("_j").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Searches over whole columns share one running total; narrowed ones count their interval.
+    spans = {(s.place, s.low, s.high) if s.low is not None else None: s for s in searches.values()}
+    running, totals = grouped, {}
+    for i, (span, s) in enumerate(spans.items()):
+        inside = F.col("_rows") if span is None else F.when((F.col("_j") == s.place) & s.holds(F.col("value")), F.col("_rows"))
+        running, totals[span] = running.withColumn(f"_upto{i}", F.sum(inside).over(upto)), f"_upto{i}"
+    found = {}
+    for name, s in searches.items():
+        total = F.col(totals[(s.place, s.low, s.high) if s.low is not None else None])
+        here = ((F.col("_j") == s.place) & s.holds(F.col("value")) & (total > s.rank)
+                & (total - F.col("_rows") <= s.rank))
+        found[name] = F.max(F.when(here, F.col("value")))
+    rows = [F.struct(F.lit(name).alias("name"), found.get(name, F.max(F.lit(None).cast("double"))).alias("value"),
+                     F.lit(n).cast("long").alias("n")) for name, n in counts.items()]
+    return running.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def lower_quantile(df: DataFrame, column: str, q: float) -> DataFrame:

@@ -66,12 +66,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 SMALL_ROWS = 100_000
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A table of few rows, computed once and broadcast; its size is checked first.
+def small_rows(df: DataFrame, rows: int = SMALL_ROWS) -> tuple[DataFrame, list[dict] | None]:
+    """A table of few rows, computed once and broadcast, together with its rows.
 
-    Beyond ``rows`` it is staged instead, and Spark joins it like any other table.
+    Its size is checked first: beyond ``rows`` it is staged instead, without rows on the
+    driver, and Spark joins it like any other table.
     """
     table = df.limit(rows + 1).toArrow()
     if table.num_rows > rows:
-        return stage(df, "small")
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+        return stage(df, "small"), None
+    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), table.to_pylist()
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The table of ``small_rows`` alone."""
+    return small_rows(df, rows)[0]
