@@ -132,6 +132,17 @@ def check_levels(df: DataFrame, columns: Sequence[str], most: int = MOST_LEVELS)
         raise ValueError(f"columns {wide} hold more than {most} categories; drop or hash them first")
 
 
+def label_code(label: Column, classes: Sequence[str]) -> Column:
+    """Place of a label among the alphabetically ordered classes, null for other labels."""
+    place = F.array_position(F.array(*[F.lit(c) for c in sorted(classes)]), label)
+    return F.when(place > 0, place - 1).cast("int")
+
+
+def label_of(code: Column, classes: Sequence[str]) -> Column:
+    """The label of a code."""
+    return F.get(F.array(*[F.lit(c) for c in sorted(classes)]), code)
+
+
 def class_weights(df: DataFrame, target: str) -> dict[str, float]:
     """Balanced weight n / (k · n_c) per class."""
     counts = {r[target]: r["count"] for r in df.groupBy(target).count().collect()}

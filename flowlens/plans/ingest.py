@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
 from flowlens.operators import harmonise, sampling
+from flowlens.session import small
 from flowlens.sources import files, positions, units
 
 # Row caps and shares of the sample builds.
@@ -15,6 +16,8 @@ KITSUNE_SCENARIO_CAP, KITSUNE_TOTAL_CAP = 50_000, 500_000
 NFUQ_CHUNK, NFUQ_SHARE, NFUQ_TOTAL_CAP = 200_000, 0.05, 1_000_000
 LUFLOW_FILE_ROWS, LUFLOW_TOTAL_CAP = 4000, 1_000_000
 
+PAIR = ["_folder", "_pair"]
+
 
 def build_ids2025(spark: SparkSession, root: str, file_cap: int = IDS2025_FILE_CAP,
                   total_cap: int = IDS2025_TOTAL_CAP, seed: int = 42) -> DataFrame:
@@ -33,26 +36,37 @@ def build_luflow(spark: SparkSession, root: str, file_rows: int = LUFLOW_FILE_RO
 
 def build_kitsune(spark: SparkSession, root: str, scenario_cap: int = KITSUNE_SCENARIO_CAP,
                   total_cap: int = KITSUNE_TOTAL_CAP, seed: int = 42) -> DataFrame:
-    """Feature files joined row by row to their label files; unpaired files are left out."""
-    pairs = files.pair_label_files(files.manifest(spark, root, files.CSV_GLOB)).filter("labels_path is not null")
-    parts = []
-    for pair in pairs.orderBy("dataset_path").collect():
-        known = harmonise.strip_headers(files.load_csv(spark, pair["labels_path"]))
-        label = labels.detect_label(known.columns, labels.LABEL_CANDIDATES["kitsune"], "first")
-        kind = known.schema[label].dataType
-        zipped = positions.zip_rows(positions.csv_rows(files.load_csv(spark, pair["dataset_path"])),
-                                    positions.csv_rows(files.load_csv(spark, pair["labels_path"])).select(
-                                        positions.ROW, text.col(label)), label)
-        parts.append(zipped.drop(positions.FILE)
-                     .withColumn("class", labels.class_of(text.col(label), kind, labels.KITSUNE_TOKENS))
-                     .withColumn("scenario", F.lit(pair["scenario"]))
-                     .withColumn("_unit", F.lit(pair["dataset_path"])))
-    if not parts:
+    """Feature files joined row by row to their label files; unpaired files are left out.
+
+    All files with one header are read together; the join key is folder, pair and row.
+    """
+    headers = units.unit_headers(spark, root)
+    pairs = small(files.pair_label_files(headers.select("path")).filter("labels_path is not null"))
+
+    def groups(column: str, fallback: str) -> list[units.UnitGroup]:
+        chosen = headers.join(pairs.select(F.col(column).alias("path")), "path", "left_semi")
+        return units.group_units(units.label_status(chosen, labels.LABEL_CANDIDATES["kitsune"], fallback))
+
+    def located(group: units.UnitGroup, word: str) -> DataFrame:
+        rows = harmonise.strip_headers(positions.csv_rows(files.load_csv(spark, group.paths)))
+        path = F.col(positions.FILE)
+        return rows.withColumns({"_folder": text.folder(path), "_pair": text.pair_key(path, word)}).drop(positions.FILE)
+
+    data = [located(group, "dataset") for group in groups("dataset_path", "first")]
+    if not data:
         raise ValueError(f"no pair of data and label files below {root}")
-    merged = harmonise.union_by_name(*parts)
+    features = harmonise.union_by_name(*data)
+    parts = []
+    for group in groups("labels_path", "first"):
+        known = located(group, "labels")
+        kind = known.schema[group.label].dataType
+        zipped = positions.zip_rows(features, known, group.label, PAIR)
+        parts.append(zipped.withColumn("class", labels.class_of(text.col(group.label), kind, labels.KITSUNE_TOKENS)))
+    merged = harmonise.union_by_name(*parts).withColumn("_unit", F.concat_ws("/", *PAIR))
     capped = sampling.cap_rows(merged, scenario_cap, ["_unit"], ["_unit", positions.ROW], seed)
     kept = sampling.cap_total(capped, total_cap, "_unit")
-    return harmonise.class_last(kept.drop("_unit", positions.ROW))
+    scenario = text.file_name(F.col("_folder"))
+    return harmonise.class_last(kept.withColumn("scenario", scenario).drop("_unit", positions.ROW, *PAIR))
 
 
 def build_nfuq(spark: SparkSession, path: str, share: float = NFUQ_SHARE, chunk: int = NFUQ_CHUNK,

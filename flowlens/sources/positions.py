@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowlens.session import stage
+from flowlens.session import small, stage
 
 ROW = "row_idx"
 FILE = "_file"
@@ -35,7 +35,7 @@ def csv_rows(scan: DataFrame) -> DataFrame:
                .rowsBetween(Window.unboundedPreceding, -1))
     starts = blocks.select(FILE, "_block", "_first",
                            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    return (staged.join(starts, [FILE, "_block"])
+    return (staged.join(small(starts), [FILE, "_block"])
             .withColumn(ROW, F.col("_order") - F.col("_first") + F.col("_start"))
             .drop("_block", "_order", "_first", "_start"))
 

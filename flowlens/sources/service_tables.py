@@ -41,6 +41,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
 
 
+def read_database_table(spark: SparkSession, url: str, name: str, properties: dict[str, str],
+                        newest: datetime, oldest: datetime, parts: int = 32) -> DataFrame:
+    """A service table from a database, read in ``parts`` ranges of its creation time."""
+    return spark.read.jdbc(url, name, column="created_at", lowerBound=oldest.isoformat(" "),
+                           upperBound=newest.isoformat(" "), numPartitions=parts, properties=properties)
+
+
 def append_table(df: DataFrame, root: str, name: str) -> None:
     schema = T.StructType.fromDDL(TABLES[name])
     df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.mode(

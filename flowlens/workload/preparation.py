@@ -534,12 +534,25 @@ def class_weights(spark, sf):
 CLASS_WEIGHTS = f"""WITH {b.FLOWS}, sizes AS (SELECT class, count(*) AS n, sum(count(*)) OVER () AS total, count(*) OVER () AS k FROM flows GROUP BY class)
 SELECT class, n AS rows, round(total / (k * n), 6) AS weight, round(CAST(total AS DOUBLE) / k, 4) AS total FROM sizes"""
 
+
+
+def label_codes(spark, sf):
+    """Alphabetical codes of the event types and back again."""
+    rows = b.table(spark, sf, "events")
+    types = list(encoding.class_weights(rows, "event_type"))
+    coded = rows.withColumn("code", encoding.label_code(F.col("event_type"), types))
+    return coded.groupBy("event_type", "code", encoding.label_of(F.col("code"), types).alias("back")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+LABEL_CODES = """SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) - 1 AS INTEGER) AS code, event_type AS back, count(*) AS rows
+FROM events GROUP BY event_type"""
+
 NAMES = ("label_to_class_string", "label_to_class_numeric", "label_to_class_passthrough", "label_to_class_boolean", "fuse_sources", "fuse_sources_capped",
          "class_distribution", "class_distribution_all", "encode_fused", "fused_feature_names", "value_counts", "value_counts_with_null",
          "distinct_counts", "low_cardinality_columns", "table_shape", "distinct_labels", "csv_scan", "csv_inferred", "csv_merged_units",
          "unit_status", "file_manifest", "pair_features_labels", "unpaired_features", "cap_per_source", "cap_total", "balanced_quota",
          "fraction_sample", "fraction_per_day", "cv_subsample", "split_70_10_20", "split_80_20", "split_unkeyed", "hashed_split",
          "stratified_folds", "sanitise_clip", "infinities_to_null", "finite_rows", "quality_counts", "dummies", "impute_scale",
-         "column_modes", "class_weights")
+         "column_modes", "class_weights", "label_codes")
 QUERIES = {name: globals()[name] for name in NAMES}
 ORACLES = {name: globals()[name.upper()] for name in NAMES}
