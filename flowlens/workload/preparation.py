@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.functions import labels, numeric, text
-from flowlens.operators import cleaning, encoding, harmonise, matching, profile, sampling
+from flowlens.functions import labels, text
+from flowlens.operators import cleaning, encoding, matching, profile, sampling
 from flowlens.plans import fusion
 from flowlens.session import scratch_path
 from flowlens.sources import files, positions, units
