@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import scores, text
 from flowlens.operators import dashboard, threshold
+from flowlens.session import stage
 from flowlens.sources import service_tables
 
 
@@ -96,5 +97,13 @@ def store(analysis: Analysis, root: str) -> None:
     service_tables.append_table(analysis.logs, root, "logs")
 
 
+def analyse_and_store(scored: DataFrame, limit: Column | float, root: str,
+                      auto_create_alert: Column | bool = True, at: str = "created_at") -> Analysis:
+    """Analyse a batch into the service tables; whatever scored it runs once."""
+    found = analyse(stage(scored, "scored"), limit, auto_create_alert, at)
+    store(found, root)
+    return found
+
+
 def summary(analysis: Analysis) -> DataFrame:
     return dashboard.batch_summary(analysis.results)

@@ -39,6 +39,11 @@ SEARCH_SPACE = {
     "balanced": [False, True],
 }
 
+# Memory for split statistics: the more nodes one pass can split, the fewer passes over the
+# data. Deeper trees keep each row's node instead of walking every tree again.
+SPLIT_MEMORY = 512
+DEEP = 10
+
 
 @dataclass
 class ForestSettings:
@@ -57,7 +62,8 @@ class ForestSettings:
             featuresCol=features, labelCol=label, predictionCol="encoded", probabilityCol="probability",
             rawPredictionCol="votes", numTrees=self.numTrees, maxDepth=self.maxDepth,
             minInstancesPerNode=self.minInstancesPerNode, featureSubsetStrategy=self.featureSubsetStrategy,
-            bootstrap=self.bootstrap, seed=self.seed)
+            bootstrap=self.bootstrap, seed=self.seed, maxMemoryInMB=SPLIT_MEMORY,
+            cacheNodeIds=self.maxDepth > DEEP)
         return forest.setWeightCol("_weight") if self.balanced else forest
 
 

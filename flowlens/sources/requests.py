@@ -33,8 +33,9 @@ def read_requests(df: DataFrame, body: str, keep: Sequence[str] = ()) -> Parsed:
     """
     parsed = df.withColumn("_request", F.from_json(body, REQUEST))
     usable = F.coalesce(F.get("_request.items", F.lit(0))["features"].isNotNull(), F.lit(False))
-    accepted = (parsed.filter(usable)
-                .select(*keep, F.posexplode("_request.items").alias("item_no", "_item"))
+    # Unusable bodies give no items; a filter would parse every body a second time.
+    items = F.when(usable, F.col("_request.items"))
+    accepted = (parsed.select(*keep, F.posexplode(items).alias("item_no", "_item"))
                 .select(*keep, "item_no", F.col("_item.features").alias("features")))
     rejected = parsed.filter(~usable).select(*keep, F.col(body).alias("body"))
     return Parsed(accepted, rejected)
@@ -53,15 +54,14 @@ def read_responses(df: DataFrame, body: str, threshold: float = scores.DEFAULT_T
     probabilities the response is rejected.
     """
     parsed = df.withColumn("_answer", F.from_json(body, RESPONSE))
-    first = F.get("_answer.results", F.lit(0))
     listed = F.coalesce(F.size("_answer.results") > 0, F.lit(False))
-
-    def pick(name: str) -> Column:
-        return F.when(listed, first[name]).otherwise(F.col("_answer")[name])
-
-    score, proba = pick("anomaly_score"), pick("raw_proba")
+    itself = F.struct(*[F.col("_answer")[name].alias(name) for name in ("predicted_label", "anomaly_score", "raw_proba")])
+    # Exploding one answer keeps later filters from parsing the body again.
+    answer = F.when(listed, F.slice("_answer.results", 1, 1)).otherwise(F.array(itself))
+    single = parsed.select(*keep, F.col(body).alias("body"), F.explode(answer).alias("_one"))
+    proba = F.col("_one.raw_proba")
     complete = proba["anomaly"].isNotNull() & proba["normal"].isNotNull()
-    picked = parsed.select(*keep, F.col(body).alias("body"), score.alias("_score"),
+    picked = single.select(*keep, "body", F.col("_one.anomaly_score").alias("_score"),
                            F.when(complete, proba["anomaly"]).alias("_anomaly"),
                            F.when(complete, proba["normal"]).alias("_normal"))
     usable = F.col("_score").isNotNull() | F.col("_anomaly").isNotNull()

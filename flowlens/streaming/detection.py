@@ -73,17 +73,18 @@ def adaptive_stream(scored: DataFrame, path: str, checkpoint: str, at: str, key:
     batch does not grow with the history. Every write replaces itself when repeated.
     """
     schema = scored.schema
+    kept = T.StructType([schema[key], schema[at], schema["anomaly_score"]])
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        kept = T.StructType([schema[key], schema[at], schema["anomaly_score"]])
         recent = (spark.read.schema(kept).parquet(f"{path}/recent/epoch={epoch - 1}") if epoch
                   else spark.createDataFrame([], kept))
-        limit = threshold.smart_threshold(recent, fallback=fallback)
-        judged = analysis.judge(batch, limit.select("threshold").scalar())
-        judged.withColumn("threshold", limit.select("threshold").scalar()).write.mode("overwrite").parquet(
-            f"{path}/analyses/epoch={epoch}")
-        latest = threshold.recent(recent.unionByName(batch.select(key, at, "anomaly_score")), n, at, key)
+        limit = threshold.smart_threshold(recent, fallback=fallback).first()["threshold"]
+        written = f"{path}/analyses/epoch={epoch}"
+        judged = analysis.judge(batch, F.lit(limit)).withColumn("threshold", F.lit(limit))
+        judged.write.mode("overwrite").parquet(written)
+        # The latest scores are read from what was written, so the batch is scored once.
+        latest = threshold.recent(recent.unionByName(spark.read.schema(kept).parquet(written)), n, at, key)
         latest.coalesce(1).write.mode("overwrite").parquet(f"{path}/recent/epoch={epoch}")
 
     return (scored.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

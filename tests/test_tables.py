@@ -21,7 +21,7 @@ def test_analysis_rows(spark, tmp_path):
     assert {r["type"]: r["count"] for r in found.logs.groupBy("type").count().collect()} == {"request": 1, "analysis": 3, "alert": 2}
     assert tuple(analysis.summary(found).first())[1:4] == (3, 2, 1)
     assert analysis.analyse(scored(spark, [0.9]), 0.45, auto_create_alert=False).alerts.isEmpty()
-    analysis.store(found, str(tmp_path))
+    analysis.analyse_and_store(scored(spark, [0.9, 0.45, 0.1]), 0.45, str(tmp_path))
     assert service_tables.read_table(spark, str(tmp_path), "analyses").count() == 3
     links = service_tables.linked_logs(found.logs, found.alerts.select("id", "severity"), "alertId")
     assert sorted(r["severity"] for r in links.collect()) == ["High", "Low"]
