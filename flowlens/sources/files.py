@@ -14,16 +14,19 @@ CSV_GLOB = "*.[cC][sS][vV]"
 
 def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
              *, recursive: bool = False, bad_rows: str = "PERMISSIVE",
-             corrupt_column: str | None = None, sampling: float = 1.0) -> DataFrame:
+             corrupt_column: str | None = None, skip_unreadable: bool = False,
+             sampling: float = 1.0) -> DataFrame:
     """CSV with a header row; a byte order mark is dropped, infinities are numbers.
 
     Give a schema for large inputs: without one Spark reads ``sampling`` of the file first
-    to infer the types.
+    to infer the types. ``bad_rows`` says what happens to malformed rows (with
+    ``corrupt_column`` in the schema they are kept there), ``skip_unreadable`` passes over
+    files that cannot be read.
     """
     reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
               .option("positiveInf", "inf").option("negativeInf", "-inf")
               .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-              .option("mode", bad_rows))
+              .option("mode", bad_rows).option("ignoreCorruptFiles", skip_unreadable))
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB)
     if corrupt_column:

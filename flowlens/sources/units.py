@@ -106,7 +106,7 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
     status = label_status(unit_headers(spark, root), candidates, fallback)
     parts = []
     for group in group_units(status):
-        raw = files.load_csv(spark, group.paths, schema)
+        raw = files.load_csv(spark, group.paths, schema, skip_unreadable=True)
         raw = files.with_source(raw, "source_file").select("*", F.col("_metadata.file_path").alias("_unit"))
         raw = harmonise.strip_headers(raw).drop(*drop)
         kept = _kept_name(group.label)

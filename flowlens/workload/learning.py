@@ -1,4 +1,4 @@
-"""Random forests on the driver tables. Forests differ between engines, so these have no SQL."""
+"""Random forests on the driver tables. Forests differ between engines, so most have no SQL."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
-from flowlens.operators import sampling
+from flowlens.operators import metrics, sampling
 from flowlens.plans import evaluation, fusion, learning
 from flowlens.session import scratch_path
 from flowlens.sources import sinks
 from flowlens.workload import bindings as b
+from flowlens.workload.preparation import sizes_sql, sources
 
 SMALL_FOREST = learning.ForestSettings(numTrees=10, maxDepth=6)
 SMALL_SPACE = {
@@ -77,9 +78,6 @@ def rf_random_search(spark, sf):
 
 def rf_fused(spark, sf):
     """Fusion, encoding, split, forest and confusion counts of four datasets."""
-    from flowlens.operators import metrics
-    from flowlens.workload.preparation import sources
-
     parts = {name: df.withColumn("row_id", F.xxhash64(*df.columns)) for name, df in sources(spark, sf).items()}
     fused = fusion.fuse(parts, cap=None)
     encoded = fusion.encode_fused(fused, keep=("class", "row_id", "key"))
@@ -122,4 +120,12 @@ def rf_split_files(spark, sf):
 NAMES = ("rf_train_score", "rf_evaluate", "rf_predict_only", "feature_importance_top30", "rf_cv_auc", "rf_random_search", "rf_fused",
          "rf_multiclass", "rf_served_requests", "rf_split_files")
 QUERIES = {name: globals()[name] for name in NAMES}
-ORACLES: dict[str, str] = {}
+# The sizes of a stratified split follow from the class sizes alone.
+RF_SPLIT_FILES = f"""WITH sizes AS (
+    SELECT CASE WHEN p_size * 20 > p_retailprice THEN 'anomaly' ELSE 'normal' END AS class, count(*) AS n FROM part GROUP BY 1),
+{sizes_sql('trainval', 'sizes', '0.2')}, {sizes_sql('train', 'trainval', '0.125')}, parts AS (
+    SELECT 'train' AS split, class, n AS rows FROM train
+    UNION ALL SELECT 'val', v.class, v.n - t.n FROM trainval v JOIN train t ON v.class = t.class
+    UNION ALL SELECT 'test', s.class, s.n - v.n FROM sizes s JOIN trainval v ON s.class = v.class)
+SELECT split, class, rows FROM parts WHERE rows > 0"""
+ORACLES = {"rf_split_files": RF_SPLIT_FILES}

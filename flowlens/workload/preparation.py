@@ -379,7 +379,7 @@ def split_80_20(spark, sf):
     return sampling.stratified_split(keyed_flows(spark, sf), "class", 0.2, 0.0, ["event_id"]).select("event_id", "class", "split")
 
 
-def _sizes_sql(name: str, source: str, share: str) -> str:
+def sizes_sql(name: str, source: str, share: str) -> str:
     """Training rows per class: floors of the proportional part, the rest by largest remainder."""
     return f"""{name}_total AS (SELECT sum(n) AS n, sum(n) - ceil(round(sum(n) * {share}, 6)) AS train FROM {source}), {name}_parts AS (
     SELECT class, s.n, CAST(s.n AS HUGEINT) * CAST(train AS BIGINT) // t.n AS base, CAST(s.n AS HUGEINT) * CAST(train AS BIGINT) % t.n AS rest, train
@@ -388,8 +388,8 @@ def _sizes_sql(name: str, source: str, share: str) -> str:
 
 
 SPLIT_BASE = f"""{KEYED}, placed AS (SELECT event_id, class, row_number() OVER (PARTITION BY class ORDER BY h) AS place FROM keyed),
-sizes AS (SELECT class, count(*) AS n FROM keyed GROUP BY class), {_sizes_sql('trainval', 'sizes', '0.2')}"""
-SPLIT_70_10_20 = f"""WITH {SPLIT_BASE}, {_sizes_sql('train', 'trainval', '0.125')}
+sizes AS (SELECT class, count(*) AS n FROM keyed GROUP BY class), {sizes_sql('trainval', 'sizes', '0.2')}"""
+SPLIT_70_10_20 = f"""WITH {SPLIT_BASE}, {sizes_sql('train', 'trainval', '0.125')}
 SELECT event_id, p.class, CASE WHEN place <= t.n THEN 'train' WHEN place <= v.n THEN 'val' ELSE 'test' END AS split
 FROM placed p JOIN train t ON p.class = t.class JOIN trainval v ON p.class = v.class"""
 SPLIT_80_20 = f"""WITH {SPLIT_BASE}
@@ -404,7 +404,7 @@ def split_unkeyed(spark, sf):
 
 SPLIT_UNKEYED = f"""WITH placed AS (
     SELECT l_returnflag AS class, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY {ITEM_HASH}) AS place FROM lineitem),
-sizes AS (SELECT class, count(*) AS n FROM placed GROUP BY class), {_sizes_sql('trainval', 'sizes', '0.2')}, {_sizes_sql('train', 'trainval', '0.125')}
+sizes AS (SELECT class, count(*) AS n FROM placed GROUP BY class), {sizes_sql('trainval', 'sizes', '0.2')}, {sizes_sql('train', 'trainval', '0.125')}
 SELECT p.class AS l_returnflag, CASE WHEN place <= t.n THEN 'train' WHEN place <= v.n THEN 'val' ELSE 'test' END AS split, count(*) AS rows,
        round(sum(l_extendedprice), 2) AS amount
 FROM placed p JOIN train t ON p.class = t.class JOIN trainval v ON p.class = v.class GROUP BY 1, 2"""

@@ -20,6 +20,18 @@ def test_csv_with_byte_order_mark_and_infinity(spark, tmp_path):
     assert [r[1] for r in df.orderBy("a").collect()] == [float("inf"), None]
 
 
+def test_malformed_rows_are_kept_or_dropped(spark, tmp_path):
+    write(tmp_path / "x.csv", "a,b\n1,2\nx,3\n")
+    kept = files.load_csv(spark, str(tmp_path / "x.csv"), "a int, b int, bad string", corrupt_column="bad")
+    assert sorted((r["b"], r["bad"]) for r in kept.collect()) == [(2, None), (3, "x,3")]
+    assert files.load_csv(spark, str(tmp_path / "x.csv"), "a int, b int", bad_rows="DROPMALFORMED").select("a", "b").collect() == [(1, 2)]
+
+
+def test_upload_preview(spark, tmp_path):
+    write(tmp_path / "x.csv", "a,b\n1,2\n3,4\n")
+    assert files.upload_preview(spark, str(tmp_path / "x.csv")).first()["rows"] == 2
+
+
 def test_recursive_discovery_any_case(spark, tmp_path):
     write(tmp_path / "a" / "one.csv", "v\n1\n")
     write(tmp_path / "b" / "two.CSV", "v\n2\n")
