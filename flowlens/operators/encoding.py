@@ -20,6 +20,7 @@ from flowlens.operators import profile, selection
 # Fixed value: most categories a column may have to get dummy columns.
 MAX_CATEGORIES = 50
 MOST_LEVELS = 100_000
+HASH_LEVELS = 1024
 
 
 @dataclass
@@ -122,14 +123,20 @@ def projection_stage(fits: dict[str, NumericFit], modes: dict[str, str | None])
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def check_levels(df: DataFrame, columns: Sequence[str], most: int = MOST_LEVELS) -> None:
-    """One-hot encoding keeps a dictionary of each column on every executor: refuse huge ones."""
-    if not columns:
-        return
-    row = df.agg(*[F.approx_count_distinct(text.col(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    wide = [c for c, levels in zip(columns, row) if levels > most]
-    if wide:
-        raise ValueError(f"columns {wide} hold more than {most} categories; drop or hash them first")
+def settle_levels(df: DataFrame, columns: Sequence[str], wide: str = "fail", most: int = MOST_LEVELS) -> tuple[DataFrame, list[str]]:
+    """The table and its categorical columns, after what the caller chose for columns of very many categories.
+
+    One-hot encoding keeps a dictionary of each column on every executor. ``wide`` says what becomes of
+    columns with more than ``most`` categories, counted exactly: ``fail``, or ``drop`` them; ``hash`` puts the values of
+    every categorical column into ``HASH_LEVELS`` groups, whatever their number.
+    """
+    if wide == "hash":
+        grouped = {c: F.when(text.col(c).isNotNull(), F.pmod(F.xxhash64(text.col(c)), F.lit(HASH_LEVELS)).cast("string")) for c in columns}
+        return df.select(*[grouped[c].alias(c) if c in grouped else text.col(c) for c in df.columns]), list(columns)
+    over = [c for c in columns if df.select(text.col(c)).distinct().limit(most + 1).count() > most]
+    if over and wide != "drop":
+        raise ValueError(f"columns {over} hold more than {most} categories; choose drop or hash")
+    return df, [c for c in columns if c not in over]
 
 
 def label_code(label: Column, classes: Sequence[str]) -> Column:
@@ -143,9 +150,14 @@ def label_of(code: Column, classes: Sequence[str]) -> Column:
     return F.get(F.array(*[F.lit(c) for c in sorted(classes)]), code)
 
 
-def class_weights(df: DataFrame, target: str) -> dict[str, float]:
-    """Balanced weight n / (k · n_c) per class."""
-    counts = {r[target]: r["count"] for r in df.groupBy(target).count().collect()}
+MOST_CLASSES = 1000
+
+
+def class_weights(df: DataFrame, target: str, most: int = MOST_CLASSES) -> dict[str, float]:
+    """Balanced weight n / (k · n_c) per class; a target of more than ``most`` values is no class column."""
+    counts = {r[target]: r["count"] for r in df.groupBy(target).count().limit(most + 1).collect()}
+    if len(counts) > most:
+        raise ValueError(f"column '{target}' holds more than {most} classes")
     total = sum(counts.values())
     return {label: total / (len(counts) * n) for label, n in counts.items()}
 

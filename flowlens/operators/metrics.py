@@ -184,7 +184,12 @@ def summary_over_folds(folds: DataFrame, value: str = "auc") -> DataFrame:
 
 
 def metrics_document(counts: DataFrame, auc: DataFrame | None = None) -> DataFrame:
-    """One row: report by label, confusion matrix in label order, and the area if given."""
+    """One row: report by label, confusion matrix in label order, rows without a true label, and the area if given.
+
+    Rows without a true label are counted in ``unlabelled`` and take no part in the figures.
+    """
+    missing = counts.filter("y_true is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    counts = counts.filter("y_true is not null")
     report = classification_report(counts).agg(F.map_from_entries(F.collect_list(F.struct(
         "label", F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support")))).alias("classification_report"))
     in_row = Window.partitionBy("y_true").orderBy("y_pred").rowsBetween(
@@ -192,5 +197,5 @@ def metrics_document(counts: DataFrame, auc: DataFrame | None = None) -> DataFra
     rows = confusion_grid(counts).select("y_true", F.collect_list("n").over(in_row).alias("cells")).distinct()
     matrix = rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("y_true", "cells"))),
                                   lambda r: r["cells"]).alias("confusion_matrix"))
-    document = report.withColumn("confusion_matrix", matrix.scalar())
+    document = report.withColumn("confusion_matrix", matrix.scalar()).withColumn("unlabelled", missing.scalar())
     return document.withColumn("auc", auc.select("auc").scalar()) if auc is not None else document

@@ -50,7 +50,7 @@ def fraction(df: DataFrame, share: float, key: Sequence[str], seed: int = 42) ->
 
 
 def repeat_rows(df: DataFrame, times: str, piece: int = PIECE_ROWS) -> DataFrame:
-    """Each row ``times`` times. Long runs are cut into pieces that move to other tasks."""
+    """Each row ``times`` times. Long runs are cut into pieces, dealt by row and piece over a fixed number of tasks."""
     one = F.lit(1).cast("long")
     short = (df.filter((F.col(times) > 0) & (F.col(times) <= piece))
              .withColumn("_copy", F.explode(F.sequence(one, F.col(times)))))
@@ -58,7 +58,7 @@ def repeat_rows(df: DataFrame, times: str, piece: int = PIECE_ROWS) -> DataFrame
     cut = (df.filter(F.col(times) > piece)
            .withColumn("_piece", F.explode(F.sequence(one, F.ceil(F.col(times) / piece))))
            .withColumn("_length", F.least(F.lit(piece).cast("long"), F.col(times) - (F.col("_piece") - 1) * piece))
-           .repartition("_piece"))
+           .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*[text.col(c) for c in df.columns]), "_piece"))
     long = cut.withColumn("_copy", F.explode(F.sequence(one, F.col("_length")))).drop("_piece", "_length")
     return short.unionByName(long).drop("_copy", times)
 

@@ -91,10 +91,13 @@ def status_logs(changes: DataFrame) -> DataFrame:
 
 
 def store(analysis: Analysis, root: str) -> None:
-    """Append the rows of a batch to the service tables."""
-    service_tables.append_table(analysis.analyses, root, "analyses")
-    service_tables.append_table(analysis.alerts, root, "alerts")
-    service_tables.append_table(analysis.logs, root, "logs")
+    """Add the rows of a batch to the service tables; storing a batch again changes nothing.
+
+    Identifiers derive from batch and item, so rows whose id is there already are left out. A run that was cut off between
+    two tables is made whole by the next one.
+    """
+    for name, rows in (("analyses", analysis.analyses), ("alerts", analysis.alerts), ("logs", analysis.logs)):
+        service_tables.append_new(rows, root, name)
 
 
 def analyse_and_store(scored: DataFrame, limit: Column | float, root: str,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
 from flowlens.operators import encoding, harmonise, sampling
+from flowlens.plans.ingest import Build
 
 # Rows taken of each dataset for training and for tuning.
 TRAINING_CAP = 50_000
@@ -25,21 +26,24 @@ class Fused:
     dropped: list[str]
 
 
-def fuse(datasets: Mapping[str, DataFrame], cap: int | None = TRAINING_CAP, label: str = "class",
+def fuse(datasets: Mapping[str, DataFrame | Build], cap: int | None = None, label: str = "class",
          keys: Mapping[str, Sequence[str]] | None = None, provenance: Sequence[str] = (),
          keep: Sequence[str] = (), seed: int = 42) -> DataFrame:
-    """Capped datasets with lower-case class and ``dataset``, united by column name.
+    """Datasets with lower-case class and ``dataset``, united by column name.
 
-    ``provenance`` names source label columns, which never become features; ``keys`` gives the
+    All rows are taken unless ``cap`` bounds the rows of each dataset (``TRAINING_CAP`` and ``TUNING_CAP`` are the usual bounds).
+    A dataset may be a ``Build``: its source label columns never become features. ``provenance`` names more
+    such columns, of plain tables; ``keys`` gives the
     identifying columns of a dataset, used for sampling only unless kept by ``keep``.
     """
     parts = []
-    for name, df in datasets.items():
+    for name, dataset in datasets.items():
+        df, own = (dataset.table, dataset.source_labels) if isinstance(dataset, Build) else (dataset, [])
         harmonise.require_column(df, label)
         key = (keys or {}).get(name)
         taken = sampling.cap_rows(df, cap, (), key, seed) if cap is not None else df
         target = F.lower(text.col(label).cast("string")).alias("_class")
-        hidden = {*harmonise.NON_FEATURES, "source_label", label, *provenance}
+        hidden = {*harmonise.NON_FEATURES, "source_label", label, *provenance, *own}
         features = [text.col(c) for c in taken.columns if c not in hidden or c in keep]
         parts.append(taken.select(*features, target).withColumn("dataset", F.lit(name))
                      .withColumnRenamed("_class", "class"))

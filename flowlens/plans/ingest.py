@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
 from flowlens.operators import harmonise, sampling
-from flowlens.session import small
+from flowlens.session import small, stage
 from flowlens.sources import files, positions, units
 
-# Row caps and shares of the sample builds.
+# The usual row caps and shares of the sample builds, for callers that want them.
 IDS2025_FILE_CAP, IDS2025_TOTAL_CAP = 100_000, 600_000
 KITSUNE_SCENARIO_CAP, KITSUNE_TOTAL_CAP = 50_000, 500_000
 NFUQ_CHUNK, NFUQ_SHARE, NFUQ_TOTAL_CAP = 200_000, 0.05, 1_000_000
@@ -19,65 +22,110 @@ LUFLOW_FILE_ROWS, LUFLOW_TOTAL_CAP = 4000, 1_000_000
 PAIR = ["_folder", "_pair"]
 
 
-def build_ids2025(spark: SparkSession, root: str, file_cap: int = IDS2025_FILE_CAP,
-                  total_cap: int = IDS2025_TOTAL_CAP, seed: int = 42) -> DataFrame:
-    return units.merge_units(spark, root, labels.LABEL_CANDIDATES["ids2025"], fallback="last",
-                             normal_tokens=labels.IDS2025_TOKENS, unit_cap=file_cap,
-                             total_cap=total_cap, seed=seed)
-
+@dataclass
+class Build:
+    """A labelled table, the columns its classes come from, and what became of every source unit."""
 
-def build_luflow(spark: SparkSession, root: str, file_rows: int = LUFLOW_FILE_ROWS,
-                 total_cap: int = LUFLOW_TOTAL_CAP, seed: int = 42) -> DataFrame:
-    merged = units.merge_units(spark, root, labels.LABEL_CANDIDATES["luflow"], passthrough=True,
-                               drop=harmonise.LUFLOW_IDENTIFIERS)
-    sampled = sampling.balanced_quota(merged, "class", ["source_file"], file_rows, seed=seed)
-    return sampling.cap_total(sampled, total_cap, "source_file")
+    table: DataFrame
+    source_labels: list[str]
+    status: DataFrame
 
+def build_ids2025(spark: SparkSession, root: str, file_cap: int | None = None,
+                  total_cap: int | None = None, seed: int = 42) -> Build:
+    """All rows of all labelled files, unless the caller sets caps."""
+    merged = units.merge_units(spark, root, labels.LABEL_CANDIDATES["ids2025"], fallback="last",
+                               normal_tokens=labels.IDS2025_TOKENS, keep_unit=True)
+    kept = merged.table
+    if file_cap is not None:
+        kept = sampling.cap_rows(kept, file_cap, group=[units.UNIT], seed=seed)
+    if total_cap is not None:
+        kept = sampling.cap_total(kept, total_cap, unit=units.UNIT)
+    return _built(merged, kept)
 
-def build_kitsune(spark: SparkSession, root: str, scenario_cap: int = KITSUNE_SCENARIO_CAP,
-                  total_cap: int = KITSUNE_TOTAL_CAP, seed: int = 42) -> DataFrame:
-    """Feature files joined row by row to their label files; unpaired files are left out.
 
-    All files with one header are read together; the join key is folder, pair and row.
+def build_luflow(spark: SparkSession, root: str, file_rows: int | None = None,
+                 total_cap: int | None = None, seed: int = 42) -> Build:
+    """All rows of all files; with ``file_rows`` a class-balanced sample of each larger file. A file is its whole path."""
+    merged = units.merge_units(spark, root, labels.LABEL_CANDIDATES["luflow"], passthrough=True,
+                               drop=harmonise.LUFLOW_IDENTIFIERS, keep_unit=True)
+    kept = merged.table
+    if file_rows is not None:
+        kept = sampling.balanced_quota(kept, "class", [units.UNIT], file_rows, seed=seed)
+    if total_cap is not None:
+        kept = sampling.cap_total(kept, total_cap, units.UNIT)
+    return _built(merged, kept)
+
+
+def _built(merged: units.Merged, kept: DataFrame) -> Build:
+    """The table without its unit column; rows of each unit before and after sampling."""
+    read = merged.table.groupBy(F.col(units.UNIT).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    left = kept.groupBy(F.col(units.UNIT).alias("path")).agg(F.count(F.lit(1)).alias("kept"))
+    status = (merged.status.join(read, "path", "left").join(left, "path", "left")
+              .select("path", "status", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("kept", F.lit(0)).alias("kept")))
+    return Build(harmonise.class_last(kept.drop(units.UNIT)), merged.source_labels, status)
+
+
+def build_kitsune(spark: SparkSession, root: str, scenario_cap: int | None = None,
+                  total_cap: int | None = None, seed: int = 42) -> Build:
+    """Feature files joined row by row to their label files; unpaired files are left out and reported.
+
+    All files with one header are read together; the join key is folder, pair and row. The label
+    column of the label files comes first in ``source_labels``: it is never a feature.
     """
     headers = units.unit_headers(spark, root)
     pairs = small(files.pair_label_files(headers.select("path")).filter("labels_path is not null"))
 
-    def groups(column: str, fallback: str) -> list[units.UnitGroup]:
+    def checked(column: str) -> DataFrame:
         chosen = headers.join(pairs.select(F.col(column).alias("path")), "path", "left_semi")
-        return units.group_units(units.label_status(chosen, labels.LABEL_CANDIDATES["kitsune"], fallback))
+        return units.label_status(chosen, labels.LABEL_CANDIDATES["kitsune"], "first")
 
     def located(group: units.UnitGroup, word: str) -> DataFrame:
         rows = harmonise.strip_headers(positions.csv_rows(files.load_csv(spark, group.paths)))
         path = F.col(positions.FILE)
         return rows.withColumns({"_folder": text.folder(path), "_pair": text.pair_key(path, word)}).drop(positions.FILE)
 
-    data = [located(group, "dataset") for group in groups("dataset_path", "first")]
+    data_units, label_units = stage(checked("dataset_path"), "units"), stage(checked("labels_path"), "units")
+    data = [located(group, "dataset") for group in units.group_units(data_units)]
     if not data:
         raise ValueError(f"no pair of data and label files below {root}")
     features = harmonise.union_by_name(*data)
-    parts = []
-    for group in groups("labels_path", "first"):
+    parts, names = [], set()
+    for group in units.group_units(label_units):
         known = located(group, "labels")
         kind = known.schema[group.label].dataType
+        names.add(group.label)
         zipped = positions.zip_rows(features, known, group.label, PAIR)
         parts.append(zipped.withColumn("class", labels.class_of(text.col(group.label), kind, labels.KITSUNE_TOKENS)))
     merged = harmonise.union_by_name(*parts).withColumn("_unit", F.concat_ws("/", *PAIR))
-    capped = sampling.cap_rows(merged, scenario_cap, ["_unit"], ["_unit", positions.ROW], seed)
-    kept = sampling.cap_total(capped, total_cap, "_unit")
+    kept = merged
+    if scenario_cap is not None:
+        kept = sampling.cap_rows(kept, scenario_cap, ["_unit"], ["_unit", positions.ROW], seed)
+    if total_cap is not None:
+        kept = sampling.cap_total(kept, total_cap, "_unit")
     scenario = text.file_name(F.col("_folder"))
-    return harmonise.class_last(kept.withColumn("scenario", scenario).drop("_unit", positions.ROW, *PAIR))
+    table = harmonise.class_last(kept.withColumn("scenario", scenario).drop("_unit", positions.ROW, *PAIR))
+    paired = data_units.select("path", "status").union(label_units.select("path", "status"))
+    alone = headers.select("path").join(paired, "path", "left_anti").select("path", F.lit("no pair").alias("status"))
+    return Build(table, sorted(names), paired.union(alone))
 
 
 def build_nfuq(spark: SparkSession, path: str, share: float = NFUQ_SHARE, chunk: int = NFUQ_CHUNK,
-               total_cap: int = NFUQ_TOTAL_CAP, seed: int = 42) -> DataFrame:
-    """The rounded share of every chunk of one large file, until the total is reached."""
+               total_cap: int | None = None, seed: int = 42) -> Build:
+    """The rounded share of every chunk of one large file, until ``total_cap`` (if given) is reached.
+
+    Rows are counted per file block first; with a cap, blocks that begin beyond the last chunk that can be
+    kept are not read again.
+    """
     scan = files.load_csv(spark, path)
-    rows = harmonise.strip_headers(positions.csv_rows(scan))
+    last_row = None if total_cap is None else chunk * (math.ceil(total_cap / max(1, round(share * chunk))) + 1)
+    rows = harmonise.strip_headers(positions.csv_rows(scan, last_row))
     label = labels.detect_label([c for c in rows.columns], labels.LABEL_CANDIDATES["nfuq"])
     rows = rows.withColumn("_chunk", F.floor(F.col(positions.ROW) / chunk)).drop(
         positions.FILE, *harmonise.NFUQ_IDENTIFIERS)
-    sampled = sampling.fraction_per_unit(rows, share, ["_chunk"], [positions.ROW], seed)
-    kept = sampling.cap_total(sampled, total_cap, "_chunk").drop("_chunk", positions.ROW)
+    kept = sampling.fraction_per_unit(rows, share, ["_chunk"], [positions.ROW], seed)
+    if total_cap is not None:
+        kept = sampling.cap_total(kept, total_cap, "_chunk")
+    kept = kept.drop("_chunk", positions.ROW)
     mapped = kept.withColumn("class", labels.class_of(text.col(label), kept.schema[label].dataType, labels.NFUQ_TOKENS))
-    return harmonise.class_last(mapped)
+    status = spark.createDataFrame([(path, "ok")], "path string, status string")
+    return Build(harmonise.class_last(mapped), [label], status)

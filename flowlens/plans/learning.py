@@ -103,10 +103,11 @@ def _labeller(target: str, classes: Mapping[str, float]) -> StringIndexerModel:
 
 
 def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None = None,
-        provenance: Sequence[str] = ()) -> Trained:
+        provenance: Sequence[str] = (), wide: str = "fail") -> Trained:
     """Impute, scale, one-hot encode and fit a forest; ``provenance`` columns are no features.
 
-    Headers are normalised first. Fitting passes over ``train`` several times, so give it a
+    ``wide`` says what becomes of columns of very many categories (``encoding.settle_levels``); a model fitted with
+    ``hash`` wants its rows hashed alike. Headers are normalised first. Fitting passes over ``train`` several times, so give it a
     stored table.
     """
     settings = settings or ForestSettings()
@@ -115,7 +116,7 @@ def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None
     harmonise.require_column(train, target)
     known = train.filter(text.col(target).isNotNull())
     numbers, categories = harmonise.feature_types(known, exclude=[target, *provenance])
-    encoding.check_levels(known, categories)
+    known, categories = encoding.settle_levels(known, categories, wide)
     fits, modes = encoding.fit_numbers(known, numbers), encoding.fit_modes(known, categories)
     stages = [encoding.projection_stage(fits, modes)]
     blocks = [f"num_{i}" for i in range(len(fits))]
@@ -209,23 +210,26 @@ def auc_of(trained: Trained, scored: DataFrame, target: str, positive: str = ANO
 def cross_validate(df: DataFrame, target: str = "class", folds: int = FOLDS, settings: ForestSettings | None = None,
                    key: Sequence[str] | None = None, provenance: Sequence[str] = (), most_rows: int = CV_ROWS,
                    positive: str = ANOMALY, parallelism: int = 4, seed: int = 42) -> DataFrame:
-    """(fold, auc) of a model fitted on the other folds, preprocessing included.
+    """(fold, rows, auc) of a model fitted on the other folds, preprocessing included.
 
-    ``parallelism`` folds are submitted at a time, as in Spark's own cross validation.
+    At most ``most_rows`` labelled rows take part, those first in hash order. ``parallelism`` folds are
+    submitted at a time, as in Spark's own cross validation.
     """
     subset = sampling.cap_rows(df, most_rows, (), key, seed)
     folded = stage(sampling.stratified_folds(subset, folds, target, key, seed), "folds")
     hidden = [*provenance, *(key or ())]
     spark = df.sparkSession
 
-    def run(fold: int) -> tuple[int, float | None]:
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+
+    def run(fold: int) -> tuple[int, int, float | None]:
         trained = fit(folded.filter(F.col("fold") != fold).drop("fold"), target, settings, hidden)
         scored = predict(trained, folded.filter(F.col("fold") == fold).drop("fold"), positive)
-        return fold, auc_of(trained, scored, target, positive).first()["auc"]
+        return fold, sizes.get(fold, 0), auc_of(trained, scored, target, positive).first()["auc"]
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(inheritable_thread_target(spark)(run), range(folds)))
-    return spark.createDataFrame(rows, "fold int, auc double")
+    return spark.createDataFrame(rows, "fold int, rows long, auc double")
 
 
 def draw_settings(draws: int = SEARCH_DRAWS, space: Mapping[str, Sequence] = SEARCH_SPACE, seed: int = 42) -> list[ForestSettings]:
@@ -251,8 +255,7 @@ def random_search(df: DataFrame, features: Sequence[str], target: str = "class",
     rows = encoding.with_weight(assembled(folded, features, [target, "fold"]), target, weights, "_balanced")
     rows = stage(labeller.transform(rows.withColumn("_even", F.lit(1.0))).drop(target), "search")
     settings = draw_settings(draws, space, seed)
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", predictionCol="encoded",
-                                    probabilityCol="probability", rawPredictionCol="votes", seed=seed)
+    forest = ForestSettings(maxDepth=max(s.maxDepth for s in settings), balanced=False, seed=seed).classifier()
     grid = [{forest.numTrees: s.numTrees, forest.maxDepth: s.maxDepth,
              forest.minInstancesPerNode: s.minInstancesPerNode,
              forest.featureSubsetStrategy: s.featureSubsetStrategy, forest.bootstrap: s.bootstrap,

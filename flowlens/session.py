@@ -64,20 +64,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 SMALL_ROWS = 100_000
+SMALL_BYTES = 32 << 20
+
+
+def _bounded(df: DataFrame, rows: int):
+    """``df`` as an Arrow table if it is within the bounds of rows and bytes, else nothing."""
+    table = df.limit(rows + 1).toArrow()
+    return table if table.num_rows <= rows and table.nbytes <= SMALL_BYTES else None
 
 
 def small_rows(df: DataFrame, rows: int = SMALL_ROWS) -> tuple[DataFrame, list[dict] | None]:
-    """A table of few rows, computed once and broadcast, together with its rows.
+    """A table of few rows and bytes, computed once and broadcast, together with its rows.
 
-    Its size is checked first: beyond ``rows`` it is staged instead, without rows on the
+    Its size is checked first: beyond ``rows`` or ``SMALL_BYTES`` it is staged instead, without rows on the
     driver, and Spark joins it like any other table.
     """
-    table = df.limit(rows + 1).toArrow()
-    if table.num_rows > rows:
+    table = _bounded(df, rows)
+    if table is None:
         return stage(df, "small"), None
     return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), table.to_pylist()
 
 
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """The table of ``small_rows`` alone."""
-    return small_rows(df, rows)[0]
+    table = _bounded(df, rows)
+    return stage(df, "small") if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))

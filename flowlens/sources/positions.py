@@ -1,6 +1,6 @@
 """Row positions of files, and joining two files row by row.
 
-Parquet knows its row positions. For CSV the position is the place inside a file split plus
+Parquet knows the position of a row in its file; a table's rows are those of its files in path order. For CSV the position is the place inside a file split plus
 the rows of the earlier splits of the same file. The scan is staged first, so that counting
 and joining see the same splits, also after an executor is lost.
 """
@@ -17,33 +17,55 @@ FILE = "_file"
 
 
 def parquet_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet rows with their position in the file; no shuffle."""
-    return spark.read.parquet(path).select(
-        "*", F.col("_metadata.row_index").alias(ROW), F.col("_metadata.file_path").alias(FILE))
+    """Parquet rows with their position in the whole table: files follow each other in path order.
 
+    The rows of earlier files come from a count per file; no shuffle of the rows themselves.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.row_index").alias("_place"), F.col("_metadata.file_path").alias(FILE))
+    counts = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias(FILE)).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per file, so the window holds counts only.
+    earlier = Window.partitionBy(F.lit(0)).orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(FILE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    return rows.join(small(starts), FILE).withColumn(ROW, F.col("_place") + F.col("_start")).drop("_place", "_start")
+
+
+def csv_rows(scan: DataFrame, last_row: int | None = None) -> DataFrame:
+    """A bare CSV scan with the position of each row in its file.
 
-def csv_rows(scan: DataFrame) -> DataFrame:
-    """A bare CSV scan with the position of each row in its file."""
+    With ``last_row`` only file splits that begin before that row are taken.
+    """
     numbered = scan.select("*", F.col("_metadata.file_path").alias(FILE),
                            F.col("_metadata.file_block_start").alias("_block"),
                            F.monotonically_increasing_id().alias("_order"))
-    staged = stage(numbered, "positions")
-    blocks = staged.groupBy(FILE, "_block").agg(F.min("_order").alias("_first"),
-                                                F.count(F.lit(1)).alias("_rows"))
-    # One row per file split, so a file's window stays small.
-    earlier = (Window.partitionBy(FILE).orderBy("_block")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = blocks.select(FILE, "_block", "_first",
-                           F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    return (staged.join(small(starts), [FILE, "_block"])
+    if last_row is None:
+        numbered = stage(numbered, "positions")
+        blocks = numbered.groupBy(FILE, "_block").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        wanted = numbered
+    else:
+        # Counting needs no column; only the splits that can be kept are read and stored whole.
+        counted = scan.select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("_block"))
+        rows = stage(counted.groupBy(FILE, "_block").agg(F.count(F.lit(1)).alias("_rows")), "blocks")
+        starts = _split_starts(rows.withColumn("_first", F.lit(0))).filter(F.col("_start") < last_row)
+        wanted = stage(numbered.join(small(starts.select(FILE, "_block")), [FILE, "_block"], "left_semi"), "positions")
+        first = wanted.groupBy(FILE, "_block").agg(F.min("_order").alias("_first"))
+        blocks = rows.join(first, [FILE, "_block"], "left")
+    starts = _split_starts(blocks)
+    return (wanted.join(small(starts), [FILE, "_block"])
             .withColumn(ROW, F.col("_order") - F.col("_first") + F.col("_start"))
             .drop("_block", "_order", "_first", "_start"))
 
 
+def _split_starts(blocks: DataFrame) -> DataFrame:
+    """Rows of a file before each of its splits. One row per split, so a file's window stays small."""
+    earlier = Window.partitionBy(FILE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(FILE, "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+
+
 def zip_rows(features: DataFrame, labels: DataFrame, label: str, keys: list[str] | None = None) -> DataFrame:
     """Rows of both sides with equal position (and pair ``keys``), cut to the shorter side.
 
-    The label column replaces a feature of the same name.
+    Without ``keys`` the positions must be those of whole tables (``parquet_rows``), not of single files. The
+    label column replaces a feature of the same name.
     """
     on = [*(keys or []), ROW]
     return features.drop(label).join(labels.select(*on, label), on)

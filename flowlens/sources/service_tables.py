@@ -54,6 +54,14 @@ def append_table(df: DataFrame, root: str, name: str) -> None:
         "append").parquet(f"{root}/{name}")
 
 
+def append_new(df: DataFrame, root: str, name: str, key: str = "id") -> None:
+    """Append the rows whose key the table does not hold yet."""
+    spark = df.sparkSession
+    spark.createDataFrame([], TABLES[name]).write.mode("append").parquet(f"{root}/{name}")
+    there = read_table(spark, root, name).select(key)
+    append_table(df.join(there, key, "left_anti"), root, name)
+
+
 def clear_table(spark: SparkSession, root: str, name: str) -> None:
     """Empty a service table."""
     spark.createDataFrame([], TABLES[name]).write.mode("overwrite").parquet(f"{root}/{name}")

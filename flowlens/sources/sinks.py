@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import text
 
-RESULTS_PER_DOCUMENT = 10_000
-
 
 def write_merged(df: DataFrame, path: str, partition: str = "dataset") -> None:
     """Merged flow table, one folder per dataset."""
@@ -51,17 +49,15 @@ def write_export(df: DataFrame, path: str) -> None:
 
 
 def result_documents(results: DataFrame, summary: DataFrame, batch: Sequence[str] = ("batch_id",),
-                     item: str = "item_no", per_document: int = RESULTS_PER_DOCUMENT) -> DataFrame:
-    """JSON documents ``{summary, results}`` per batch.
+                     item: str = "item_no") -> DataFrame:
+    """JSON lines of each batch: one ``summary`` row, one ``result`` row per item.
 
-    A batch that fits in one document gives exactly one; a larger one continues in further
-    parts, so that no task ever holds a whole large batch.
+    The form is the same for a batch of any size, and no task ever holds a whole batch.
     """
     keys = list(batch)
-    fields = [c for c in results.columns if c not in keys]
-    parts = (results.withColumn("part", F.floor(F.col(item) / per_document))
-             .groupBy(*keys, "part")
-             .agg(F.array_sort(F.collect_list(F.struct(item, *[f for f in fields if f != item]))).alias("results")))
-    totals = summary.select(*keys, F.struct(*[c for c in summary.columns if c not in keys]).alias("summary"))
-    return parts.join(totals, keys).select(
-        *keys, "part", F.to_json(F.struct("summary", "results")).alias("document"))
+
+    def lines(df: DataFrame, kind: str, number) -> DataFrame:
+        fields = [c for c in df.columns if c not in keys]
+        return df.select(*keys, F.lit(kind).alias("kind"), number.cast("long").alias(item), F.to_json(F.struct(*fields)).alias("document"))
+
+    return lines(summary, "summary", F.lit(None)).unionByName(lines(results, "result", F.col(item)))

@@ -1,7 +1,7 @@
 """Merging many CSV files whose headers may differ.
 
-Every file is a unit with its own header. Headers are read inside tasks (64 KiB per file),
-files with equal headers are read together, and the groups are united by column name.
+Every file is a unit with its own header: its whole first record, read inside tasks. Files with equal headers are read
+together, and the groups are united by column name. Every unit has a status; none is lost unseen.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
 from flowlens.operators import harmonise, sampling
+from flowlens.session import stage
 from flowlens.sources import files
 
-HEADER_BYTES = 65536
+UNIT = "_unit"
 
 
 @dataclass
@@ -29,29 +30,64 @@ class UnitGroup:
     paths: list[str]
 
 
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+@dataclass
+class Merged:
+    """Rows of all usable units, where their classes come from, and the status of every unit."""
+
+    table: DataFrame
+    source_labels: list[str]
+    status: DataFrame
+
+
+HEADER_STEP = 65536
+# Names by which Spark and pyarrow call one store.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _first_record(stream) -> str:
+    """The text up to the first line end outside quotes, read step by step, however long it is."""
+    raw, at, quotes = b"", 0, 0
+    while piece := stream.read(HEADER_STEP):
+        raw += piece
+        while (end := raw.find(b"\n", at)) >= 0:
+            quotes += raw.count(b'"', at, end)
+            at = end + 1
+            if quotes % 2 == 0:
+                return raw[:end].decode("utf-8-sig", "replace").rstrip("\r")
+    return raw.decode("utf-8-sig", "replace").rstrip("\r")
+
+
+def read_header(path: str) -> tuple[list[str], str | None]:
+    """Names in the first record of a file, or why it cannot be read.
+
+    A scheme without a file system here raises: such files would be missing from the table without a word.
+    """
     import csv
+    import io
     import re
 
     from pyarrow import fs
 
-    def header(path: str) -> tuple[list[str], str | None]:
-        try:
-            system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
-            with system.open_input_stream(inner) as stream:
-                lines = stream.read(HEADER_BYTES).decode("utf-8-sig", "replace").splitlines()
-            return (next(csv.reader(lines[:1])) if lines else []), None
-        except (OSError, ValueError, StopIteration) as problem:
-            return [], str(problem)
+    scheme, found, rest = path.partition(":")
+    uri = re.sub("^file:/+", "file:///", f"{SCHEMES.get(scheme, scheme)}{found}{rest}")
+    system, inner = fs.FileSystem.from_uri(uri)
+    try:
+        with system.open_input_stream(inner) as stream:
+            record = _first_record(stream)
+    except OSError as problem:
+        return [], str(problem)
+    return (next(csv.reader(io.StringIO(record), skipinitialspace=True), []) if record.strip() else []), None
+
 
+def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        parsed = [header(path) for path in batch["path"]]
+        parsed = [read_header(path) for path in batch["path"]]
         yield pd.DataFrame({"path": batch["path"], "header": [names for names, _ in parsed],
                             "error": [problem for _, problem in parsed]})
 
 
 def unit_headers(spark: SparkSession, root: str) -> DataFrame:
-    """Path, header and read error of every CSV file below ``root``."""
+    """Path, header and read error of every CSV file below ``root``; only the headers are read."""
     found = files.manifest(spark, root, files.CSV_GLOB).select("path")
     return found.mapInPandas(_read_headers, "path string, header array<string>, error string")
 
@@ -72,12 +108,15 @@ def label_status(headers: DataFrame, candidates: Sequence[str], fallback: str =
 
 
 def group_units(status: DataFrame) -> list[UnitGroup]:
-    """Readable units by header; only paths and header names reach the driver."""
-    grouped = (status.filter("status = 'ok'").groupBy("header", "label_column")
-               .agg(F.array_sort(F.collect_list("path")).alias("paths")))
-    groups = [UnitGroup(tuple(r["header"]), r["label_column"], list(r["paths"]))
-              for r in grouped.collect()]
-    return sorted(groups, key=lambda group: group.paths[0])
+    """Readable units by header; the driver, which must name the files to read, holds their paths."""
+    usable = status.filter("status = 'ok'").select("header", "label_column", "path")
+    groups: dict[tuple, UnitGroup] = {}
+    for row in usable.toLocalIterator():
+        key = (tuple(row["header"]), row["label_column"])
+        groups.setdefault(key, UnitGroup(key[0], key[1], [])).paths.append(row["path"])
+    for group in groups.values():
+        group.paths.sort()
+    return sorted(groups.values(), key=lambda group: group.paths[0])
 
 
 def _kept_name(label: str) -> str:
@@ -85,31 +124,28 @@ def _kept_name(label: str) -> str:
     return "source_label" if label.lower() == "class" else label
 
 
-def source_labels(spark: SparkSession, root: str, candidates: Sequence[str], fallback: str = "error") -> list[str]:
-    """Label columns of the merged table: where classes come from, never features."""
-    status = label_status(unit_headers(spark, root), candidates, fallback)
-    return sorted({_kept_name(group.label) for group in group_units(status)})
-
-
 def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
                 fallback: str = "error", normal_tokens: Sequence[str] = labels.IDS2025_TOKENS,
                 passthrough: bool = False, drop: Sequence[str] = (), schema=None,
                 unit_cap: int | None = None, total_cap: int | None = None,
-                seed: int = 42) -> DataFrame:
+                seed: int = 42, keep_unit: bool = False) -> Merged:
     """One table from all labelled units, with ``source_file`` and ``class`` last.
 
-    The source labels stay in the table; ``source_labels`` names them for exclusion.
+    The source labels stay in the table; ``source_labels`` names them for exclusion. ``status`` has a row for
+    every file, those left out (unreadable, empty, no label) included; a file that fails later on ends the job.
 
     ``unit_cap`` bounds the rows per file and ``total_cap`` stops before the first file that
-    starts at or above it; both are features of the sample build, off by default.
+    starts at or above it; both are features of the sample build, off by default. ``keep_unit`` leaves the
+    path of each row in ``_unit``.
     """
-    status = label_status(unit_headers(spark, root), candidates, fallback)
-    parts = []
+    status = stage(label_status(unit_headers(spark, root), candidates, fallback), "units")
+    parts, names = [], set()
     for group in group_units(status):
-        raw = files.load_csv(spark, group.paths, schema, skip_unreadable=True)
-        raw = files.with_source(raw, "source_file").select("*", F.col("_metadata.file_path").alias("_unit"))
+        raw = files.load_csv(spark, group.paths, schema)
+        raw = files.with_source(raw, "source_file").select("*", F.col("_metadata.file_path").alias(UNIT))
         raw = harmonise.strip_headers(raw).drop(*drop)
         kept = _kept_name(group.label)
+        names.add(kept)
         raw = raw.withColumnRenamed(group.label, kept)
         mapped = (labels.class_passthrough(text.col(kept)) if passthrough else
                   labels.class_of(text.col(kept), raw.schema[kept].dataType, normal_tokens))
@@ -118,10 +154,11 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
         raise ValueError(f"no labelled CSV file below {root}")
     merged = harmonise.union_by_name(*parts)
     if unit_cap is not None:
-        merged = sampling.cap_rows(merged, unit_cap, group=["_unit"], seed=seed)
+        merged = sampling.cap_rows(merged, unit_cap, group=[UNIT], seed=seed)
     if total_cap is not None:
-        merged = sampling.cap_total(merged, total_cap, unit="_unit")
-    return harmonise.class_last(merged.drop("_unit"))
+        merged = sampling.cap_total(merged, total_cap, unit=UNIT)
+    table = harmonise.class_last(merged if keep_unit else merged.drop(UNIT))
+    return Merged(table, sorted(names), status.select("path", "label_column", "status"))
 
 
 def unit_report(merged: DataFrame, unit: str = "source_file") -> DataFrame:

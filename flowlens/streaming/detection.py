@@ -17,13 +17,17 @@ from flowlens.plans import analysis
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None = None,
                 files_per_batch: int | None = None) -> DataFrame:
-    """New parquet files of a folder as a stream."""
+    """New parquet files of a folder, or one file, as a stream.
+
+    The path is given as a pattern that only it matches: Spark then takes a single file as well.
+    """
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    path = folder.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def score_stream(flows: DataFrame, score: Callable[[DataFrame], DataFrame], limit: Column | float = DEFAULT_THRESHOLD) -> DataFrame:
@@ -65,6 +69,18 @@ def to_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start())
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``foreachBatch`` wrote below ``path``; no rows where nothing was written."""
+    marked = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/epoch=-1")
+    return spark.read.schema(marked).parquet(path).drop("epoch")
+
+
+def adaptive_schema(scored: DataFrame) -> T.StructType:
+    """Columns of the analyses an adaptive stream writes."""
+    return analysis.judge(scored, F.lit(0.0)).withColumn("threshold", F.lit(0.0)).schema
+
+
 def adaptive_stream(scored: DataFrame, path: str, checkpoint: str, at: str, key: str,
                     n: int = threshold.RECENT_SCORES, fallback: float = DEFAULT_THRESHOLD) -> StreamingQuery:
     """Judge each micro-batch by the smart threshold of the latest n scores before it.

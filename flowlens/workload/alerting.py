@@ -123,22 +123,22 @@ FROM results WHERE predicted_label = 'ANOMALY' AND auto_create_alert GROUP BY ba
 
 
 def result_documents(spark, sf):
-    """JSON documents of every batch, read back and summed."""
+    """JSON lines of every batch, read back and summed."""
     found = todays_analysis(spark, sf)
     results = found.results.select("batch_id", "item_no", "anomaly_score", "predicted_label")
     documents = sinks.result_documents(results, analysis.summary(found))
-    shape = ("summary struct<total: bigint, anomalies: bigint>, "
-             "results array<struct<item_no: bigint, anomaly_score: double, predicted_label: string>>")
+    shape = "total bigint, anomalies bigint, item_no bigint, anomaly_score double, predicted_label string"
     parsed = documents.withColumn("d", F.from_json("document", shape))
     return parsed.groupBy("batch_id").agg(
-        F.max("d.summary.total").alias("total"), F.max("d.summary.anomalies").alias("anomalies"),
-        F.sum(F.size("d.results")).alias("results"),
-        F.round(F.sum(F.aggregate("d.results", F.lit(0.0), lambda s, r: s + r["anomaly_score"])), 4).alias("score_sum"))
+        F.max("d.total").alias("total"), F.max("d.anomalies").alias("anomalies"),
+        F.count_if(F.col("kind") == "result").alias("results"), F.count_distinct("d.item_no").alias("items"),
+        F.count_if(F.col("kind") == "summary").alias("summaries"),
+        F.round(F.sum("d.anomaly_score"), 4).alias("score_sum"))
 
 
 RESULT_DOCUMENTS = f"""WITH {EFFECTIVE}
 SELECT batch_id, count(*) AS total, count(*) FILTER (predicted_label = 'ANOMALY') AS anomalies,
-       count(*) AS results, round(sum(anomaly_score), 4) AS score_sum
+       count(*) AS results, count(*) AS items, CAST(1 AS BIGINT) AS summaries, round(sum(anomaly_score), 4) AS score_sum
 FROM results GROUP BY batch_id"""
 
 # --- alert tables --------------------------------------------------------------------------

@@ -1,8 +1,12 @@
-"""Random forests on the driver tables. Forests differ between engines, so most have no SQL."""
+"""Random forests on the driver tables.
+
+Forests differ between engines, so the queries return what any right forest must show: sizes of parts,
+probabilities that add up, names, and agreement of what is reported in two ways.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
@@ -11,7 +15,7 @@ from flowlens.plans import evaluation, fusion, learning
 from flowlens.session import scratch_path
 from flowlens.sources import sinks
 from flowlens.workload import bindings as b
-from flowlens.workload.preparation import sizes_sql, sources
+from flowlens.workload.preparation import SOURCES, sizes_sql, sources
 
 SMALL_FOREST = learning.ForestSettings(numTrees=10, maxDepth=6)
 SMALL_SPACE = {
@@ -20,7 +24,7 @@ SMALL_SPACE = {
 
 
 def item_flows(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as flows: dear items are the anomalies; price itself is no feature."""
+    """Line items as flows: dear items are the anomalies. Price is a feature on purpose, so that there is a rule to learn."""
     return b.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_extendedprice", F.when(F.col("l_extendedprice") * (1 - F.col("l_discount")) > 60000, labels.ANOMALY).otherwise(labels.NORMAL).alias("class"))
@@ -38,76 +42,101 @@ def trained_on_items(spark: SparkSession, sf: str) -> tuple[learning.Trained, Da
 
 
 def rf_train_score(spark, sf):
-    """Scored test rows: label, code, score of the anomaly class, probabilities."""
+    """Scored test rows per true class: all of them have probabilities that add to one, the code of their
+    label, and the probability of the anomaly class as score."""
     trained, rows = trained_on_items(spark, sf)
-    return learning.predict(trained, rows.filter("split = 'test'"))
+    scored = learning.predict(trained, rows.filter("split = 'test'"))
+    total = F.aggregate(F.map_values("raw_proba"), F.lit(0.0), lambda a, p: a + p)
+    label = F.when(F.col("predicted_label_encoded") == 0, labels.ANOMALY).otherwise(labels.NORMAL)
+    return scored.groupBy("class").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(total - 1) < 1e-9).alias("proba_sums"),
+        F.count_if(F.col("predicted_label") == label).alias("label_codes"),
+        F.count_if(F.col("anomaly_score") == F.col("raw_proba")[labels.ANOMALY]).alias("anomaly_scores"))
 
 
 def rf_evaluate(spark, sf):
-    """Metrics document of the validation rows."""
+    """Metrics document of the validation rows: support per class, total of the matrix, a plausible area."""
     trained, rows = trained_on_items(spark, sf)
-    return evaluation.evaluate(trained, rows.filter("split = 'val'")).document
+    document = evaluation.evaluate(trained, rows.filter("split = 'val'")).document
+    total = F.aggregate(F.flatten("confusion_matrix"), F.lit(0).cast("long"), lambda a, n: a + n)
+    plausible = (F.col("auc") > 0.5) & (F.col("auc") <= 1)
+    lines = document.select(F.explode("classification_report").alias("class", "line"), total.alias("matrix_total"), plausible.alias("auc_plausible"))
+    return lines.filter(F.col("class").isin(labels.ANOMALY, labels.NORMAL)).select("class", F.col("line.support").alias("support"), "matrix_total", "auc_plausible")
 
 
 def rf_predict_only(spark, sf):
-    """Predictions of rows without a label."""
+    """Predictions of rows without a label: as many rows and keys as were given, each with a label and a score."""
     trained, rows = trained_on_items(spark, sf)
-    return evaluation.evaluate(trained, rows.filter("split = 'test'").drop("class"), predict_only=True).predictions
+    found = evaluation.evaluate(trained, rows.filter("split = 'test'").drop("class"), predict_only=True).predictions
+    return found.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction").isin(labels.ANOMALY, labels.NORMAL)).alias("labelled"),
+                     F.count_if(F.col("anomaly_score").between(0, 1)).alias("scored"))
 
 
 def feature_importance_top30(spark, sf):
-    return learning.feature_importances(trained_on_items(spark, sf)[0])
+    """Names of the expanded features; their importances add to one."""
+    found = learning.feature_importances(trained_on_items(spark, sf)[0])
+    return found.select("feature", F.round(F.sum("importance").over(Window.partitionBy(F.lit(0))), 6).alias("total"))
 
 
 def priced_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts whose class is a rule of size and price, both features on purpose."""
     return b.table(spark, sf, "part").select(
         "p_partkey", "p_size", "p_retailprice", "p_brand", "p_type",
         F.when(F.col("p_size") * 20 > F.col("p_retailprice"), labels.ANOMALY).otherwise(labels.NORMAL).alias("class"))
 
 
 def rf_cv_auc(spark, sf):
-    """Area of each of five folds."""
-    return learning.cross_validate(priced_parts(spark, sf), "class", 5, SMALL_FOREST, key=["p_partkey"])
+    """Rows of each of five folds, and whether its area is one of a forest that has learned."""
+    folds = learning.cross_validate(priced_parts(spark, sf), "class", 5, SMALL_FOREST, key=["p_partkey"])
+    return folds.select("fold", "rows", ((F.col("auc") > 0.5) & (F.col("auc") <= 1)).alias("plausible"))
 
 
 def rf_random_search(spark, sf):
-    """Four random settings on encoded parts, each scored by three folds."""
+    """Four random settings on encoded parts, each scored by three folds: one is best, with the greatest score."""
     encoded = fusion.encode_fused(priced_parts(spark, sf), keep=("class", "p_partkey"))
-    return learning.random_search(encoded.table, encoded.features, "class", 4, 3, SMALL_SPACE, ["p_partkey"])[1]
+    table = learning.random_search(encoded.table, encoded.features, "class", 4, 3, SMALL_SPACE, ["p_partkey"])[1]
+    return table.agg(F.count(F.lit(1)).alias("draws"), F.countDistinct("draw").alias("numbers"), F.count_if(F.col("best")).alias("best"),
+                     (F.max("cv_f1") == F.max(F.when(F.col("best"), F.col("cv_f1")))).alias("best_is_greatest"))
 
 
 def rf_fused(spark, sf):
-    """Fusion, encoding, split, forest and confusion counts of four datasets."""
-    parts = {name: df.withColumn("row_id", F.xxhash64(*df.columns)) for name, df in sources(spark, sf).items()}
-    fused = fusion.fuse(parts, cap=None)
-    encoded = fusion.encode_fused(fused, keep=("class", "row_id", "key"))
-    rows = sampling.hashed_split(encoded.table, ["row_id", "key"], 0.2)
+    """Fusion, encoding, split by key, forest: predicted test rows per true class of four datasets."""
+    encoded = fusion.encode_fused(fusion.fuse(sources(spark, sf)), keep=("class", "key"))
+    rows = sampling.hashed_split(encoded.table, ["key"], 0.2)
     trained = learning.fit_encoded(rows.filter("split = 'train'"), encoded.features, "class",
                                    learning.ForestSettings(numTrees=10, maxDepth=6, balanced=False))
     scored = learning.predict(trained, rows.filter("split = 'test'"))
-    return metrics.confusion_grid(metrics.confusion_counts(scored, "class", "predicted_label"))
+    grid = metrics.confusion_grid(metrics.confusion_counts(scored, "class", "predicted_label"))
+    return grid.groupBy(F.col("y_true").alias("class")).agg(F.sum("n").alias("rows"))
 
 
 def rf_multiclass(spark, sf):
-    """Ten classes from embeddings: one probability column per class."""
+    """Ten classes from embeddings: test rows, probability columns, rows whose probabilities add to one."""
     rows = b.table(spark, sf, "embeddings").select(
         "vec_id", F.col("label").cast("string").alias("class"), *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
     halves = sampling.hashed_split(rows, ["vec_id"], 0.3)
     trained = learning.fit_encoded(halves.filter("split = 'train'"), [f"e{i}" for i in range(64)], "class",
                                    learning.ForestSettings(numTrees=10, maxDepth=6, balanced=True))
     scored = learning.predict(trained, halves.filter("split = 'test'"))
-    return learning.probability_columns(trained, scored).drop(*[f"e{i}" for i in range(64)])
+    named = learning.probability_columns(trained, scored)
+    columns = [c for c in named.columns if c.startswith("proba_")]
+    total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
+    return named.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(columns)).cast("long").alias("classes"), F.count_if(F.abs(total - 1) < 1e-9).alias("proba_sums"))
 
 
 def rf_served_requests(spark, sf):
-    """A saved and reloaded model scores request items given as feature maps."""
+    """A saved and reloaded model scores request items given as feature maps as the model in memory does.
+
+    The class is a rule of a feature on purpose."""
     flows = b.flows(spark, sf).select("event_id", F.col("value").alias("Flow Byts/s"), F.col("user_id").cast("double").alias("Tot Fwd Pkts"),
                                       F.when(F.col("value") > 100, labels.ANOMALY).otherwise(labels.NORMAL).alias("class"))
     trained = learning.fit_encoded(flows, ["Flow Byts/s", "Tot Fwd Pkts"], "class", SMALL_FOREST)
     path = scratch_path(spark, "model")
     trained.save(path)
     items = flows.select("event_id", F.create_map(F.lit("Flow Byts/s"), text.col("Flow Byts/s"), F.lit("other"), F.lit(1.0)).alias("features"))
-    return learning.score_requests(learning.Trained.load(spark, path), items)
+    kept = learning.score_requests(trained, items).select("event_id", F.col("anomaly_score").alias("before"))
+    served = learning.score_requests(learning.Trained.load(spark, path), items).join(kept, "event_id")
+    return served.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(F.col("anomaly_score") - F.col("before")) < 1e-12).alias("equal_rows"))
 
 
 def rf_split_files(spark, sf):
@@ -128,4 +157,22 @@ RF_SPLIT_FILES = f"""WITH sizes AS (
     UNION ALL SELECT 'val', v.class, v.n - t.n FROM trainval v JOIN train t ON v.class = t.class
     UNION ALL SELECT 'test', s.class, s.n - v.n FROM sizes s JOIN trainval v ON s.class = v.class)
 SELECT split, class, rows FROM parts WHERE rows > 0"""
-ORACLES = {"rf_split_files": RF_SPLIT_FILES}
+ITEM_PARTS = f"""WITH sizes AS (
+    SELECT CASE WHEN l_extendedprice * (1 - l_discount) > 60000 THEN 'anomaly' ELSE 'normal' END AS class, count(*) AS n FROM lineitem GROUP BY 1),
+{sizes_sql('trainval', 'sizes', '0.2')}, {sizes_sql('train', 'trainval', '0.125')}, parts AS (
+    SELECT s.class, v.n - t.n AS val, s.n - v.n AS test FROM sizes s JOIN trainval v ON s.class = v.class JOIN train t ON s.class = t.class)"""
+RF_TRAIN_SCORE = f"{ITEM_PARTS} SELECT class, test AS rows, test AS proba_sums, test AS label_codes, test AS anomaly_scores FROM parts WHERE test > 0"
+RF_EVALUATE = f"""{ITEM_PARTS} SELECT class, val AS support, CAST(sum(val) OVER () AS BIGINT) AS matrix_total, true AS auc_plausible FROM parts WHERE val > 0"""
+RF_PREDICT_ONLY = f"{ITEM_PARTS} SELECT CAST(sum(test) AS BIGINT) AS rows, CAST(sum(test) AS BIGINT) AS labelled, CAST(sum(test) AS BIGINT) AS scored FROM parts"
+FEATURE_IMPORTANCE_TOP30 = """SELECT feature, CAST(1 AS DOUBLE) AS total FROM (
+    SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'l_extendedprice']) AS feature
+    UNION ALL SELECT DISTINCT 'l_returnflag_' || l_returnflag FROM lineitem UNION ALL SELECT DISTINCT 'l_linestatus_' || l_linestatus FROM lineitem)"""
+RF_CV_AUC = """SELECT CAST(fold AS INTEGER) AS fold, (SELECT count(*) FROM part) // 5 + CASE WHEN fold < (SELECT count(*) FROM part) % 5 THEN 1 ELSE 0 END AS rows,
+       true AS plausible FROM range(5) f(fold)"""
+RF_RANDOM_SEARCH = """SELECT CAST(4 AS BIGINT) AS draws, CAST(4 AS BIGINT) AS numbers, CAST(1 AS BIGINT) AS best, true AS best_is_greatest"""
+RF_FUSED = f"""WITH {SOURCES} SELECT class, count(*) AS rows FROM fused
+WHERE CAST('0x' || substr(md5('42|' || key), 1, 8) AS BIGINT) / 4294967296.0 >= 0.8 GROUP BY class"""
+RF_MULTICLASS = """WITH test AS (SELECT * FROM embeddings WHERE CAST('0x' || substr(md5('42|' || vec_id), 1, 8) AS BIGINT) / 4294967296.0 >= 0.7)
+SELECT count(*) AS rows, (SELECT count(DISTINCT label) FROM embeddings) AS classes, count(*) AS proba_sums FROM test"""
+RF_SERVED_REQUESTS = "SELECT count(*) AS rows, count(*) AS equal_rows FROM events"
+ORACLES = {name: globals()[name.upper()] for name in NAMES}

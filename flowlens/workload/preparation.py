@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
 from flowlens.operators import cleaning, encoding, matching, profile, sampling
-from flowlens.plans import fusion
+from flowlens.plans import fusion, ingest
 from flowlens.session import scratch_path
 from flowlens.sources import files, positions, units
 from flowlens.workload import bindings as b
@@ -75,18 +75,21 @@ LABEL_TO_CLASS_BOOLEAN = """SELECT o_orderkey, CASE WHEN o_totalprice > 200000 T
 
 
 def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Four labelled datasets with overlapping columns; each still carries its source label."""
+    """Four labelled datasets with overlapping columns; each still carries its source label.
+
+    ``kind`` has nothing to do with the class. ``amount`` decides the class of customers, a rule left in on purpose.
+    """
     def classed(condition) -> F.Column:
         return F.when(condition, "Anomaly").otherwise("Normal").alias("class")
 
     orders, items = b.table(spark, sf, "orders"), b.table(spark, sf, "lineitem")
     events, customers = b.table(spark, sf, "events"), b.table(spark, sf, "customer")
     return {
-        "orders": orders.select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("kind"),
+        "orders": orders.select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("kind"),
                                 F.col("o_orderstatus").alias("Label"), classed(F.col("o_orderstatus") == "F")),
-        "lineitem": items.select(F.col("l_orderkey").alias("key"), F.col("l_extendedprice").alias("amount"), F.col("l_returnflag").alias("kind"),
-                                 F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("Attack"), classed(F.col("l_returnflag") == "A")),
-        "events": events.select(F.col("event_id").alias("key"), F.col("value").alias("amount"), F.col("event_type").alias("kind"),
+        "lineitem": items.select(F.col("l_orderkey").alias("key"), F.col("l_extendedprice").alias("amount"), F.col("l_linestatus").alias("kind"),
+                                 F.col("l_quantity").alias("quantity"), F.when(F.col("l_returnflag") == "A", "A").otherwise("B").alias("Attack"), classed(F.col("l_returnflag") == "A")),
+        "events": events.select(F.col("event_id").alias("key"), F.col("value").alias("amount"), F.concat(F.lit("u"), (F.col("user_id") % 3).cast("string")).alias("kind"),
                                 F.col("props").alias("scenario"), classed(F.col("event_type") == "error")),
         "customer": customers.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("amount"),
                                      F.col("c_name").alias("name"), classed(F.col("c_acctbal") < 0)),
@@ -94,16 +97,16 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 SOURCES = """fused AS (
-    SELECT 'orders' AS dataset, o_orderkey AS key, o_totalprice AS amount, o_orderstatus AS kind, CAST(NULL AS DOUBLE) AS quantity, CAST(NULL AS VARCHAR) AS name,
+    SELECT 'orders' AS dataset, o_orderkey AS key, o_totalprice AS amount, o_orderpriority AS kind, CAST(NULL AS DOUBLE) AS quantity, CAST(NULL AS VARCHAR) AS name,
            CASE WHEN o_orderstatus = 'F' THEN 'anomaly' ELSE 'normal' END AS class FROM orders
-    UNION ALL SELECT 'lineitem', l_orderkey, l_extendedprice, l_returnflag, l_quantity, NULL,
+    UNION ALL SELECT 'lineitem', l_orderkey, l_extendedprice, l_linestatus, l_quantity, NULL,
            CASE WHEN l_returnflag = 'A' THEN 'anomaly' ELSE 'normal' END FROM lineitem
-    UNION ALL SELECT 'events', event_id, value, event_type, NULL, NULL, CASE WHEN event_type = 'error' THEN 'anomaly' ELSE 'normal' END FROM events
+    UNION ALL SELECT 'events', event_id, value, 'u' || user_id % 3, NULL, NULL, CASE WHEN event_type = 'error' THEN 'anomaly' ELSE 'normal' END FROM events
     UNION ALL SELECT 'customer', c_custkey, c_acctbal, NULL, NULL, c_name, CASE WHEN c_acctbal < 0 THEN 'anomaly' ELSE 'normal' END FROM customer)"""
 
 
 def fuse_sources(spark, sf):
-    return fusion.fuse(sources(spark, sf), cap=None)
+    return fusion.fuse(sources(spark, sf))
 
 
 FUSE_SOURCES = f"WITH {SOURCES} SELECT * FROM fused"
@@ -116,13 +119,13 @@ def fuse_sources_capped(spark, sf):
 
 
 FUSE_SOURCES_CAPPED = f"""WITH {SOURCES}, hashed AS (
-    SELECT *, md5(CASE WHEN dataset = 'lineitem' THEN concat_ws('|', '42', CAST(key AS VARCHAR), CAST(amount AS VARCHAR), kind, CAST(quantity AS VARCHAR), kind,
+    SELECT *, md5(CASE WHEN dataset = 'lineitem' THEN concat_ws('|', '42', CAST(key AS VARCHAR), CAST(amount AS VARCHAR), kind, CAST(quantity AS VARCHAR), CASE class WHEN 'anomaly' THEN 'A' ELSE 'B' END,
                        CASE class WHEN 'anomaly' THEN 'Anomaly' ELSE 'Normal' END) ELSE '42|' || key END) AS h FROM fused)
 SELECT * EXCLUDE (h, place) FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY h) AS place FROM hashed) WHERE place <= 1000"""
 
 
 def class_distribution(spark, sf):
-    fused = fusion.fuse(sources(spark, sf), cap=None)
+    fused = fusion.fuse(sources(spark, sf))
     return profile.class_distribution(fused, "class", "dataset").withColumn("share", F.round("share", 6))
 
 
@@ -132,7 +135,7 @@ SELECT dataset, class, count(*) AS count, CAST(sum(count(*)) OVER (PARTITION BY
 
 
 def class_distribution_all(spark, sf):
-    fused = fusion.fuse(sources(spark, sf), cap=None)
+    fused = fusion.fuse(sources(spark, sf))
     return profile.class_distribution(fused, "class").withColumn("share", F.round("share", 6))
 
 
@@ -142,20 +145,21 @@ FROM fused GROUP BY class"""
 
 
 def encode_fused(spark, sf):
-    """Features of the fused table: clipped numbers, dummies of kind and dataset, names dropped."""
-    encoded = fusion.encode_fused(fusion.fuse(sources(spark, sf), cap=None))
-    return encoded.table.select("class", "key", "amount", "quantity", "dataset_orders", "dataset_events", "kind_A", "kind_error")
+    """All features of the fused table: clipped numbers, dummies of kind and dataset, names dropped."""
+    encoded = fusion.encode_fused(fusion.fuse(sources(spark, sf)))
+    return encoded.table.select("class", *[text.col(c) for c in encoded.features])
 
 
+KINDS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "F", "O", "u0", "u1", "u2")
 ENCODE_FUSED = f"""WITH {SOURCES}
 SELECT class, CAST(least(1e6, key) AS DOUBLE) AS key, least(1e6, greatest(-1e6, amount)) AS amount, coalesce(quantity, 0.0) AS quantity,
-       CAST(dataset = 'orders' AS DOUBLE) AS dataset_orders, CAST(dataset = 'events' AS DOUBLE) AS dataset_events,
-       CAST(coalesce(kind = 'A', false) AS DOUBLE) AS "kind_A", CAST(coalesce(kind = 'error', false) AS DOUBLE) AS kind_error FROM fused"""
+       {", ".join(f"CAST(dataset = '{d}' AS DOUBLE) AS dataset_{d}" for d in ("orders", "lineitem", "events", "customer"))},
+       {", ".join(f"CAST(coalesce(kind = '{k}', false) AS DOUBLE) AS " + chr(34) + "kind_" + k + chr(34) for k in KINDS)} FROM fused"""
 
 
 def fused_feature_names(spark, sf):
     """Feature order of the fused table."""
-    encoded = fusion.encode_fused(fusion.fuse(sources(spark, sf), cap=None))
+    encoded = fusion.encode_fused(fusion.fuse(sources(spark, sf)))
     rows = [(i, name) for i, name in enumerate(encoded.features)]
     return spark.createDataFrame(rows, "position int, feature string")
 
@@ -219,11 +223,11 @@ DISTINCT_LABELS = "SELECT DISTINCT p_brand FROM part ORDER BY p_brand LIMIT 20"
 # --- files and positions -------------------------------------------------------------------
 
 
-def order_files(spark: SparkSession, sf: str) -> str:
+def order_files(spark: SparkSession, sf: str, label: str = "Label") -> str:
     """Orders as CSV files in one folder per priority."""
     root = scratch_path(spark, "orders-csv")
     rows = b.table(spark, sf, "orders").withColumn("scenario", F.substring("o_orderpriority", 1, 1))
-    rows.withColumnRenamed("o_orderstatus", "Label").write.partitionBy("scenario").option("header", True).csv(root)
+    rows.withColumnRenamed("o_orderstatus", label).write.partitionBy("scenario").option("header", True).csv(root)
     return root
 
 
@@ -253,7 +257,7 @@ CSV_INFERRED = """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_brand, p_siz
 
 def csv_merged_units(spark, sf):
     """All order files found, labelled, classed and merged; classes counted per folder."""
-    merged = units.merge_units(spark, order_files(spark, sf), labels.LABEL_CANDIDATES["ids2025"], normal_tokens=("o", "p"))
+    merged = units.merge_units(spark, order_files(spark, sf), labels.LABEL_CANDIDATES["ids2025"], normal_tokens=("o", "p")).table
     return merged.groupBy("class", F.col("Label").alias("label")).agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("amount"))
 
 
@@ -271,6 +275,34 @@ def unit_status(spark, sf):
 UNIT_STATUS = """SELECT DISTINCT 'scenario=' || substr(o_orderpriority, 1, 1) AS folder, 'Label' AS label_column, 'ok' AS status, true AS present FROM orders"""
 
 
+def unit_rows(spark, sf):
+    """Status of every order file, rows read and rows kept, summed per folder; one file has no label."""
+    root = order_files(spark, sf, "label")
+    spark.createDataFrame([("1", "2")], "a string, b string").coalesce(1).write.option("header", True).csv(f"{root}/scenario=none")
+    built = ingest.build_luflow(spark, root)
+    return built.status.groupBy(text.parent_name(F.col("path")).alias("folder"), "status").agg(
+        F.sum("rows").alias("rows"), F.sum("kept").alias("kept"))
+
+
+UNIT_ROWS = """SELECT 'scenario=' || substr(o_orderpriority, 1, 1) AS folder, 'ok' AS status, count(*) AS rows, count(*) AS kept FROM orders GROUP BY 1
+UNION ALL SELECT 'scenario=none', 'no label', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
+
+
+def pair_many_files(spark, sf):
+    """Two tables of several files zipped by position: as many rows as the shorter table, none twice."""
+    paths = [scratch_path(spark, "paired") for _ in range(2)]
+    orders = b.table(spark, sf, "orders")
+    orders.select("o_orderkey").repartition(4).write.parquet(paths[0])
+    b.table(spark, sf, "customer").select(F.col("c_custkey").alias("Label")).repartition(3).write.parquet(paths[1])
+    left, right = (positions.parquet_rows(spark, path) for path in paths)
+    zipped = positions.zip_rows(left, right, "Label")
+    return zipped.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("orders"), F.count_distinct("Label").alias("customers"))
+
+
+PAIR_MANY_FILES = """SELECT n AS rows, n AS orders, n AS customers FROM (
+    SELECT least((SELECT count(*) FROM orders), (SELECT count(*) FROM customer)) AS n)"""
+
+
 def file_manifest(spark, sf):
     """Folders of the order files and whether they hold data."""
     found = files.manifest(spark, order_files(spark, sf))
@@ -550,7 +582,7 @@ FROM events GROUP BY event_type"""
 NAMES = ("label_to_class_string", "label_to_class_numeric", "label_to_class_passthrough", "label_to_class_boolean", "fuse_sources", "fuse_sources_capped",
          "class_distribution", "class_distribution_all", "encode_fused", "fused_feature_names", "value_counts", "value_counts_with_null",
          "distinct_counts", "low_cardinality_columns", "table_shape", "distinct_labels", "csv_scan", "csv_inferred", "csv_merged_units",
-         "unit_status", "file_manifest", "pair_features_labels", "unpaired_features", "cap_per_source", "cap_total", "balanced_quota",
+         "unit_status", "unit_rows", "pair_many_files", "file_manifest", "pair_features_labels", "unpaired_features", "cap_per_source", "cap_total", "balanced_quota",
          "fraction_sample", "fraction_per_day", "cv_subsample", "split_70_10_20", "split_80_20", "split_unkeyed", "hashed_split",
          "stratified_folds", "sanitise_clip", "infinities_to_null", "finite_rows", "quality_counts", "dummies", "impute_scale",
          "column_modes", "class_weights", "label_codes")

@@ -11,7 +11,8 @@ from flowlens.workload import bindings as b
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return detection.file_stream(spark, sf, b.table(spark, sf, "events").schema, "events.parquet")
+    """The events table, a single file or a folder of part files, as a stream of files."""
+    return detection.file_stream(spark, f"{sf}/events.parquet", b.table(spark, sf, "events").schema)
 
 
 def scored(events: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def stream_alerts(spark, sf):
     judged = detection.score_stream(event_stream(spark, sf), scored, b.ALERT_LIMIT)
     found = detection.alert_stream(judged, "event_id", "ts")
     _finished(detection.to_batches(found, path, f"{path}-checkpoint"))
-    return spark.read.schema(found.schema).parquet(f"{path}/epoch=*").select(
+    return detection.read_batches(spark, path, found.schema).select(
         "event_id", "time", "label", "anomaly_score", "severity", "action", "status")
 
 
@@ -71,7 +72,7 @@ def stream_adaptive(spark, sf):
     path = scratch_path(spark, "stream-adaptive")
     flows = scored(event_stream(spark, sf))
     _finished(detection.adaptive_stream(flows, path, f"{path}-checkpoint", "ts", "event_id"))
-    return spark.read.parquet(f"{path}/analyses/epoch=*").select(
+    return detection.read_batches(spark, f"{path}/analyses", detection.adaptive_schema(flows)).select(
         "event_id", "anomaly_score", "predicted_label", "severity", "threshold")
 
 

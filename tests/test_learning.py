@@ -56,7 +56,12 @@ def test_class_weights(table):
 
 def test_wide_columns_are_refused(table):
     with pytest.raises(ValueError):
-        encoding.check_levels(table, ["proto"], most=1)
+        encoding.settle_levels(table, ["proto"], most=1)
+    assert encoding.settle_levels(table, ["proto"], "drop", most=1)[1] == []
+    hashed, columns = encoding.settle_levels(table, ["proto"], "hash")
+    assert columns == ["proto"] and hashed.columns == table.columns and hashed.select("proto").distinct().count() == table.select("proto").distinct().count()
+    with pytest.raises(ValueError):
+        encoding.class_weights(table, "id", most=10)
 
 
 def test_fit_predict_and_names(trained, table):
@@ -75,6 +80,9 @@ def test_evaluate_with_and_without_labels(trained, table):
     document = with_labels.document.first()
     assert sum(map(sum, document["confusion_matrix"])) == 600 and document["auc"] > 0.99
     assert "anomaly_score" in with_labels.predictions.columns
+    holes = table.withColumn("class", F.when(F.col("id") % 3 > 0, F.col("class")))
+    document = evaluation.evaluate(trained, holes).document.first()
+    assert sum(map(sum, document["confusion_matrix"])) + document["unlabelled"] == 600 and document["unlabelled"] > 0
     bare = table.drop("class")
     with pytest.raises(ValueError):
         evaluation.evaluate(trained, bare)

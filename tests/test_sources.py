@@ -65,9 +65,11 @@ def test_units_with_different_headers_merge_by_name(spark, mixed_units):
     status = {r["path"].split("/")[-1]: (r["status"], r["label_column"])
               for r in units.label_status(units.unit_headers(spark, mixed_units), candidates).collect()}
     assert status == {"a.csv": ("ok", "label"), "b.csv": ("ok", "Class"), "c.csv": ("no label", None), "d.csv": ("empty", None)}
-    merged = units.merge_units(spark, mixed_units, candidates)
+    found = units.merge_units(spark, mixed_units, candidates)
+    merged = found.table
+    assert {r["path"].split("/")[-1]: r["status"] for r in found.status.collect()} == {k: v[0] for k, v in status.items()}
     assert merged.columns[-1] == "class" and set(merged.columns) == {"f", "g", "label", "source_label", "source_file", "class"}
-    assert units.source_labels(spark, mixed_units, candidates) == ["label", "source_label"]
+    assert found.source_labels == ["label", "source_label"]
     rows = sorted((r["source_file"], r["f"], r["class"]) for r in merged.collect())
     assert rows == [("a.csv", 1, "normal"), ("a.csv", 2, "anomaly"), ("b.csv", 3, "normal"), ("b.csv", 4, "normal"), ("b.csv", 5, "anomaly")]
 
@@ -80,9 +82,9 @@ def test_unit_fallback_takes_last_column(spark, mixed_units):
 def test_unit_and_total_caps(spark, tmp_path):
     for name in "abc":
         write(tmp_path / f"{name}.csv", "f,label\n" + "".join(f"{i},x\n" for i in range(40)))
-    merged = units.merge_units(spark, str(tmp_path), ["label"], total_cap=70)
+    merged = units.merge_units(spark, str(tmp_path), ["label"], total_cap=70).table
     assert {r["source_file"]: r["rows"] for r in units.unit_report(merged).collect()} == {"a.csv": 40, "b.csv": 40}
-    capped = units.merge_units(spark, str(tmp_path), ["label"], unit_cap=10)
+    capped = units.merge_units(spark, str(tmp_path), ["label"], unit_cap=10).table
     assert {r["source_file"]: r["rows"] for r in units.unit_report(capped).collect()} == {"a.csv": 10, "b.csv": 10, "c.csv": 10}
 
 
@@ -113,13 +115,13 @@ def test_scenario_build_zips_pairs(spark, tmp_path):
     write(tmp_path / "mirai" / "Mirai_dataset.csv", "f,g\n" + "".join(f"{i},{i}\n" for i in range(5)))
     write(tmp_path / "mirai" / "Mirai_labels.csv", "x\n0\n1\n0\n")
     write(tmp_path / "lost" / "Lost_dataset.csv", "f\n1\n")
-    rows = sorted((r["f"], r["class"], r["scenario"]) for r in ingest.build_kitsune(spark, str(tmp_path)).collect())
+    rows = sorted((r["f"], r["class"], r["scenario"]) for r in ingest.build_kitsune(spark, str(tmp_path)).table.collect())
     assert rows == [(0, "normal", "mirai"), (1, "anomaly", "mirai"), (2, "normal", "mirai")]
 
 
 def test_chunked_build_samples_each_chunk(spark, tmp_path):
     write(tmp_path / "nf.csv", "IPV6_SRC_ADDR,v,Attack,Label\n" + "".join(f"x,{i},Benign,{i % 2}\n" for i in range(1000)))
-    built = ingest.build_nfuq(spark, str(tmp_path / "nf.csv"), 0.1, 200)
+    built = ingest.build_nfuq(spark, str(tmp_path / "nf.csv"), 0.1, 200).table
     rows = built.collect()
     assert "IPV6_SRC_ADDR" not in built.columns and built.columns[-1] == "class"
     assert len(rows) == 100 and {sum(r["v"] // 200 == c for r in rows) for c in range(5)} == {20}
@@ -129,7 +131,7 @@ def test_chunked_build_samples_each_chunk(spark, tmp_path):
 def test_balanced_build_per_file(spark, tmp_path):
     write(tmp_path / "big.csv", "src_ip,v,label\n" + "".join(f"h,{i},{'benign' if i < 90 else 'outlier'}\n" for i in range(100)))
     write(tmp_path / "small.csv", "src_ip,v,label\n" + "".join(f"h,{i},malicious\n" for i in range(30)))
-    built = ingest.build_luflow(spark, str(tmp_path), file_rows=40)
+    built = ingest.build_luflow(spark, str(tmp_path), file_rows=40).table
     counts = {(r["source_file"], r["class"]): r["count"] for r in built.groupBy("source_file", "class").count().collect()}
     assert counts == {("big.csv", "normal"): 20, ("big.csv", "anomaly"): 10, ("small.csv", "anomaly"): 30}
     assert "src_ip" not in built.columns
@@ -195,12 +197,71 @@ def test_alert_export_quotes_the_time(spark, tmp_path):
     assert lines == ["Time,Label,Anomaly Score,Severity,Action,Status", '"01/12/2026, 14:05:09",ANOMALY,0.9,High,Block/Isolate host,New']
 
 
-def test_result_documents_split_large_batches(spark):
+def test_result_documents_have_one_form(spark):
     results = spark.range(25).select(F.lit("b").alias("batch_id"), F.col("id").alias("item_no"), F.lit(0.5).alias("anomaly_score"))
     summary = spark.createDataFrame([("b", 25)], "batch_id string, total int")
-    documents = sinks.result_documents(results, summary, per_document=10).orderBy("part").collect()
-    assert [r["document"].count("item_no") for r in documents] == [10, 10, 5]
-    assert all('"summary":{"total":25}' in r["document"] for r in documents)
+    documents = sinks.result_documents(results, summary).collect()
+    assert sorted(r["kind"] for r in documents) == ["result"] * 25 + ["summary"]
+    assert [r["document"] for r in documents if r["kind"] == "summary"] == ['{"total":25}']
+
+
+def test_header_of_any_length(spark, tmp_path):
+    names = ",".join(f"column_{i}" for i in range(6000))
+    write(tmp_path / "wide.csv", f'{names},"odd, ""name""\nhere",Label\n' + ",".join("1" * 6000) + ",x,BENIGN\n")
+    header, error = units.read_header(str(tmp_path / "wide.csv"))
+    assert error is None and len(header) == 6002 and header[-1] == "Label" and header[-2] == 'odd, "name"\nhere'
+    status = units.label_status(units.unit_headers(spark, str(tmp_path)), ["Label"]).first()
+    assert (status["status"], status["label_column"]) == ("ok", "Label")
+
+
+def test_schemes_without_a_file_system_raise():
+    with pytest.raises(Exception, match="(?i)scheme|filesystem|protocol"):
+        units.read_header("wasbx://container/file.csv")
+    assert units.read_header("/nowhere/at/all.csv")[1]
+
+
+def test_files_of_one_name_are_units_of_their_own(spark, tmp_path):
+    for folder in "ab":
+        write(tmp_path / folder / "day.csv", "v,label\n" + "".join(f"{i},{'benign' if i % 2 else 'outlier'}\n" for i in range(30)))
+    write(tmp_path / "c" / "none.csv", "v,what\n1,2\n")
+    built = ingest.build_luflow(spark, str(tmp_path), file_rows=40)
+    assert built.table.count() == 60
+    status = sorted((r["path"].split("/")[-2], r["status"], r["rows"], r["kept"]) for r in built.status.collect())
+    assert status == [("a", "ok", 30, 30), ("b", "ok", 30, 30), ("c", "no label", 0, 0)]
+    assert ingest.build_ids2025(spark, str(tmp_path)).table.count() == 61
+
+
+def test_parquet_positions_over_many_files(spark, tmp_path):
+    for name in ("one", "two"):
+        spark.range(100).repartition(4).write.parquet(str(tmp_path / name))
+    one = positions.parquet_rows(spark, str(tmp_path / "one"))
+    two = positions.parquet_rows(spark, str(tmp_path / "two")).withColumnRenamed("id", "label")
+    assert sorted(r[0] for r in one.select(positions.ROW).collect()) == list(range(100))
+    assert positions.zip_rows(one, two, "label").count() == 100
+
+
+def test_labels_of_label_files_are_no_features(spark, tmp_path):
+    from flowlens.plans import fusion
+
+    write(tmp_path / "m" / "M_dataset.csv", "f,g\n" + "".join(f"{i},{i}\n" for i in range(5)))
+    write(tmp_path / "m" / "M_labels.csv", "x\n" + "0\n1\n" * 3)
+    built = ingest.build_kitsune(spark, str(tmp_path))
+    assert built.source_labels == ["x"]
+    assert set(fusion.fuse({"K": built}).columns) == {"f", "g", "class", "dataset"}
+
+
+def test_blocks_beyond_the_cap_are_not_stored(spark, tmp_path):
+    write(tmp_path / "nf.csv", "v,Label\n" + "".join(f"{i},{i % 2}\n" for i in range(20000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        scan = files.load_csv(spark, str(tmp_path / "nf.csv"), "v long, Label int")
+        some = positions.csv_rows(scan, 3000)
+        assert 3000 <= some.count() < 6000 and some.filter(F.col("v") != F.col(positions.ROW)).isEmpty()
+        built = ingest.build_nfuq(spark, str(tmp_path / "nf.csv"), 0.1, 1000, total_cap=250).table
+        assert built.count() == 300
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_headers_and_types(spark):

@@ -62,3 +62,15 @@ def test_windows_equal_batch_for_closed_days(spark, sf, folder, tmp_path):
     known = {r["day"]: r["count"] for r in batch.groupBy(F.to_date("ts").alias("day")).count().collect()}
     last = max(known)
     assert closed == {day: n for day, n in known.items() if day < last}
+
+
+def test_streams_of_a_folder_table(spark, sf, folder, tmp_path):
+    (tmp_path / "events.parquet").symlink_to(folder)
+    assert streams.stream_scores(spark, str(tmp_path)).count() == 1000
+    assert streams.stream_alerts(spark, str(tmp_path)).count() == streams.stream_alerts(spark, sf).count()
+
+
+def test_a_stream_that_writes_nothing_gives_no_rows(spark, sf, tmp_path):
+    bindings.table(spark, sf, "events").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    for query in (streams.stream_scores, streams.stream_alerts, streams.stream_adaptive):
+        assert query(spark, str(tmp_path)).count() == 0

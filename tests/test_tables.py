@@ -22,7 +22,9 @@ def test_analysis_rows(spark, tmp_path):
     assert tuple(analysis.summary(found).first())[1:4] == (3, 2, 1)
     assert analysis.analyse(scored(spark, [0.9]), 0.45, auto_create_alert=False).alerts.isEmpty()
     analysis.analyse_and_store(scored(spark, [0.9, 0.45, 0.1]), 0.45, str(tmp_path))
-    assert service_tables.read_table(spark, str(tmp_path), "analyses").count() == 3
+    analysis.analyse_and_store(scored(spark, [0.9, 0.45, 0.1]), 0.45, str(tmp_path))
+    for name, rows in (("analyses", 3), ("alerts", 2), ("logs", 6)):
+        assert service_tables.read_table(spark, str(tmp_path), name).count() == rows
     links = service_tables.linked_logs(found.logs, found.alerts.select("id", "severity"), "alertId")
     assert sorted(r["severity"] for r in links.collect()) == ["High", "Low"]
 
