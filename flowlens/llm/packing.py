@@ -188,7 +188,7 @@ def _pack_cell(length: int):
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values("row", kind="stable").reset_index(drop=True)
         sequence, offset = best_two_fit(cell["length"].to_numpy(), length)
-        cell["sequence_id"] = (cell["cell"] << 32) + sequence
+        cell["sequence_id"] = (cell["cell"].to_numpy() << 32) + sequence
         cell["offset"] = offset
         return cell[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
     return run
