@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
 from flowlens.operators import metrics, sampling
-from flowlens.plans import evaluation, fusion, learning
+from flowlens.plans import evaluation, fusion, learning, training
 from flowlens.session import scratch_path
 from flowlens.sources import sinks
 from flowlens.workload import bindings as b
@@ -139,6 +139,27 @@ def rf_served_requests(spark, sf):
     return served.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(F.col("anomaly_score") - F.col("before")) < 1e-12).alias("equal_rows"))
 
 
+def training_report(spark, sf):
+    """A training run: validation support per class, folds summed up in one document, parts written to files."""
+    run = training.train(priced_parts(spark, sf), scratch_path(spark, "training"), settings=SMALL_FOREST, key=["p_partkey"], folds=3)
+    sizes = {r["split"]: r["rows"] for r in run.details.collect()}
+    plausible = F.col("cv_auc_mean").between(0.5, 1) & (F.col("cv_auc_std") >= 0) & F.col("val_auc").between(0.5, 1)
+    lines = run.document.select(plausible.alias("plausible"), F.explode("val_classification_report").alias("class", "line"))
+    return lines.filter(F.col("class").isin(labels.ANOMALY, labels.NORMAL)).select(
+        "class", F.col("line.support").alias("support"), "plausible", *[F.lit(sizes[p]).cast("long").alias(f"{p}_rows") for p in ("train", "val", "test")])
+
+
+def tuning_report(spark, sf):
+    """A tuning run over two datasets: the search sees the training rows, the report the held-out ones."""
+    orders = sources(spark, sf)["orders"].withColumnRenamed("key", "row_key")
+    customers = sources(spark, sf)["customer"].withColumnRenamed("key", "row_key").withColumn("row_key", -F.col("row_key"))
+    run = training.tune({"orders": orders, "customer": customers}, scratch_path(spark, "tuning"), draws=3, folds=2, space=SMALL_SPACE, key=["row_key"])
+    best = run.details.agg(F.count(F.lit(1)).alias("draws"), F.count_if(F.col("best")).alias("best")).first()
+    lines = run.document.select(F.explode("classification_report").alias("class", "line"))
+    return lines.filter(F.col("class").isin(labels.ANOMALY, labels.NORMAL)).select(
+        "class", F.col("line.support").alias("support"), F.lit(best["draws"]).cast("long").alias("draws"), F.lit(best["best"]).cast("long").alias("best"))
+
+
 def rf_split_files(spark, sf):
     """Split rows written one folder per part and counted from the files."""
     path = scratch_path(spark, "splits")
@@ -147,7 +168,7 @@ def rf_split_files(spark, sf):
 
 
 NAMES = ("rf_train_score", "rf_evaluate", "rf_predict_only", "feature_importance_top30", "rf_cv_auc", "rf_random_search", "rf_fused",
-         "rf_multiclass", "rf_served_requests", "rf_split_files")
+         "rf_multiclass", "rf_served_requests", "rf_split_files", "training_report", "tuning_report")
 QUERIES = {name: globals()[name] for name in NAMES}
 # The sizes of a stratified split follow from the class sizes alone.
 RF_SPLIT_FILES = f"""WITH sizes AS (
@@ -157,6 +178,17 @@ RF_SPLIT_FILES = f"""WITH sizes AS (
     UNION ALL SELECT 'val', v.class, v.n - t.n FROM trainval v JOIN train t ON v.class = t.class
     UNION ALL SELECT 'test', s.class, s.n - v.n FROM sizes s JOIN trainval v ON s.class = v.class)
 SELECT split, class, rows FROM parts WHERE rows > 0"""
+TRAINING_REPORT = f"""WITH sizes AS (
+    SELECT CASE WHEN p_size * 20 > p_retailprice THEN 'anomaly' ELSE 'normal' END AS class, count(*) AS n FROM part GROUP BY 1),
+{sizes_sql('trainval', 'sizes', '0.2')}, {sizes_sql('train', 'trainval', '0.125')}
+SELECT s.class, v.n - t.n AS support, true AS plausible, CAST(sum(t.n) OVER () AS BIGINT) AS train_rows,
+       CAST(sum(v.n - t.n) OVER () AS BIGINT) AS val_rows, CAST(sum(s.n - v.n) OVER () AS BIGINT) AS test_rows
+FROM sizes s JOIN trainval v ON s.class = v.class JOIN train t ON s.class = t.class"""
+TUNING_REPORT = f"""WITH sizes AS (
+    SELECT class, count(*) AS n FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'anomaly' ELSE 'normal' END AS class FROM orders
+        UNION ALL SELECT CASE WHEN c_acctbal < 0 THEN 'anomaly' ELSE 'normal' END FROM customer) GROUP BY class),
+{sizes_sql('train', 'sizes', '0.2')}
+SELECT s.class, s.n - t.n AS support, CAST(3 AS BIGINT) AS draws, CAST(1 AS BIGINT) AS best FROM sizes s JOIN train t ON s.class = t.class"""
 ITEM_PARTS = f"""WITH sizes AS (
     SELECT CASE WHEN l_extendedprice * (1 - l_discount) > 60000 THEN 'anomaly' ELSE 'normal' END AS class, count(*) AS n FROM lineitem GROUP BY 1),
 {sizes_sql('trainval', 'sizes', '0.2')}, {sizes_sql('train', 'trainval', '0.125')}, parts AS (
