@@ -311,7 +311,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     totals = members.groupBy("group").agg(
         F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
     placed = (members.join(totals, "group").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-              .join(texts, F.col("first_id").eqNullSafe(F.col("doc_id"))))
+              .join(texts.hint("merge"), F.col("first_id").eqNullSafe(F.col("doc_id"))))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "group", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "rep", "key", "copies", "text")
     compared = stage(pairs.repartition("group", "first", "second").sortWithinPartitions("group", "first", "second")
