@@ -41,6 +41,7 @@ SMALL_BUCKET = 128
 # A child that keeps more than this share of its bucket shows that the bucket's sets are alike.
 ALIKE = 0.7
 # Estimated similarity from which two sets of a bucket are linked: three deviations of 64 tokens below 0.8.
+# Buckets compare one byte of every token; two different tokens share it once in 256 times.
 LINK = 0.65
 # A bucket larger than this is compared in parts whose leaders are then compared with each other.
 PART = 4096
@@ -91,14 +92,15 @@ def _shingle_sets(texts: pa.Array, size: int):
 def _sketches(size: int):
     def run(parts):
         for batch in parts:
-            keys, counts, tokens = [], [], []
+            keys, counts, tokens, bytes_ = [], [], [], []
             for found in _shingle_sets(batch.column("text"), size):
                 counts.append(len(found))
                 keys.append(set_key(found) if len(found) else None)
                 tokens.append(minhash_tokens(found) if len(found) else None)
+                bytes_.append(tokens[-1][::2] if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(tokens, pa.binary())],
-                ["doc_id", "key", "n", "tokens"])
+                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(tokens, pa.binary()), pa.array(bytes_, pa.binary())],
+                ["doc_id", "key", "n", "tokens", "sketch"])
     return run
 
 
@@ -208,7 +210,7 @@ def _compare_bucket(link: float, leading: bool):
             reps = table.column("rep").to_numpy()
             order = np.argsort(reps, kind="stable")
             reps = reps[order]
-            tokens = np.frombuffer(b"".join(table.column("tokens").to_pylist()), "<u2").reshape(-1, TOKENS)[order]
+            tokens = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, TOKENS)[order]
             label = _groups(_similar(tokens, link))
             moved = np.flatnonzero(label != np.arange(len(reps)))
             a, b, lead = reps[moved], reps[label[moved]], np.zeros(len(moved), bool)
@@ -228,7 +230,7 @@ def _compare(buckets: DataFrame, reps: DataFrame, link: float, leading: bool) ->
     parts = F.ceil(F.col("count") / PART).cast("int") if leading else F.lit(1)
     rows = (buckets.withColumn("parts", parts)
             .withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-            .join(reps.select("rep", "tokens"), "rep"))
+            .join(reps.select("rep", "sketch"), "rep"))
     return rows.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(_compare_bucket(link, leading), LINKS)
 
 
@@ -303,8 +305,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     ``n_links`` counts the other documents whose similarity to this one reaches the threshold.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stage(texts.mapInArrow(_sketches(size), "doc_id long, key binary, n long, tokens binary"), "sets")
-    grouped = sets.filter("n > 0").groupBy("key", "n", "tokens").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    sets = stage(texts.mapInArrow(_sketches(size), "doc_id long, key binary, n long, tokens binary, sketch binary"), "sets")
+    grouped = sets.filter("n > 0").groupBy("key", "n", "tokens", "sketch").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     reps = stage(grouped.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     groups = components(_candidate_links(reps, runs_needed(recall), seed)).select(F.col("node").alias("rep"), F.col("component").alias("group"))
     members = stage(groups.join(reps, "rep").select("rep", "group", "key", "n", "copies", "first_id"), "members")
