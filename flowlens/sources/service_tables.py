@@ -107,6 +107,20 @@ def settings_changes(updates: dict[str, object], spark: SparkSession, at: dateti
                           "key", "value", "created_at")
 
 
+def calibrated_changes(calibrated: DataFrame, spark: SparkSession, at: datetime) -> DataFrame:
+    """Settings rows that make a calibrated threshold the fixed one; without normal rows there is none to save."""
+    found = calibrated.first()
+    if not found["sample_count"]:
+        raise ValueError("no normal rows found in the calibration data")
+    return settings_changes({"anomalyThreshold": found["threshold"], "autoSmartThreshold": False}, spark, at)
+
+
+def settings_logs(changes: DataFrame) -> DataFrame:
+    """One log row per settings update; the rows of an update share their time."""
+    updates = changes.groupBy("created_at").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("values"))
+    return log_rows(updates, "settings", F.lit(text.SETTINGS_MESSAGE), F.to_json("values"), F.col("created_at"), F.col("created_at"))
+
+
 def effective_settings(current: DataFrame) -> DataFrame:
     """One row of typed settings: stored values over defaults."""
     def stored(key: str) -> Column:
