@@ -8,9 +8,11 @@ buckets are decided by comparing bucket names, and just the bucket with the cut
 Folds need every rank, so their rows move to their bucket; a hot group spreads over as many
 tasks as its size asks for.
 
-``key`` names columns that identify a row. Without it the whole row is the key and equal rows
-are folded into one row with a multiplicity first, so a large group of copies cannot load a
-bucket either; they are unfolded again in bounded pieces.
+``key`` names columns that identify a row; rows that share a key are ordered by a hash of the whole
+row. Without a key the whole row is the key. Equal rows then share a hash and so a bucket, where it does
+not matter which of them is taken: quotas and splits fold only the rows of buckets with a cut into one row
+with a multiplicity, so a large group of copies cannot load a task; they are unfolded again in bounded
+pieces. Folds, which need every rank, fold the whole table.
 """
 
 from __future__ import annotations
@@ -71,9 +73,11 @@ class Ranked:
     """
 
     def __init__(self, df: DataFrame, group: Sequence[str] = (), key: Sequence[str] | None = None,
-                 seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> None:
+                 seed: int = 42, bucket_rows: int = BUCKET_ROWS, fold: bool = False) -> None:
         self.columns = df.columns
-        self.folded = key is None
+        self.copies = key is None
+        self.folded = fold and self.copies
+        self.ties = [text.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
         # A struct compares its null fields as equal: missing labels form a group of their own.
         members = [text.col(c).alias(f"g{i}") for i, c in enumerate(group)] or [F.lit(0).alias("all")]
         hashed = order_hash(seed, _key_columns(df, key)).alias("_hash")
@@ -122,7 +126,8 @@ class Ranked:
 
     def ranked(self, rows: DataFrame, before: Column) -> DataFrame:
         """Add ``_start``: the rows of the group that come before this one."""
-        inside = (Window.partitionBy("_group", "_bucket").orderBy("_hash")
+        tie = [F.xxhash64(*self.ties)] if self.ties and not self.copies else []
+        inside = (Window.partitionBy("_group", "_bucket").orderBy("_hash", *tie)
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return rows.withColumn("_start", before + F.sum("_weight").over(inside) - F.col("_weight"))
 
@@ -132,10 +137,16 @@ class Ranked:
         known = small(self.buckets().select("_group", "_bucket", "_before"))
         return self.ranked(self.rows.join(known, ["_group", "_bucket"]), F.col("_before"))
 
-    def finish(self, df: DataFrame, *added: Column) -> DataFrame:
+    def gathered(self, rows: DataFrame) -> DataFrame:
+        """Rows of buckets with a cut; equal ones become one row before they are shuffled."""
+        if self.folded or not self.copies:
+            return rows
+        return rows.groupBy(*[text.col(c) for c in rows.columns if c != "_weight"]).agg(F.sum("_weight").alias("_weight"))
+
+    def finish(self, df: DataFrame, *added: Column, gathered: bool = False) -> DataFrame:
         """Original columns plus ``added``; folded rows come back as often as ``_weight`` says."""
         columns = [text.col(c) for c in self.columns]
-        if not self.folded:
+        if not (self.folded or gathered and self.copies):
             return df.filter(F.col("_weight") > 0).select(*columns, *added)
         return repeat_rows(df.select(*columns, *added, "_weight"), "_weight")
 
@@ -153,9 +164,9 @@ def take_quota(df: DataFrame, quota: Column, group: Sequence[str], key: Sequence
         F.col("_quota_at").isNull() | (F.col("_bucket") <= F.col("_quota_at")))
     cut = F.col("_bucket") == F.col("_quota_at")
     whole = near.filter(~F.coalesce(cut, F.lit(False)))
-    divided = (spread.ranked(near.filter(cut), F.col("_quota_before"))
+    divided = (spread.ranked(spread.gathered(near.filter(cut)), F.col("_quota_before"))
                .withColumn("_weight", F.least(F.col("_weight"), F.col("_quota") - F.col("_start"))))
-    return spread.finish(whole.unionByName(divided.drop("_start")))
+    return spread.finish(whole).unionByName(spread.finish(divided, gathered=True))
 
 
 def cap_rows(df: DataFrame, cap: int, group: Sequence[str] = (), key: Sequence[str] | None = None,
@@ -212,8 +223,8 @@ def _train_sizes(sizes: DataFrame, test_share: float) -> DataFrame:
                     (F.col("_floor") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0)).alias("_take")))
 
 
-def _place_by_cuts(spread: Ranked, cuts: DataFrame, cut_names: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Name the part of every row; ``cut_names`` are the ascending cut columns of ``cuts``."""
+def _place_by_cuts(spread: Ranked, cuts: DataFrame, cut_names: Sequence[str], names: Sequence[str], column: str) -> DataFrame:
+    """Name the part of every row in ``column``; ``cut_names`` are the ascending cut columns of ``cuts``."""
     located = spread.locate(cuts, cut_names)
     rows = spread.rows.drop("_size").join(located, "_group")
     inside = [F.coalesce((F.col("_bucket") == F.col(f"{n}_at")) & (F.col(n) > F.col(f"{n}_before")),
@@ -225,7 +236,7 @@ def _place_by_cuts(spread: Ranked, cuts: DataFrame, cut_names: Sequence[str], na
     part = F.get(F.array(*[F.lit(n) for n in names]), sum(passed[1:], passed[0]))
     whole = rows.filter(~crossed).withColumn("_part", part)
     before = F.coalesce(*[F.when(flag, F.col(f"{n}_before")) for flag, n in zip(inside, cut_names)])
-    divided = spread.ranked(rows.filter(crossed), before)
+    divided = spread.ranked(spread.gathered(rows.filter(crossed)), before)
     bounds = [F.lit(0).cast("long"), *[F.col(n) for n in cut_names], F.col("_size")]
     shares = F.array(*[
         F.struct(F.lit(name).alias("part"),
@@ -234,7 +245,8 @@ def _place_by_cuts(spread: Ranked, cuts: DataFrame, cut_names: Sequence[str], na
         for i, name in enumerate(names)])
     divided = (divided.withColumn("_share", F.explode(F.filter(shares, lambda s: s["weight"] > 0)))
                .withColumn("_part", F.col("_share.part")).withColumn("_weight", F.col("_share.weight")))
-    return whole.unionByName(divided.drop("_share", "_start"))
+    part = F.col("_part").alias(column)
+    return spread.finish(whole, part).unionByName(spread.finish(divided, part, gathered=True))
 
 
 def stratified_split(df: DataFrame, class_column: str = "class", test: float = 0.2, val: float = 0.0,
@@ -255,7 +267,7 @@ def stratified_split(df: DataFrame, class_column: str = "class", test: float = 0
     else:
         cuts = first.select("_group", "_size", F.col("_take").alias("_cut0"))
         cut_names, names = ["_cut0"], ["train", "test"]
-    return spread.finish(_place_by_cuts(spread, small(cuts), cut_names, names), F.col("_part").alias(column))
+    return _place_by_cuts(spread, small(cuts), cut_names, names, column)
 
 
 def hashed_split(df: DataFrame, key: Sequence[str], test: float = 0.2, val: float = 0.0, seed: int = 42,
@@ -271,7 +283,7 @@ def stratified_folds(df: DataFrame, folds: int = 5, class_column: str = "class",
                      key: Sequence[str] | None = None, seed: int = 42, column: str = "fold",
                      bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Add a fold number; fold sizes differ by at most one, overall and within a class."""
-    spread = Ranked(df, [class_column], key, seed, bucket_rows)
+    spread = Ranked(df, [class_column], key, seed, bucket_rows, fold=True)
     before = (Window.partitionBy(F.lit(0)).orderBy("_group")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = spread.sizes.select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_class_start"))

@@ -23,14 +23,15 @@ class Analysis(NamedTuple):
 
 
 def effective_threshold(settings: DataFrame, past: DataFrame) -> DataFrame:
-    """One row (threshold): smart over past scores when the setting says so, else the stored one.
+    """One row: ``threshold``, smart over past scores when the setting says so, else the stored one, and the settings beside it.
 
-    ``settings`` is the one-row table of ``effective_settings``.
+    ``settings`` is the one-row table of ``effective_settings``; it is planned once, as is ``past``.
     """
-    stored = settings.select("anomaly_threshold").scalar()
-    smart = settings.select("auto_smart_threshold").scalar()
-    adaptive = threshold.smart_threshold(past, fallback=stored)
-    return adaptive.select(F.when(smart, F.col("threshold")).otherwise(stored).alias("threshold"))
+    adaptive = threshold.smart_threshold(past, fallback=F.lit(None).cast("double"))
+    row = adaptive.withColumn("_s", settings.select(F.struct(*settings.columns)).scalar())
+    stored = F.col("_s.anomaly_threshold")
+    chosen = F.when(F.col("_s.auto_smart_threshold"), F.coalesce("threshold", stored)).otherwise(stored)
+    return row.select(chosen.alias("threshold"), *[F.col(f"_s.{c}").alias(c) for c in settings.columns])
 
 
 def judge(scored: DataFrame, limit: Column | float, score: str = "anomaly_score") -> DataFrame:

@@ -25,17 +25,17 @@ def batch(spark: SparkSession, sf: str) -> DataFrame:
         F.col("ts").alias("created_at"))
 
 
-def todays_threshold(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def todays_threshold(spark: SparkSession, sf: str) -> DataFrame:
     settings = service_tables.effective_settings(
         service_tables.current_settings(b.settings_changes(spark, sf), seq="seq"))
     past = threshold.recent(b.analyses(spark, sf).select("id", "created_at", "anomaly_score"), 1000)
-    return settings, analysis.effective_threshold(settings, past)
+    return analysis.effective_threshold(settings, past)
 
 
 def todays_analysis(spark: SparkSession, sf: str) -> analysis.Analysis:
-    settings, limit = todays_threshold(spark, sf)
-    return analysis.analyse(batch(spark, sf), limit.select("threshold").scalar(),
-                            settings.select("auto_create_alert").scalar())
+    """Threshold and switch are computed once, before the batch is read."""
+    row = todays_threshold(spark, sf).select("threshold", "auto_create_alert").first()
+    return analysis.analyse(batch(spark, sf), row["threshold"], row["auto_create_alert"])
 
 
 def analyse_batch(spark, sf):
@@ -77,7 +77,7 @@ FROM results GROUP BY batch_id"""
 
 
 def effective_threshold(spark, sf):
-    return todays_threshold(spark, sf)[1].select(F.round("threshold", 6).alias("threshold"))
+    return todays_threshold(spark, sf).select(F.round("threshold", 6).alias("threshold"))
 
 
 EFFECTIVE_THRESHOLD = f"WITH {EFFECTIVE} SELECT round(threshold, 6) AS threshold FROM effective"
@@ -253,7 +253,7 @@ SETTINGS_CURRENT = f"WITH {b.SETTINGS} SELECT key, value FROM current_settings"
 
 
 def settings_effective(spark, sf):
-    return todays_threshold(spark, sf)[0]
+    return todays_threshold(spark, sf).drop("threshold")
 
 
 SETTINGS_EFFECTIVE = f"WITH {EFFECTIVE} SELECT * FROM settings"

@@ -103,3 +103,15 @@ def test_fraction_is_a_filter(flows):
 def test_fraction_per_unit(flows):
     chunked = flows.withColumn("chunk", F.floor(F.col("id") / 1000))
     assert set(Counter(r["chunk"] for r in sampling.fraction_per_unit(chunked, 0.05, ["chunk"], ["id"]).collect()).values()) == {50}
+
+
+def test_copies_unfold_in_many_partitions(spark):
+    df = spark.range(40).select("id", F.lit(1500).cast("long").alias("n"))
+    sizes = [n for n in sampling.repeat_rows(df, "n", 100).rdd.glom().map(len).collect() if n]
+    assert sum(sizes) == 60_000 and len(sizes) >= 6 and max(sizes) < 20_000
+
+
+def test_rows_that_share_a_key_have_one_order(spark):
+    df = spark.range(400).select((F.col("id") % 4).alias("key"), "id")
+    draws = [rows(sampling.cap_rows(df.repartition(n), 130, (), ["key"])) for n in (1, 7)]
+    assert draws[0] == draws[1] and len(draws[0]) == 130
