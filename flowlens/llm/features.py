@@ -89,7 +89,6 @@ class Sample:
     index: np.ndarray
     value: np.ndarray
     edges: np.ndarray
-    rows: np.ndarray
 
     @classmethod
     def gather(cls, picked: DataFrame, docs: DataFrame) -> Sample:
@@ -97,26 +96,42 @@ class Sample:
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
         table = rows.mapInArrow(_sparse, "doc_id long, label int, index binary, value binary").toArrow().sort_by("doc_id")
-        index = [np.frombuffer(b, "<i4") for b in table.column("index").to_pylist()]
-        sizes = np.array([len(i) for i in index], np.int64)
-        return cls(table.column("label").to_numpy().astype(np.int64), np.concatenate([*index, np.zeros(0, "<i4")]).astype(np.int64),
-                   np.frombuffer(b"".join(table.column("value").to_pylist()), "<f4").astype(np.float32),
-                   np.concatenate(([0], np.cumsum(sizes))), np.repeat(np.arange(len(index)), sizes))
+        labels = table.column("label").to_numpy().astype(np.int64)
+        sizes = np.array([len(b.as_buffer()) // 4 if b.is_valid else 0 for b in table.column("index")], np.int64)
+        index, value = (np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in table.column(name)] or [np.zeros(0, kind)])
+                        for name, kind in (("index", "<i4"), ("value", "<f4")))
+        return cls(labels, index, value, np.concatenate(([0], np.cumsum(sizes))))
 
     def __len__(self) -> int:
         return len(self.labels)
 
+    def _blocks(self):
+        """Ranges of rows with about a million values, so that intermediate arrays stay small."""
+        first = 0
+        while first < len(self):
+            last = max(first + 1, int(np.searchsorted(self.edges, self.edges[first] + 1_000_000, "right")) - 1)
+            yield first, last, slice(self.edges[first], self.edges[last])
+            first = last
+
     def margins(self, weights: np.ndarray, bias: float) -> np.ndarray:
-        return np.bincount(self.rows, self.value * weights[self.index], minlength=len(self)) + bias
+        out = np.full(len(self), bias)
+        for first, last, own in self._blocks():
+            running = np.concatenate(([0.0], np.cumsum(self.value[own] * weights[self.index[own]])))
+            at = self.edges[first : last + 1] - self.edges[first]
+            out[first:last] += running[at[1:]] - running[at[:-1]]
+        return out
 
     def gradient(self, slopes: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.index, self.value * slopes[self.rows], minlength=size)
+        out = np.zeros(size)
+        for first, last, own in self._blocks():
+            each = np.repeat(slopes[first:last], np.diff(self.edges[first : last + 1]))
+            out += np.bincount(self.index[own], self.value[own] * each, minlength=size)
+        return out
 
     def part(self, keep: np.ndarray) -> Sample:
-        own = keep[self.rows]
-        number = np.cumsum(keep) - 1
+        own = np.repeat(keep, np.diff(self.edges))
         sizes = np.diff(self.edges)[keep]
-        return Sample(self.labels[keep], self.index[own], self.value[own], np.concatenate(([0], np.cumsum(sizes))), number[self.rows[own]])
+        return Sample(self.labels[keep], self.index[own], self.value[own], np.concatenate(([0], np.cumsum(sizes))))
 
 
 def descend(sample: Sample, slopes_of, steps: int = 80, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from flowlens.llm import batches, features
 
-SAMPLE = 3000
+SAMPLE = 2000
 FOLDS, HELD_OUT = 3, 1
 STEPS = 120
 

@@ -21,7 +21,7 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 KEEP = 0.5
 # The classifier is fitted on at most so many rows of each label.
-SAMPLE = 2000
+SAMPLE = 1000
 HELD_BACK = 5
 
 _SYMBOL = np.zeros(256, bool)
@@ -80,6 +80,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> features.Lin
     train, held = sample.part(~back), sample.part(back)
     if len(np.unique(train.labels)) < 2:
         train = sample
+    del sample
     share = 0.5 / np.bincount(train.labels, minlength=2)
     weight = share[train.labels]
     weights, bias = features.descend(train, lambda margins: weight * (features.sigmoid(margins) - train.labels))
