@@ -34,7 +34,7 @@ DECAY = 0.6
 REACH = 9
 LANDMARKS = 160
 ROUNDS = 2
-TOXIC, CLEAN = 1500, 3000
+TOXIC, CLEAN = 1000, 2000
 HARD = 3000
 MOST_WITNESSES = 3000
 # A text is judged by so many of its words, those with the greatest margins.
@@ -132,10 +132,10 @@ class Machine:
 
     def of_words(self, words: list[str]) -> np.ndarray:
         out = np.empty(len(words))
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
+        for at in range(0, len(words), 1024):
+            part = words[at : at + 1024]
             owner, key, weight = _subsequences(part)
-            out[at : at + 4096] = np.bincount(owner, weight * self.weights[key], minlength=len(part)) + self.bias
+            out[at : at + 1024] = np.bincount(owner, weight * self.weights[key], minlength=len(part)) + self.bias
         return out
 
     def of_texts(self, chunk: batches.Chunk) -> np.ndarray:
@@ -213,7 +213,9 @@ def _parts(word: str) -> list[str]:
 
 def _evidence(bags: list[list[str]], toxic: np.ndarray) -> dict[str, float]:
     """How much a word speaks for toxic texts: the greatest log-likelihood ratio of its parts' text counts."""
-    parts = {w: _parts(w) for words in bags for w in words}
+    # One object per distinct part: the words of a sample share most of them.
+    same: dict[str, str] = {}
+    parts = {w: tuple([same.setdefault(p, p) for p in _parts(w)]) for w in {w for words in bags for w in words}}
     counts: dict[str, list[int]] = {}
     for words, label in zip(bags, toxic.tolist()):
         for part in set().union(*(parts[w] for w in words)):
@@ -240,7 +242,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_bound: int = TOXIC, clean_boun
     rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
     table = rows.mapInArrow(_bags, "doc_id long, label int, words string").toArrow().sort_by("doc_id")
     toxic = table.column("label").to_numpy() == 1
-    bags = [w.split("\n") if w else [] for w in table.column("words").to_pylist()]
+    # One object per distinct word.
+    same: dict[str, str] = {}
+    bags = [[same.setdefault(w, w) for w in words.as_py().split("\n")] if words.as_py() else [] for words in table.column("words")]
+    del table
     if toxic.all() or not toxic.any():
         return None
     return train(bags, toxic)
