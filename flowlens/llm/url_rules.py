@@ -94,11 +94,11 @@ def pattern_verdicts(urls: DataFrame, patterns=PATTERNS) -> DataFrame:
     probes = lower.withColumn("token", F.explode(tokens(F.col("url_lower"))))
     fetched = probes.join(index.filter("token is not null"), "token").select("url", "url_lower", "name", "regex", "allow")
     # Rules without a literal token meet every url; there are only as many as the rule list has.
-    loose = F.array(*[F.struct(F.lit(p.name).alias("name"), F.lit(p.regex).alias("regex"), F.lit(p.allow).alias("allow"))
-                      for p in patterns if not p.tokens and not p.allow])
-    always = (lower.withColumn("rule", F.explode(F.filter(loose, lambda r: F.regexp_like(F.col("url_lower"), r["regex"]))))
-              .select("url", "url_lower", "rule.name", "rule.regex", "rule.allow"))
-    hits = fetched.filter(F.regexp_like("url_lower", "regex")).unionByName(always)
+    loose = [F.struct(F.lit(p.name).alias("name"), F.lit(p.regex).alias("regex"), F.lit(p.allow).alias("allow")) for p in patterns if not p.tokens]
+    if loose:
+        always = lower.withColumn("rule", F.explode(F.array(*loose))).select("url", "url_lower", "rule.name", "rule.regex", "rule.allow")
+        fetched = fetched.unionByName(always)
+    hits = fetched.filter(F.regexp_like("url_lower", "regex"))
     best = hits.groupBy("url").agg(F.min(F.struct((~F.col("allow")).alias("blocks"), "name")).alias("best"))
     return best.select("url", F.col("best.name").alias("pattern"), F.when(F.col("best.blocks"), "block").otherwise("allow").alias("verdict"))
 
