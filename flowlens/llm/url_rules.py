@@ -42,9 +42,11 @@ PATTERNS = (
     Pattern("adult", r"://([a-z0-9-]+\.)*adult-x\.", ("adult", "x")),
     Pattern("ads-track", r"://([a-z0-9-]+\.)*ads-track\.", ("ads", "track")),
     Pattern("link-farm", r"://([a-z0-9-]+\.)*spam-farm\.", ("spam", "farm")),
-    Pattern("ad-server", r"://([a-z0-9-]+\.)*(adserver|doubleclick)\.", ()),
-    Pattern("banner-path", r"/banners?/[^?#]*\.(gif|png|jpe?g)", ()),
-    Pattern("affiliate", r"[?&]affiliate(_id)?=", ()),
+    Pattern("ad-server", r"://([a-z0-9-]+\.)*adserver\.", ("adserver",)),
+    Pattern("ad-click", r"://([a-z0-9-]+\.)*doubleclick\.", ("doubleclick",)),
+    Pattern("banner-path", r"/banner/[^?#]*\.(gif|png|jpe?g)", ("banner",)),
+    Pattern("banners-path", r"/banners/[^?#]*\.(gif|png|jpe?g)", ("banners",)),
+    Pattern("affiliate", r"[?&]affiliate(_id)?=", ("affiliate",)),
     Pattern("redirect", r"/redirect/?\?(.*&)?url=https?(%3a|:)", ("redirect", "url")),
     Pattern("spam-archive", r"://archive\.[a-z0-9.-]*/spam-farm/", ("archive", "spam", "farm"), True),
 )
