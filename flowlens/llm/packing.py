@@ -28,7 +28,8 @@ from flowlens.session import stage
 LENGTH = 4096
 END_ID = 1
 CELL_PIECES = 16_384
-KEPT = 500_000
+# Words and their pieces kept per worker; both tables stay with a worker between tasks.
+KEPT = 150_000
 
 
 class WordTokens:

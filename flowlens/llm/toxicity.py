@@ -43,7 +43,7 @@ TOP = 3
 LEAST_EVIDENCE = 25.0
 RIDGE = 1e-5
 FOLDS, HELD_OUT = 5, 0
-KEPT = 600_000
+KEPT = 250_000
 
 # Symbols: 0 no letter, 1-26 a-z, 27 a word's start, the rest for other letters.
 SYMBOLS = 64
