@@ -25,12 +25,13 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm import batches
 from flowlens.llm.components import components
-from flowlens.session import stage
+from flowlens.session import small, stage
 
 TOKENS = 64
 THRESHOLD = 0.8
@@ -43,7 +44,8 @@ ALIKE = 0.7
 # Estimated similarity from which two sets of a bucket are linked: three deviations of 64 tokens below 0.8.
 # Buckets compare one byte of every token; two different tokens share it once in 256 times.
 LINK = 0.65
-# A bucket larger than this is compared in parts whose leaders are then compared with each other.
+# A bucket larger than this is compared in parts whose leaders are then compared with each other,
+# block against block where they are more than this as well.
 PART = 4096
 LEADER_REACH = 0.8
 LEADER_LINK = 0.35
@@ -144,14 +146,15 @@ def _buckets(reps: DataFrame, runs: int, seed: int) -> list[DataFrame]:
     return out
 
 
-def _similar(tokens: np.ndarray, least: float) -> np.ndarray:
-    """Which rows of a token matrix agree in at least that share of places."""
-    columns = np.ascontiguousarray(tokens.T)
-    out = np.empty((len(tokens), len(tokens)), bool)
+def _similar(tokens: np.ndarray, least: float, others: np.ndarray | None = None) -> np.ndarray:
+    """Which rows of a token matrix agree with which rows of it, or of another one, in at least that share of places."""
+    others = tokens if others is None else others
+    out = np.empty((len(tokens), len(others)), bool)
+    columns = list(zip(np.ascontiguousarray(tokens.T), np.ascontiguousarray(others.T)))
     for at in range(0, len(tokens), 256):
-        same = np.zeros((min(256, len(tokens) - at), len(tokens)), np.uint8)
-        for column in columns:
-            same += column[at : at + 256, None] == column[None, :]
+        same = np.zeros((min(256, len(tokens) - at), len(others)), np.uint8)
+        for own, other in columns:
+            same += own[at : at + 256, None] == other[None, :]
         out[at : at + 256] = same >= least * TOKENS
     return out
 
@@ -170,6 +173,23 @@ def _groups(near: np.ndarray) -> np.ndarray:
     return label
 
 
+def _groups_across(near: np.ndarray) -> np.ndarray:
+    """Least member of the connected group of each row and then of each column, numbered after the rows."""
+    rows, columns = near.shape
+    label = np.concatenate([np.full(rows, -1), np.arange(rows, rows + columns)])
+    for seed in range(rows):
+        if label[seed] >= 0:
+            continue
+        label[seed] = seed
+        edge = np.array([seed])
+        while len(edge):
+            over = np.flatnonzero(near[edge].any(axis=0) & (label[rows:] >= rows))
+            label[rows + over] = seed
+            edge = np.flatnonzero(near[:, over].any(axis=1) & (label[:rows] < 0))
+            label[edge] = seed
+    return label
+
+
 def _leaders(near: np.ndarray) -> list[int]:
     """Rows such that every row is near one of them."""
     left, out = np.ones(len(near), bool), []
@@ -203,35 +223,63 @@ def _by_key(parts, keys: list[str]):
         yield last, pa.Table.from_batches(held)
 
 
-def _compare_bucket(link: float, leading: bool):
+def _sketch_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sets and sketches of a group of rows, in the order of the sets."""
+    reps = table.column("rep").to_numpy()
+    order = np.argsort(reps, kind="stable")
+    tokens = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, TOKENS)
+    return reps[order], tokens[order]
+
+
+def _compare_part(parts):
     """Forest of links of each bucket part, and the leaders of parts of larger buckets."""
-    def run(parts):
-        for (node, _), table in _by_key(parts, ["node", "part"]):
-            reps = table.column("rep").to_numpy()
-            order = np.argsort(reps, kind="stable")
-            reps = reps[order]
-            tokens = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, TOKENS)[order]
-            label = _groups(_similar(tokens, link))
-            moved = np.flatnonzero(label != np.arange(len(reps)))
-            a, b, lead = reps[moved], reps[label[moved]], np.zeros(len(moved), bool)
-            if leading and table.column("parts")[0].as_py() > 1:
-                own = reps[_leaders(_similar(tokens, LEADER_REACH))]
-                a, b, lead = np.concatenate([a, own]), np.concatenate([b, own]), np.concatenate([lead, np.ones(len(own), bool)])
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), node, np.int64)), pa.array(lead)],
-                                                 ["a", "b", "node", "lead"])
-    return run
+    for (node, _), table in _by_key(parts, ["node", "part"]):
+        reps, tokens = _sketch_rows(table)
+        label = _groups(_similar(tokens, LINK))
+        moved = np.flatnonzero(label != np.arange(len(reps)))
+        a, b, lead = reps[moved], reps[label[moved]], np.zeros(len(moved), bool)
+        if table.column("parts")[0].as_py() > 1:
+            own = reps[_leaders(_similar(tokens, LEADER_REACH))]
+            a, b, lead = np.concatenate([a, own]), np.concatenate([b, own]), np.concatenate([lead, np.ones(len(own), bool)])
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), node, np.int64)), pa.array(lead)],
+                                             ["a", "b", "node", "lead"])
+
+
+def _compare_blocks(parts):
+    """Forest of links of each pair of leader blocks, or within one block."""
+    for (_, first, second), table in _by_key(parts, ["node", "first", "second"]):
+        if first == second:
+            reps, tokens = _sketch_rows(table)
+            label = _groups(_similar(tokens, LEADER_LINK))
+        else:
+            side = pc.equal(table.column("block"), first)
+            (own, tokens), (other, others) = _sketch_rows(table.filter(side)), _sketch_rows(table.filter(pc.invert(side)))
+            reps = np.concatenate([own, other])
+            label = _groups_across(_similar(tokens, LEADER_LINK, others))
+        moved = np.flatnonzero(label != np.arange(len(reps)))
+        if len(moved):
+            yield pa.RecordBatch.from_arrays([pa.array(reps[moved]), pa.array(reps[label[moved]])], ["a", "b"])
 
 
 LINKS = "a long, b long, node long, lead boolean"
 
 
-def _compare(buckets: DataFrame, reps: DataFrame, link: float, leading: bool) -> DataFrame:
-    parts = F.ceil(F.col("count") / PART).cast("int") if leading else F.lit(1)
-    rows = (buckets.withColumn("parts", parts)
+def _compare_parts(buckets: DataFrame, reps: DataFrame) -> DataFrame:
+    rows = (buckets.withColumn("parts", F.ceil(F.col("count") / PART).cast("int"))
             .withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
             .join(reps.select("rep", "sketch"), "rep"))
-    return rows.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(_compare_bucket(link, leading), LINKS)
+    return rows.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(_compare_part, LINKS)
+
+
+def _compare_leaders(leaders: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links among the leaders of each node: no task holds more than two blocks of about ``PART`` leaders."""
+    sizes = small(leaders.groupBy("node").agg(F.ceil(F.count("*") / PART).cast("int").alias("blocks")))
+    placed = (leaders.join(sizes, "node").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+              .join(reps.select("rep", "sketch"), "rep"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "rep", "sketch")
+    return pairs.repartition("node", "first", "second").sortWithinPartitions("node", "first", "second").mapInArrow(_compare_blocks, "a long, b long")
 
 
 def _candidate_links(reps: DataFrame, runs: int, seed: int) -> DataFrame:
@@ -239,10 +287,9 @@ def _candidate_links(reps: DataFrame, runs: int, seed: int) -> DataFrame:
     found = None
     for buckets in _buckets(reps, runs, seed):
         found = buckets if found is None else found.union(buckets)
-    links = stage(_compare(found, reps, LINK, True), "links")
-    leaders = links.filter("lead").select(F.col("a").alias("rep"), "node", F.lit(1).alias("count"))
-    across = _compare(leaders, reps, LEADER_LINK, False)
-    return links.filter("not lead").select("a", "b").union(across.select("a", "b")).distinct()
+    links = stage(_compare_parts(found, reps), "links")
+    across = _compare_leaders(links.filter("lead").select(F.col("a").alias("rep"), "node"), reps)
+    return links.filter("not lead").select("a", "b").union(across).distinct()
 
 
 def _exact(threshold: float, size: int):

@@ -75,6 +75,36 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch, limits):
     assert found(jaccard_join.near_duplicates(docs)) == brute(rows)
 
 
+def test_leaders_that_do_not_shrink_are_compared_in_blocks(spark, monkeypatch):
+    """Sets that share a long passage but are no near-duplicates: every one is a leader, and pairs stand in different parts."""
+    for name, value in {"SMALL_BUCKET": 8, "PART": 16, "ALIKE": 0.3}.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    similar, most = jaccard_join._similar, []
+
+    def watched(tokens, least, *others):
+        most.append(max(len(tokens), *map(len, others)) if others else len(tokens))
+        return similar(tokens, least, *others)
+
+    draw = random.Random(2)
+    passage = " ".join(f"w{draw.randrange(10**6)}" for _ in range(90))
+    rows = [(k, passage + " " + " ".join(f"y{draw.randrange(10**6)}" for _ in range(30))) for k in range(120)]
+    rows += [(200 + k, text + " more") for k, text in rows[:20]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(jaccard_join.near_duplicates(docs)) == brute(rows)
+
+    # One node of 160 leaders, its blocks compared here, so that sizes can be watched.
+    monkeypatch.setattr(jaccard_join, "_similar", watched)
+    sketches = np.random.default_rng(1).integers(0, 256, (160, jaccard_join.TOKENS)).astype(np.uint8)
+    sketches[80:] = sketches[:80]
+    reps = spark.createDataFrame([(k, bytes(s)) for k, s in enumerate(sketches)], "rep long, sketch binary")
+    plan = {}
+    monkeypatch.setattr(type(reps), "mapInArrow", lambda df, run, _: plan.update(run=run, rows=df.toArrow()) or df)
+    jaccard_join._compare_leaders(reps.selectExpr("rep", "7L AS node"), reps)
+    links = [(a, b) for batch in plan["run"](plan["rows"].to_batches()) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+    assert {(max(p), min(p)) for p in links} == {(80 + k, k) for k in range(80)}
+    assert max(most) <= 3 * jaccard_join.PART
+
+
 def test_keep_one_keeps_columns_and_one_row_a_class(spark):
     docs = awkward(spark)
     kept = jaccard_join.keep_one(docs)
