@@ -36,8 +36,8 @@ class WordTokens:
     """Ids of blank-separated words by a ``tokenizers`` file whose pre-tokenizer drops white space.
 
     Normaliser and split pattern never look across white space there, so words are encoded once and kept.
-    Plain words go to the library's model directly; a word whose lower case depends on its
-    neighbours or whose code points are not composed goes through the whole library.
+    Plain words go to the library's model directly; a word with an added token such as ``<|endoftext|>``,
+    whose lower case depends on its neighbours or whose code points are not composed goes through the whole library.
     """
 
     def __init__(self, file: str):
@@ -45,9 +45,10 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(file)
-        self.library.encode_special_tokens = True
         with open(file) as text:
             parts = json.load(text)["pre_tokenizer"]["pretokenizers"]
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)")
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split"))
         self.model = self.library.model
         self.bytes = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
@@ -56,8 +57,8 @@ class WordTokens:
 
     def of_word(self, word: bytes) -> bytes:
         text = word.decode()
-        if not text.isascii() and ("Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text)
-                                   or any(c.isspace() for c in text)):
+        if self.added.search(text) or not text.isascii() and (
+                "Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text) or any(c.isspace() for c in text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         out = []
         for piece in self.split.findall(text.lower()):

@@ -118,6 +118,19 @@ def test_tokens_equal_the_library():
         assert own.of_text(text.encode()) == np.array(own.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_added_tokens_are_those_of_the_file(spark):
+    from tokenizers import Tokenizer
+
+    fresh, own = Tokenizer.from_file(WORDS), packing.word_tokens(WORDS)
+    added = ["<|endoftext|> x", "a<|endoftext|>b <|startoftext|>", "x<|endoftext|><|endoftext|>y", "<|ENDOFTEXT|> <|endof text|>", "ΑΣ<|startoftext|>é\u0301"]
+    for text in [*ODD, *added]:
+        assert own.of_text(text.encode()) == np.array(fresh.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert fresh.encode(added[0], add_special_tokens=False).ids == [49407, 343]
+    docs = spark.createDataFrame(list(enumerate(added)), "doc_id long, text string")
+    wanted = {k: zlib.crc32(np.array([*fresh.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()) for k, t in enumerate(added)}
+    assert {r.doc_id: r.ids_crc32 for r in packing.pack(docs, WORDS).collect()} == wanted
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_best_two_fit_is_tight(seed):
     draw = np.random.default_rng(seed)
