@@ -67,7 +67,7 @@ class Templates:
         self.has = np.array([np.isin(self.known, s) for s in sets], np.float32).T
         self.sizes = np.array([len(s) for s in sets])
         self.limit, self.factor = limit, (2 - limit) / limit
-        self.least, self.most = self.sizes.min() / self.factor, self.sizes.max() * self.factor
+        self.least = self.sizes.min() / self.factor
 
     def compare(self, bigrams: np.ndarray, owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
         """Best template and coefficient of every part; -1 and 0 for a part that reaches the limit with none.
@@ -139,7 +139,8 @@ def _scan(templates: dict[str, tuple[str, ...]], limit: float, every: bool):
             ids = batch.column("doc_id")
             for chunk in batches.chunks(batch.column("text")):
                 best, dice, text, line, words, edges = _line_parts(chunk, model)
-                whole = np.flatnonzero((np.diff(edges) >= model.least) & (np.diff(edges) <= model.most * 50))
+                # Words bound distinct bigrams from above only: a long text that repeats a notice has few.
+                whole = np.flatnonzero(np.diff(edges) >= model.least)
                 whole = whole[np.diff(np.searchsorted(np.flatnonzero(chunk.data == 0x0A), chunk.edges))[whole] > 1]
                 more, value = model.compare(*_pieces(words, edges, whole), len(whole))
                 best, dice = np.concatenate([best, more]), np.concatenate([dice, value])

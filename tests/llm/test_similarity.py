@@ -163,3 +163,18 @@ def test_licences_of_awkward_rows(spark):
     assert got[900] == ("mit", 1) and got[901] == ("cc-by-nc-4.0", 1) and got[902] == (None, 0) and got[7] == (None, 0)
     assert licences.scan(docs).count() == docs.count() and licences.scan(docs.limit(0)).count() == 0
     assert [(r.doc_id, r.line) for r in licences.matches(docs).collect()] == [(900, 1), (901, 0)]
+
+
+def test_licences_of_long_texts_equal_sql(spark):
+    """Texts of thousands of words that have few distinct bigrams, as they repeat a notice."""
+    import duckdb
+
+    lines = "Released under the MIT License.\n" * 1000
+    wrapped = "This Source Code Form is subject to\nthe terms of the Mozilla Public License, v. 2.0.\n" * 300
+    other = " ".join(f"w{k}" for k in range(5000)) + "\nReleased under the MIT License."
+    docs = spark.createDataFrame([(1, lines), (2, wrapped), (3, other), (4, "a\nb")], "doc_id long, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    got = sorted(map(tuple, licences.scan(docs).collect()))
+    assert got == sorted(connection.execute(licences.ORACLE).fetchall())
+    assert [(r[1], r[3]) for r in got] == [("mit", 1001), ("mpl-2.0", 1), ("mit", 1), (None, 0)]
