@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import hamming_topk, jaccard_join, licences, line_dedup, packing, quality_pu, quality_rules, sentencepiece_bpe, toxicity, url_rules
+from flowlens.llm import conversation_trie, hamming_topk, hard_negatives, jaccard_join, language_id, licences, line_dedup, packing, quality_pu, quality_rules, sentencepiece_bpe, toxicity, url_rules
 from flowlens.llm.shipping import ship
 
 
@@ -58,7 +58,21 @@ def op10_url_filter(spark, sf):
     return url_rules.judge(_table(spark, sf, "pages"))
 
 
+def op11_language_id(spark, sf):
+    return language_id.identify(_table(spark, sf, "documents"))
+
+
+def op12_conversation_trie(spark, sf):
+    return conversation_trie.rollup(conversation_trie.rebuilt(_table(spark, sf, "conversations")))
+
+
+def op13_hard_negatives(spark, sf):
+    return hard_negatives.mine(_table(spark, sf, "embeddings"), hard_negatives.query_label())
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_sentencepiece, op3_line_dedup, op4_quality_rules, op5_best_fit_packing,
-                                   op6_quality_classifier, op7_exact_topk, op8_toxicity, op9_licence_scan, op10_url_filter)}
+                                   op6_quality_classifier, op7_exact_topk, op8_toxicity, op9_licence_scan, op10_url_filter, op11_language_id, op12_conversation_trie,
+                                   op13_hard_negatives)}
 ORACLES = {"op1_ngram_jaccard_join": jaccard_join.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op7_exact_topk": hamming_topk.ORACLE,
-           "op9_licence_scan": licences.ORACLE, "op10_url_filter": url_rules.ORACLE}
+           "op9_licence_scan": licences.ORACLE, "op10_url_filter": url_rules.ORACLE,
+           "op12_conversation_trie": conversation_trie.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
