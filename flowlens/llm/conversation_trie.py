@@ -186,12 +186,11 @@ def _split_in_task(bundle: pd.DataFrame) -> pd.DataFrame:
 
 
 def _tops(up: np.ndarray) -> np.ndarray:
-    """The end of every chain of pointers, by doubling."""
-    while True:
-        further = up[up]
-        if (further == up).all():
-            return up
-        up = further
+    """The end of every chain of pointers, by doubling; a new array."""
+    further = up[up]
+    while (further != up).any():
+        up, further = further, further[further]
+    return further
 
 
 def subtree_totals(nodes: DataFrame, paths: DataFrame, component: int = COMPONENT, bundle: int = BUNDLE) -> DataFrame:

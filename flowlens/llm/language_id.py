@@ -198,7 +198,8 @@ def sample_of(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], feature
     """The learned languages, and features of about ``sample`` distinct texts with the place of their language, in order of a hash."""
     learned = docs.filter((features.fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    sizes = {r["lang"]: r["count"] for r in learned.groupBy("lang").count().collect()}
+    # Distinct texts are counted: copies of one would leave little room for a language's others.
+    sizes = {r["lang"]: max(1, r["n"]) for r in learned.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     names = sorted(sizes)
     if not names:
         return names, features.Sample(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64))
