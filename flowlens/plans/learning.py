@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions import text
 from flowlens.functions.labels import ANOMALY
-from flowlens.operators import encoding, harmonise, metrics, sampling
+from flowlens.operators import encoding, forest, harmonise, metrics, sampling
 from flowlens.session import stage
 
 # Forest settings, folds and rows of the cross validation, search space.
@@ -47,7 +47,7 @@ DEEP = 10
 
 @dataclass
 class ForestSettings:
-    """Spark grows trees to depth 30 at most; there is no minimum split size."""
+    """Spark grows trees to depth 30 at most; there is no minimum split size. ``maxBins`` bounds the cuts tried per feature."""
 
     numTrees: int = TREES
     maxDepth: int = DEEPEST
@@ -56,15 +56,16 @@ class ForestSettings:
     bootstrap: bool = True
     balanced: bool = True
     seed: int = 42
+    maxBins: int = 32
 
     def classifier(self, features: str = "features", label: str = "label") -> RandomForestClassifier:
-        forest = RandomForestClassifier(
+        learner = RandomForestClassifier(
             featuresCol=features, labelCol=label, predictionCol="encoded", probabilityCol="probability",
             rawPredictionCol="votes", numTrees=self.numTrees, maxDepth=self.maxDepth,
             minInstancesPerNode=self.minInstancesPerNode, featureSubsetStrategy=self.featureSubsetStrategy,
-            bootstrap=self.bootstrap, seed=self.seed, maxMemoryInMB=SPLIT_MEMORY,
+            bootstrap=self.bootstrap, seed=self.seed, maxBins=self.maxBins, maxMemoryInMB=SPLIT_MEMORY,
             cacheNodeIds=self.maxDepth > DEEP)
-        return forest.setWeightCol("_weight") if self.balanced else forest
+        return learner.setWeightCol("_weight") if self.balanced else learner
 
 
 @dataclass
@@ -178,6 +179,28 @@ def predict(trained: Trained, df: DataFrame, positive: str = ANOMALY) -> DataFra
                                                 *prediction_columns(trained, positive))
 
 
+def _forest(trained: Trained) -> RandomForestClassificationModel:
+    return next(s for s in trained.model.stages if isinstance(s, RandomForestClassificationModel))
+
+
+def forest_nodes(trained: Trained) -> DataFrame:
+    """The fitted forest as a table of nodes (``operators.forest``), with the names of the features that split."""
+    names = F.array(*[F.lit(name) for name in trained.features])
+    return forest.nodes_of(_forest(trained)).withColumn("name", F.get(names, F.col("feature")))
+
+
+def predict_by_nodes(trained: Trained, nodes: DataFrame, df: DataFrame, positive: str = ANOMALY) -> DataFrame:
+    """``predict`` from a table of nodes: the trained object prepares the features, the table decides."""
+    df = df if trained.encoded else harmonise.normalise_headers(df, "")[0]
+    rows = assembled(df, trained.features) if trained.encoded else PipelineModel(trained.model.stages[:-1]).transform(df)
+    kept = rows.select(*[text.col(c) for c in df.columns], vector_to_array("features").alias("_features"))
+    scored = forest.score(nodes, kept, F.col("_features"), trained.classes, trained.extra["settings"]["maxDepth"])
+    codes = F.array_position(F.array(*[F.lit(c) for c in trained.classes]), F.col("predicted_label")).cast("int") - 1
+    place = positive if positive in trained.classes else trained.classes[0]
+    return scored.select(*[text.col(c) for c in df.columns], "predicted_label", codes.alias("predicted_label_encoded"),
+                         F.col("raw_proba")[place].alias("anomaly_score"), "raw_proba")
+
+
 def probability_columns(trained: Trained, predicted: DataFrame) -> DataFrame:
     """File layout of predictions: two classes give ``anomaly_score``, more give ``proba_<class>``."""
     plain = predicted.drop("predicted_label_encoded", "raw_proba").withColumnRenamed("predicted_label", "prediction")
@@ -255,31 +278,30 @@ def random_search(df: DataFrame, features: Sequence[str], target: str = "class",
     rows = encoding.with_weight(assembled(folded, features, [target, "fold"]), target, weights, "_balanced")
     rows = stage(labeller.transform(rows.withColumn("_even", F.lit(1.0))).drop(target), "search")
     settings = draw_settings(draws, space, seed)
-    forest = ForestSettings(maxDepth=max(s.maxDepth for s in settings), balanced=False, seed=seed).classifier()
-    grid = [{forest.numTrees: s.numTrees, forest.maxDepth: s.maxDepth,
-             forest.minInstancesPerNode: s.minInstancesPerNode,
-             forest.featureSubsetStrategy: s.featureSubsetStrategy, forest.bootstrap: s.bootstrap,
-             forest.weightCol: "_balanced" if s.balanced else "_even"} for s in settings]
+    learner = ForestSettings(maxDepth=max(s.maxDepth for s in settings), balanced=False, seed=seed).classifier()
+    grid = [{learner.numTrees: s.numTrees, learner.maxDepth: s.maxDepth,
+             learner.minInstancesPerNode: s.minInstancesPerNode,
+             learner.featureSubsetStrategy: s.featureSubsetStrategy, learner.bootstrap: s.bootstrap,
+             learner.weightCol: "_balanced" if s.balanced else "_even"} for s in settings]
     judge = MulticlassClassificationEvaluator(
         labelCol="label", predictionCol="encoded", metricName="fMeasureByLabel",
         metricLabel=float(labeller.labels.index(positive)))
-    search = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=judge, numFolds=folds,
+    search = CrossValidator(estimator=learner, estimatorParamMaps=grid, evaluator=judge, numFolds=folds,
                             foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = search.fit(rows)
-    scores = [float(value) for value in fitted.avgMetrics]
+    scores, spread = ([float(value) for value in found] for found in (fitted.avgMetrics, fitted.stdMetrics))
     best = max(range(draws), key=scores.__getitem__)
     trained = Trained(PipelineModel([fitted.bestModel]), list(labeller.labels), list(features),
                       list(features), {"settings": asdict(settings[best]), "cv_f1": scores[best]})
     table = [(i, s.numTrees, s.maxDepth, s.minInstancesPerNode, s.featureSubsetStrategy, s.bootstrap, s.balanced,
-              scores[i], i == best) for i, s in enumerate(settings)]
+              scores[i], spread[i], i == best) for i, s in enumerate(settings)]
     return trained, df.sparkSession.createDataFrame(
         table, "draw int, trees int, depth int, min_leaf int, subset string, bootstrap boolean, "
-               "balanced boolean, cv_f1 double, best boolean")
+               "balanced boolean, cv_f1 double, cv_f1_std double, best boolean")
 
 
 def feature_importances(trained: Trained, top: int = 30) -> DataFrame:
     """(feature, importance) of the ``top`` expanded features, descending."""
-    forest = next(s for s in trained.model.stages if isinstance(s, RandomForestClassificationModel))
-    rows = [(name, float(value)) for name, value in zip(trained.features, forest.featureImportances.toArray())]
+    rows = [(name, float(value)) for name, value in zip(trained.features, _forest(trained).featureImportances.toArray())]
     table = SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(top)
