@@ -1,18 +1,18 @@
 """Reproducible samples, quotas, splits and folds.
 
 Rows are ordered inside their group by a hash of seed and key, so a result depends neither on
-partitioning nor on task order. No task ever sorts a whole group: rows are spread over hash
-buckets of at most ``BUCKET_ROWS`` rows (a million buckets per group at most) and bucket sizes are aggregated map-side. Quotas and
-splits then only need to know in which bucket of the group each cut falls: rows of other
-buckets are decided by comparing bucket names, and just the bucket with the cut is sorted.
-Folds need every rank, so their rows move to their bucket; a hot group spreads over as many
-tasks as its size asks for.
+partitioning nor on task order. Quotas and splits read the table twice. The first pass keeps (group, hash) of every row;
+counts by group and prefix of the hash say how large the groups are and in which prefix each cut falls, and of that prefix
+alone the hashes are ordered, which gives the hash the cut lies at. The second pass compares each row's hash with the cuts of its
+group: a filter, without a shuffle. Only where a cut falls among rows of one hash are those rows looked at again.
 
 ``key`` names columns that identify a row; rows that share a key are ordered by a hash of the whole
-row. Without a key the whole row is the key. Equal rows then share a hash and so a bucket, where it does
-not matter which of them is taken: quotas and splits fold only the rows of buckets with a cut into one row
-with a multiplicity, so a large group of copies cannot load a task; they are unfolded again in bounded
-pieces. Folds, which need every rank, fold the whole table.
+row. Without a key the whole row is the key. Equal rows then share a hash, and it does not matter which of them is taken: those a cut
+divides are folded into one row with a multiplicity, so a large group of copies cannot load a task; they are unfolded again in bounded
+pieces.
+
+Folds need every rank. Their rows move to hash buckets of at most ``BUCKET_ROWS`` rows (a million buckets per group at most), and without a key
+the whole table is folded first.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from flowlens.session import small, small_rows, stage
 
 BUCKET_ROWS = 50_000
 MOST_DIGITS = 5
+MOST_BYTES = 3
 PIECE_ROWS = 100_000
 HASH_DIGITS = 8
 
@@ -65,6 +66,51 @@ def repeat_rows(df: DataFrame, times: str, piece: int = PIECE_ROWS) -> DataFrame
     return short.unionByName(long).drop("_copy", times)
 
 
+def _group(columns: Sequence[str]) -> Column:
+    """The group of a row as one struct; it compares its null fields as equal, so missing labels form a group of their own."""
+    return F.struct(*[text.col(c).alias(f"g{i}") for i, c in enumerate(columns)] or [F.lit(0).alias("all")])
+
+
+class Cuts:
+    """Cuts through the hash order of each group.
+
+    ``rows`` has the table with ``_group`` and ``_hash``; ``sizes`` has one row per group with ``_size``.
+    """
+
+    def __init__(self, df: DataFrame, group: Sequence[str] = (), key: Sequence[str] | None = None, seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> None:
+        self.df, self.group, self.key, self.seed, self.bucket_rows = df, list(group), key, seed, bucket_rows
+        self.columns = [text.col(c) for c in df.columns]
+        self.rows = df.select("*", _group(group).alias("_group"), F.unhex(order_hash(seed, _key_columns(df, key))).alias("_hash"))
+        hashes = stage(self.rows.select("_group", "_hash"), "hashes")
+        count, self.length = hashes.count(), 0
+        while count > bucket_rows * 256 ** self.length and self.length < MOST_BYTES:
+            self.length += 1
+        self.hashes = hashes.withColumn("_prefix", F.substring("_hash", 1, self.length))
+        self.counts = stage(self.hashes.groupBy("_group", "_prefix").agg(F.count(F.lit(1)).alias("_filled")), "hash-counts")
+        self.sizes = small(self.counts.groupBy("_group").agg(F.sum("_filled").alias("_size")))
+
+    def located(self, cuts: DataFrame, names: Sequence[str]) -> tuple[DataFrame, bool]:
+        """Add the hash each cut lies at (``<name>_at``, null at the group's end) and how many rows of that hash come
+        before it (``<name>_take``); and whether any do."""
+        earlier = Window.partitionBy("_group").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+        ordered = self.counts.withColumn("_before", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)))
+        each = cuts.select("_group", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("cut")) for n in names])).alias("c")).select("_group", "c.*")
+        hit = (F.col("_before") <= F.col("cut")) & (F.col("cut") < F.col("_before") + F.col("_filled"))
+        wanted = small(ordered.join(each, "_group").filter(hit).select("_group", "_prefix", "_before", "name", "cut"))
+        runs = self.hashes.join(wanted, ["_group", "_prefix"]).groupBy("_group", "name", "_before", "cut", "_hash").agg(F.count(F.lit(1)).alias("_run"))
+        inside = Window.partitionBy("_group", "name").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.col("_before") + F.coalesce(F.sum("_run").over(inside), F.lit(0))
+        at = runs.withColumn("_start", start).filter((F.col("_start") <= F.col("cut")) & (F.col("cut") < F.col("_start") + F.col("_run")))
+        found = []
+        for n in names:
+            mine = F.col("name") == n
+            found += [F.max(F.when(mine, F.col("_hash"))).alias(f"{n}_at"), F.max(F.when(mine, F.col("cut") - F.col("_start"))).alias(f"{n}_take")]
+        table, rows = small_rows(cuts.join(at.groupBy("_group").agg(*found), "_group", "left"))
+        taken = [f"{n}_take" for n in names]
+        divided = any(r[n] for r in rows for n in taken) if rows is not None else not table.filter(" OR ".join(f"{n} > 0" for n in taken)).isEmpty()
+        return table, divided
+
+
 class Ranked:
     """Rows spread over hash buckets of their group.
 
@@ -73,13 +119,10 @@ class Ranked:
     """
 
     def __init__(self, df: DataFrame, group: Sequence[str] = (), key: Sequence[str] | None = None,
-                 seed: int = 42, bucket_rows: int = BUCKET_ROWS, fold: bool = False) -> None:
+                 seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> None:
         self.columns = df.columns
-        self.copies = key is None
-        self.folded = fold and self.copies
+        self.copies = self.folded = key is None
         self.ties = [text.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
-        # A struct compares its null fields as equal: missing labels form a group of their own.
-        members = [text.col(c).alias(f"g{i}") for i, c in enumerate(group)] or [F.lit(0).alias("all")]
         hashed = order_hash(seed, _key_columns(df, key)).alias("_hash")
         if self.folded:
             # Folding shuffles every column and hashes whole rows, so it is done once and stored.
@@ -88,7 +131,7 @@ class Ranked:
             rows = stage(rows.select("*", hashed), "folded")
         else:
             rows = df.select("*", F.lit(1).cast("long").alias("_weight"), hashed)
-        rows = rows.withColumn("_group", F.struct(*members))
+        rows = rows.withColumn("_group", _group(group))
         distinct = F.greatest(F.lit(1.0), F.col("_distinct") / bucket_rows)
         self.sizes, found = small_rows(
             rows.groupBy("_group").agg(F.sum("_weight").alias("_size"), F.count(F.lit(1)).alias("_distinct"))
@@ -106,24 +149,6 @@ class Ranked:
         return (self.rows.groupBy("_group", "_bucket").agg(F.sum("_weight").alias("_filled"))
                 .withColumn("_before", F.coalesce(F.sum("_filled").over(earlier), F.lit(0))))
 
-    def locate(self, cuts: DataFrame, names: Sequence[str]) -> DataFrame:
-        """Add to each group's cuts the bucket they fall in (``<name>_at``) and the rows before it.
-
-        A cut at the end of the group falls in no bucket: all rows come before it.
-        """
-        if not self.bucketed:
-            found = [(F.when(F.col(n) < F.col("_size"), "").alias(f"{n}_at"),
-                      F.lit(0).cast("long").alias(f"{n}_before")) for n in names]
-            return cuts.select("*", *[c for pair in found for c in pair])
-        placed = self.buckets().join(cuts, "_group")
-        hits = []
-        for name in names:
-            hit = ((F.col("_before") <= F.col(name))
-                   & (F.col(name) < F.col("_before") + F.col("_filled")))
-            hits += [F.max(F.when(hit, F.col("_bucket"))).alias(f"{name}_at"),
-                     F.max(F.when(hit, F.col("_before"))).alias(f"{name}_before")]
-        return small(placed.groupBy(*cuts.columns).agg(*hits))
-
     def ranked(self, rows: DataFrame, before: Column) -> DataFrame:
         """Add ``_start``: the rows of the group that come before this one."""
         tie = [F.xxhash64(*self.ties)] if self.ties and not self.copies else []
@@ -137,16 +162,10 @@ class Ranked:
         known = small(self.buckets().select("_group", "_bucket", "_before"))
         return self.ranked(self.rows.join(known, ["_group", "_bucket"]), F.col("_before"))
 
-    def gathered(self, rows: DataFrame) -> DataFrame:
-        """Rows of buckets with a cut; equal ones become one row before they are shuffled."""
-        if self.folded or not self.copies:
-            return rows
-        return rows.groupBy(*[text.col(c) for c in rows.columns if c != "_weight"]).agg(F.sum("_weight").alias("_weight"))
-
-    def finish(self, df: DataFrame, *added: Column, gathered: bool = False) -> DataFrame:
+    def finish(self, df: DataFrame, *added: Column) -> DataFrame:
         """Original columns plus ``added``; folded rows come back as often as ``_weight`` says."""
         columns = [text.col(c) for c in self.columns]
-        if not (self.folded or gathered and self.copies):
+        if not self.folded:
             return df.filter(F.col("_weight") > 0).select(*columns, *added)
         return repeat_rows(df.select(*columns, *added, "_weight"), "_weight")
 
@@ -157,16 +176,20 @@ def take_quota(df: DataFrame, quota: Column, group: Sequence[str], key: Sequence
 
     ``quota`` may use ``_size`` (rows of the group) and ``_group.g0`` … (its group columns).
     """
-    spread = Ranked(df, group, key, seed, bucket_rows)
-    cuts = spread.sizes.select("_group", "_size", quota.cast("long").alias("_quota"))
-    located = spread.locate(cuts.withColumn("_quota", F.least("_quota", "_size")), ["_quota"])
-    near = spread.rows.drop("_size").join(located, "_group").filter(
-        F.col("_quota_at").isNull() | (F.col("_bucket") <= F.col("_quota_at")))
-    cut = F.col("_bucket") == F.col("_quota_at")
-    whole = near.filter(~F.coalesce(cut, F.lit(False)))
-    divided = (spread.ranked(spread.gathered(near.filter(cut)), F.col("_quota_before"))
-               .withColumn("_weight", F.least(F.col("_weight"), F.col("_quota") - F.col("_start"))))
-    return spread.finish(whole).unionByName(spread.finish(divided, gathered=True))
+    cuts = Cuts(df, group, key, seed, bucket_rows)
+    wanted = cuts.sizes.select("_group", F.least(quota.cast("long"), "_size").alias("_quota"))
+    located, divided = cuts.located(wanted, ["_quota"])
+    near = cuts.rows.join(located, "_group")
+    before = near.filter(F.col("_quota_at").isNull() | (F.col("_hash") < F.col("_quota_at"))).select(*cuts.columns)
+    if not divided:
+        return before
+    tied = near.filter((F.col("_hash") == F.col("_quota_at")) & (F.col("_quota_take") > 0))
+    if key is not None:
+        rest = tied.select(*cuts.columns, F.col("_quota_take").alias("_take"))
+        return before.unionByName(take_quota(rest, F.col(f"_group.g{len(group)}"), [*group, "_take"], None, seed, bucket_rows).drop("_take"))
+    folded = tied.groupBy(*cuts.columns, "_quota_take").agg(F.count(F.lit(1)).alias("_weight"))
+    taken = folded.select(*cuts.columns, F.least("_weight", "_quota_take").alias("_weight"))
+    return before.unionByName(repeat_rows(taken, "_weight"))
 
 
 def cap_rows(df: DataFrame, cap: int, group: Sequence[str] = (), key: Sequence[str] | None = None,
@@ -223,30 +246,36 @@ def _train_sizes(sizes: DataFrame, test_share: float) -> DataFrame:
                     (F.col("_floor") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0)).alias("_take")))
 
 
-def _place_by_cuts(spread: Ranked, cuts: DataFrame, cut_names: Sequence[str], names: Sequence[str], column: str) -> DataFrame:
-    """Name the part of every row in ``column``; ``cut_names`` are the ascending cut columns of ``cuts``."""
-    located = spread.locate(cuts, cut_names)
-    rows = spread.rows.drop("_size").join(located, "_group")
-    inside = [F.coalesce((F.col("_bucket") == F.col(f"{n}_at")) & (F.col(n) > F.col(f"{n}_before")),
-                         F.lit(False)) for n in cut_names]
-    crossed = inside[0]
-    for flag in inside[1:]:
+def _place_by_cuts(cuts: Cuts, wanted: DataFrame, cut_names: Sequence[str], names: Sequence[str], column: str) -> DataFrame:
+    """Name the part of every row in ``column``; ``cut_names`` are the ascending cut columns of ``wanted``."""
+    located, divided = cuts.located(wanted, cut_names)
+    rows = cuts.rows.join(located, "_group")
+    passed = [F.coalesce(F.col("_hash") >= F.col(f"{n}_at"), F.lit(False)).cast("int") for n in cut_names]
+    part = F.get(F.array(*[F.lit(n) for n in names]), sum(passed[1:], passed[0])).alias(column)
+    if not divided:
+        return rows.select(*cuts.columns, part)
+    tied = [F.coalesce((F.col("_hash") == F.col(f"{n}_at")) & (F.col(f"{n}_take") > 0), F.lit(False)) for n in cut_names]
+    crossed = tied[0]
+    for flag in tied[1:]:
         crossed = crossed | flag
-    passed = [F.coalesce(F.col("_bucket") >= F.col(f"{n}_at"), F.lit(False)).cast("int") for n in cut_names]
-    part = F.get(F.array(*[F.lit(n) for n in names]), sum(passed[1:], passed[0]))
-    whole = rows.filter(~crossed).withColumn("_part", part)
-    before = F.coalesce(*[F.when(flag, F.col(f"{n}_before")) for flag, n in zip(inside, cut_names)])
-    divided = spread.ranked(spread.gathered(rows.filter(crossed)), before)
-    bounds = [F.lit(0).cast("long"), *[F.col(n) for n in cut_names], F.col("_size")]
-    shares = F.array(*[
-        F.struct(F.lit(name).alias("part"),
-                 (F.least(F.col("_start") + F.col("_weight"), bounds[i + 1])
-                  - F.greatest(F.col("_start"), bounds[i])).alias("weight"))
-        for i, name in enumerate(names)])
-    divided = (divided.withColumn("_share", F.explode(F.filter(shares, lambda s: s["weight"] > 0)))
-               .withColumn("_part", F.col("_share.part")).withColumn("_weight", F.col("_share.weight")))
-    part = F.col("_part").alias(column)
-    return spread.finish(whole, part).unionByName(spread.finish(divided, part, gathered=True))
+    whole = rows.filter(~crossed).select(*cuts.columns, part)
+    # Cuts counted from the first row of the hash that is divided.
+    start = F.coalesce(*[F.when(flag, F.col(n) - F.col(f"{n}_take")) for flag, n in zip(tied, cut_names)])
+    inside = [F.greatest(F.lit(0).cast("long"), F.col(n) - start).alias(f"_in{i}") for i, n in enumerate(cut_names)]
+    rest = rows.filter(crossed).select(*cuts.columns, F.col("_hash").alias("_run"), *inside)
+    own = [f"_in{i}" for i in range(len(cut_names))]
+    if cuts.key is not None:
+        # Rows of one key are a group of their own, in the order of a hash of the whole row.
+        again = Cuts(rest, [*cuts.group, "_run", *own], None, cuts.seed, cuts.bucket_rows)
+        first = len(cuts.group) + 1
+        bounds = again.sizes.select("_group", *[F.least("_size", f"_group.g{first + i}").alias(n) for i, n in enumerate(cut_names)])
+        return whole.unionByName(_place_by_cuts(again, small(bounds), cut_names, names, column).drop("_run", *own))
+    folded = rest.groupBy(*cuts.columns, *own).agg(F.count(F.lit(1)).alias("_weight"))
+    bounds = [F.lit(0).cast("long"), *[F.least("_weight", c) for c in own], F.col("_weight")]
+    shares = F.array(*[F.struct(F.lit(name).alias("part"), (bounds[i + 1] - bounds[i]).alias("weight")) for i, name in enumerate(names)])
+    unfolded = folded.withColumn("_share", F.explode(F.filter(shares, lambda s: s["weight"] > 0))).select(
+        *cuts.columns, F.col("_share.part").alias(column), F.col("_share.weight").alias("_weight"))
+    return whole.unionByName(repeat_rows(unfolded, "_weight"))
 
 
 def stratified_split(df: DataFrame, class_column: str = "class", test: float = 0.2, val: float = 0.0,
@@ -257,8 +286,8 @@ def stratified_split(df: DataFrame, class_column: str = "class", test: float = 0
     As in a two-step split, the test part is cut off first and the validation part is taken
     from the remaining rows, each part rounded up to whole rows.
     """
-    spread = Ranked(df, [class_column], key, seed, bucket_rows)
-    first = _train_sizes(spread.sizes.select("_group", "_size"), test)
+    cut = Cuts(df, [class_column], key, seed, bucket_rows)
+    first = _train_sizes(cut.sizes.select("_group", "_size"), test)
     if val > 0:
         rest = first.select("_group", F.col("_take").alias("_size"))
         second = _train_sizes(rest, val / (1 - test)).select("_group", F.col("_take").alias("_cut0"))
@@ -267,7 +296,7 @@ def stratified_split(df: DataFrame, class_column: str = "class", test: float = 0
     else:
         cuts = first.select("_group", "_size", F.col("_take").alias("_cut0"))
         cut_names, names = ["_cut0"], ["train", "test"]
-    return _place_by_cuts(spread, small(cuts), cut_names, names, column)
+    return _place_by_cuts(cut, small(cuts), cut_names, names, column)
 
 
 def hashed_split(df: DataFrame, key: Sequence[str], test: float = 0.2, val: float = 0.0, seed: int = 42,
@@ -283,7 +312,7 @@ def stratified_folds(df: DataFrame, folds: int = 5, class_column: str = "class",
                      key: Sequence[str] | None = None, seed: int = 42, column: str = "fold",
                      bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Add a fold number; fold sizes differ by at most one, overall and within a class."""
-    spread = Ranked(df, [class_column], key, seed, bucket_rows, fold=True)
+    spread = Ranked(df, [class_column], key, seed, bucket_rows)
     before = (Window.partitionBy(F.lit(0)).orderBy("_group")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = spread.sizes.select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_class_start"))

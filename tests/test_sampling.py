@@ -115,3 +115,33 @@ def test_rows_that_share_a_key_have_one_order(spark):
     df = spark.range(400).select((F.col("id") % 4).alias("key"), "id")
     draws = [rows(sampling.cap_rows(df.repartition(n), 130, (), ["key"])) for n in (1, 7)]
     assert draws[0] == draws[1] and len(draws[0]) == 130
+
+
+def test_cut_among_rows_of_one_key(spark):
+    """Every cut falls among rows that share a key: sizes stay exact, the draw does not depend on partitions."""
+    df = spark.range(900).select((F.col("id") % 3).alias("key"), "id", F.lit("normal").alias("class"))
+    draws = [sampling.stratified_split(df.repartition(n), "class", 0.2, 0.1, ["key"], bucket_rows=b) for n, b in ((1, 10**6), (7, 10))]
+    assert Counter(r["split"] for r in draws[0].collect()) == {"train": 630, "val": 90, "test": 180}
+    assert rows(draws[0]) == rows(draws[1])
+    assert draws[0].columns == ["key", "id", "class", "split"]
+    assert rows(sampling.cap_rows(df, 450, ["class"], ["key"], bucket_rows=10)) == rows(sampling.cap_rows(df.repartition(5), 450, ["class"], ["key"]))
+
+
+def test_copies_across_both_cuts(spark):
+    df = spark.range(1000).select(F.lit(7).alias("v"), F.when(F.col("id") < 600, "normal").otherwise(None).alias("class"))
+    split = sampling.stratified_split(df, "class", 0.2, 0.1)
+    assert Counter((r["class"], r["split"]) for r in split.collect()) == {
+        ("normal", "train"): 420, ("normal", "val"): 60, ("normal", "test"): 120, (None, "train"): 280, (None, "val"): 40, (None, "test"): 80}
+
+
+def test_no_rows_to_sample(flows):
+    none = flows.limit(0)
+    assert sampling.cap_rows(none, 5, ["class"], ["id"]).count() == 0
+    assert sampling.stratified_split(none, "class", 0.2, 0.1, ["id"]).count() == 0
+    assert sampling.cap_rows(flows, 0, ["class"], ["id"]).count() == 0
+
+
+def test_whole_rows_are_chosen_by_a_filter(flows):
+    """Past the cuts the table is read once more and not shuffled."""
+    plan = sampling.cap_rows(flows, 300, ["class"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
