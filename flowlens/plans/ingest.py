@@ -30,12 +30,12 @@ class Build:
     source_labels: list[str]
     status: DataFrame
 
-def build_ids2025(spark: SparkSession, root: str, file_cap: int | None = None,
-                  total_cap: int | None = None, seed: int = 42) -> Build:
-    """All rows of all labelled files, unless the caller sets caps."""
+def build_ids2025(spark: SparkSession, root: str, file_cap: int | None = None, total_cap: int | None = None, seed: int = 42,
+                  schema: str | None = None, bad_rows: str = "keep") -> Build:
+    """All rows of all labelled files, unless the caller sets caps; ``bad_rows`` as in ``units.merge_units``."""
     merged = units.merge_units(spark, root, labels.LABEL_CANDIDATES["ids2025"], fallback="last",
-                               normal_tokens=labels.IDS2025_TOKENS, keep_unit=True)
-    kept = merged.table
+                               normal_tokens=labels.IDS2025_TOKENS, schema=schema, keep_unit=True)
+    kept = _fit_rows(merged.table, bad_rows)
     if file_cap is not None:
         kept = sampling.cap_rows(kept, file_cap, group=[units.UNIT], seed=seed)
     if total_cap is not None:
@@ -43,12 +43,12 @@ def build_ids2025(spark: SparkSession, root: str, file_cap: int | None = None,
     return _built(merged, kept)
 
 
-def build_luflow(spark: SparkSession, root: str, file_rows: int | None = None,
-                 total_cap: int | None = None, seed: int = 42) -> Build:
+def build_luflow(spark: SparkSession, root: str, file_rows: int | None = None, total_cap: int | None = None, seed: int = 42,
+                 bad_rows: str = "keep") -> Build:
     """All rows of all files; with ``file_rows`` a class-balanced sample of each larger file. A file is its whole path."""
     merged = units.merge_units(spark, root, labels.LABEL_CANDIDATES["luflow"], passthrough=True,
                                drop=harmonise.LUFLOW_IDENTIFIERS, keep_unit=True)
-    kept = merged.table
+    kept = _fit_rows(merged.table, bad_rows)
     if file_rows is not None:
         kept = sampling.balanced_quota(kept, "class", [units.UNIT], file_rows, seed=seed)
     if total_cap is not None:
@@ -56,13 +56,21 @@ def build_luflow(spark: SparkSession, root: str, file_rows: int | None = None,
     return _built(merged, kept)
 
 
+def _fit_rows(table: DataFrame, bad_rows: str) -> DataFrame:
+    """All rows, or those that fit their header and schema; both are counted in the status."""
+    if bad_rows not in units.BAD_ROWS[:2]:
+        raise ValueError(f"a build keeps or drops malformed rows, not {bad_rows}")
+    return table.filter(~F.col(units.MALFORMED)) if bad_rows == "drop" else table
+
+
 def _built(merged: units.Merged, kept: DataFrame) -> Build:
-    """The table without its unit column; rows of each unit before and after sampling."""
-    read = merged.table.groupBy(F.col(units.UNIT).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    """The table without its unit column; rows of each unit before and after sampling, and malformed ones among the first."""
+    read = merged.table.groupBy(F.col(units.UNIT).alias("path")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(units.MALFORMED)).alias("malformed"))
     left = kept.groupBy(F.col(units.UNIT).alias("path")).agg(F.count(F.lit(1)).alias("kept"))
-    status = (merged.status.join(read, "path", "left").join(left, "path", "left")
-              .select("path", "status", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("kept", F.lit(0)).alias("kept")))
-    return Build(harmonise.class_last(kept.drop(units.UNIT)), merged.source_labels, status)
+    counted = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "malformed", "kept")]
+    status = merged.status.join(read, "path", "left").join(left, "path", "left").select("path", "status", *counted)
+    return Build(harmonise.class_last(kept.drop(units.UNIT, units.MALFORMED)), merged.source_labels, status)
 
 
 def build_kitsune(spark: SparkSession, root: str, scenario_cap: int | None = None,
@@ -111,21 +119,23 @@ def build_kitsune(spark: SparkSession, root: str, scenario_cap: int | None = Non
 
 def build_nfuq(spark: SparkSession, path: str, share: float = NFUQ_SHARE, chunk: int = NFUQ_CHUNK,
                total_cap: int | None = None, seed: int = 42) -> Build:
-    """The rounded share of every chunk of one large file, until ``total_cap`` (if given) is reached.
+    """The rounded share of every chunk of one large CSV, until ``total_cap`` (if given) is reached.
 
-    Rows are counted per file block first; with a cap, blocks that begin beyond the last chunk that can be
-    kept are not read again.
+    The rows of a folder are those of its files in path order. They are counted per file block; from then on every reading knows
+    its positions, and nothing is copied. ``status`` has the rows read and kept of every chunk.
     """
     scan = files.load_csv(spark, path)
     last_row = None if total_cap is None else chunk * (math.ceil(total_cap / max(1, round(share * chunk))) + 1)
-    rows = harmonise.strip_headers(positions.csv_rows(scan, last_row))
+    rows = harmonise.strip_headers(positions.csv_rows(scan, last_row, whole=True))
     label = labels.detect_label([c for c in rows.columns], labels.LABEL_CANDIDATES["nfuq"])
     rows = rows.withColumn("_chunk", F.floor(F.col(positions.ROW) / chunk)).drop(
         positions.FILE, *harmonise.NFUQ_IDENTIFIERS)
     kept = sampling.fraction_per_unit(rows, share, ["_chunk"], [positions.ROW], seed)
     if total_cap is not None:
         kept = sampling.cap_total(kept, total_cap, "_chunk")
+    sizes = [part.groupBy(F.col("_chunk").alias("chunk")).agg(F.count(F.lit(1)).alias(name)) for part, name in ((rows, "rows"), (kept, "kept"))]
+    status = sizes[0].join(sizes[1], "chunk", "left").select(
+        F.lit(path).alias("path"), "chunk", F.lit("ok").alias("status"), "rows", F.coalesce("kept", F.lit(0)).alias("kept"))
     kept = kept.drop("_chunk", positions.ROW)
     mapped = kept.withColumn("class", labels.class_of(text.col(label), kept.schema[label].dataType, labels.NFUQ_TOKENS))
-    status = spark.createDataFrame([(path, "ok")], "path string, status string")
     return Build(harmonise.class_last(mapped), [label], status)

@@ -19,10 +19,15 @@ def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     """CSV with a header row; a byte order mark is dropped, infinities are numbers.
 
     Give a schema for large inputs: without one Spark reads ``sampling`` of the file first
-    to infer the types. ``bad_rows`` says what happens to malformed rows (with
-    ``corrupt_column`` in the schema they are kept there), ``skip_unreadable`` passes over
+    to infer the types. ``bad_rows`` says what happens to malformed rows; ``corrupt_column`` is
+    added to the schema, if it is not in it, and holds their text. ``skip_unreadable`` passes over
     files that cannot be read.
     """
+    if corrupt_column and schema is None:
+        schema = load_csv(spark, path, recursive=recursive, skip_unreadable=skip_unreadable, sampling=sampling).schema
+    if corrupt_column:
+        given = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = given if corrupt_column in given.names else T.StructType([*given.fields, T.StructField(corrupt_column, T.StringType())])
     reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
               .option("positiveInf", "inf").option("negativeInf", "-inf")
               .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)

@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions import labels, text
@@ -19,6 +19,10 @@ from flowlens.session import stage
 from flowlens.sources import files
 
 UNIT = "_unit"
+# True for rows that do not fit their file's header or schema.
+MALFORMED = "_malformed"
+_CORRUPT = "_corrupt_record"
+BAD_ROWS = ("keep", "drop", "fail")
 
 
 @dataclass
@@ -32,28 +36,42 @@ class UnitGroup:
 
 @dataclass
 class Merged:
-    """Rows of all usable units, where their classes come from, and the status of every unit."""
+    """Rows of all usable units, where their classes come from, the status of every unit, and rows read and malformed ones.
+
+    ``counts``, if asked for, is filled by the first action that reads the whole table, such as writing it.
+    """
 
     table: DataFrame
     source_labels: list[str]
     status: DataFrame
+    counts: Observation | None = None
 
 
 HEADER_STEP = 65536
+# A header does not go on for longer; a quote that is never closed would otherwise take in the whole file.
+HEADER_BYTES = 1 << 22
+
+
+class NoHeader(ValueError):
+    """The first record does not end within ``HEADER_BYTES``."""
 # Names by which Spark and pyarrow call one store.
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def _first_record(stream) -> str:
-    """The text up to the first line end outside quotes, read step by step, however long it is."""
+    """The text up to the first line end outside quotes, read step by step."""
     raw, at, quotes = b"", 0, 0
     while piece := stream.read(HEADER_STEP):
         raw += piece
+        if len(raw) > HEADER_BYTES and raw.find(b"\n", at) < 0:
+            raise NoHeader(f"no end of the first record within {HEADER_BYTES} bytes")
         while (end := raw.find(b"\n", at)) >= 0:
             quotes += raw.count(b'"', at, end)
             at = end + 1
             if quotes % 2 == 0:
                 return raw[:end].decode("utf-8-sig", "replace").rstrip("\r")
+            if at > HEADER_BYTES:
+                raise NoHeader(f"a quote is open after {HEADER_BYTES} bytes of the first record")
     return raw.decode("utf-8-sig", "replace").rstrip("\r")
 
 
@@ -74,7 +92,7 @@ def read_header(path: str) -> tuple[list[str], str | None]:
     try:
         with system.open_input_stream(inner) as stream:
             record = _first_record(stream)
-    except OSError as problem:
+    except (OSError, NoHeader) as problem:
         return [], str(problem)
     return (next(csv.reader(io.StringIO(record), skipinitialspace=True), []) if record.strip() else []), None
 
@@ -128,7 +146,8 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
                 fallback: str = "error", normal_tokens: Sequence[str] = labels.IDS2025_TOKENS,
                 passthrough: bool = False, drop: Sequence[str] = (), schema=None,
                 unit_cap: int | None = None, total_cap: int | None = None,
-                seed: int = 42, keep_unit: bool = False) -> Merged:
+                seed: int = 42, keep_unit: bool = False, bad_rows: str = "keep",
+                count_rows: bool = False) -> Merged:
     """One table from all labelled units, with ``source_file`` and ``class`` last.
 
     The source labels stay in the table; ``source_labels`` names them for exclusion. ``status`` has a row for
@@ -136,14 +155,23 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
 
     ``unit_cap`` bounds the rows per file and ``total_cap`` stops before the first file that
     starts at or above it; both are features of the sample build, off by default. ``keep_unit`` leaves the
-    path of each row in ``_unit``.
+    path of each row in ``_unit``, and whether it is malformed in ``_malformed``.
+
+    A malformed row has more or fewer values than its header, or one that is not of its column's type. It is kept with what
+    could be read (``keep``), left out (``drop``) or ends the job (``fail``). Telling them apart parses every column, so
+    ``counts`` is there only with ``count_rows``.
     """
+    if bad_rows not in BAD_ROWS:
+        raise ValueError(f"bad_rows is one of {BAD_ROWS}")
     status = stage(label_status(unit_headers(spark, root), candidates, fallback), "units")
     parts, names = [], set()
     for group in group_units(status):
-        raw = files.load_csv(spark, group.paths, schema)
-        raw = files.with_source(raw, "source_file").select("*", F.col("_metadata.file_path").alias(UNIT))
-        raw = harmonise.strip_headers(raw).drop(*drop)
+        raw = files.load_csv(spark, group.paths, schema, corrupt_column=_CORRUPT)
+        # Only parsed columns can be found malformed. This test reads all of them and is always true, so that a row
+        # is judged alike whichever columns a caller wants.
+        parsed = F.xxhash64(*[text.col(c) for c in raw.columns if c != _CORRUPT]).bitwiseOR(F.lit(1)) != 0
+        raw = files.with_source(raw, "source_file").select("*", F.col("_metadata.file_path").alias(UNIT), (F.col(_CORRUPT).isNotNull() & parsed).alias(MALFORMED))
+        raw = harmonise.strip_headers(raw.drop(_CORRUPT)).drop(*drop)
         kept = _kept_name(group.label)
         names.add(kept)
         raw = raw.withColumnRenamed(group.label, kept)
@@ -152,13 +180,22 @@ def merge_units(spark: SparkSession, root: str, candidates: Sequence[str], *,
         parts.append(raw.withColumn("class", mapped))
     if not parts:
         raise ValueError(f"no labelled CSV file below {root}")
-    merged = harmonise.union_by_name(*parts)
+    merged, counts = harmonise.union_by_name(*parts), Observation() if count_rows else None
+    if counts:
+        merged = merged.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(MALFORMED)).alias("malformed"))
+    if bad_rows == "drop":
+        merged = merged.filter(~F.col(MALFORMED))
+    if bad_rows == "fail":
+        merged = merged.withColumn(MALFORMED, F.when(F.col(MALFORMED), F.raise_error(F.concat(F.lit("malformed row in "), F.col(UNIT)))).otherwise(F.lit(False)))
     if unit_cap is not None:
         merged = sampling.cap_rows(merged, unit_cap, group=[UNIT], seed=seed)
     if total_cap is not None:
         merged = sampling.cap_total(merged, total_cap, unit=UNIT)
-    table = harmonise.class_last(merged if keep_unit else merged.drop(UNIT))
-    return Merged(table, sorted(names), status.select("path", "label_column", "status"))
+    if bad_rows == "fail":
+        # The check is part of every row's class, so that no choice of columns passes it by.
+        merged = merged.withColumn("class", F.when(~F.col(MALFORMED), F.col("class")))
+    table = harmonise.class_last(merged if keep_unit else merged.drop(UNIT, MALFORMED))
+    return Merged(table, sorted(names), status.select("path", "label_column", "status"), counts)
 
 
 def unit_report(merged: DataFrame, unit: str = "source_file") -> DataFrame:

@@ -288,6 +288,27 @@ UNIT_ROWS = """SELECT 'scenario=' || substr(o_orderpriority, 1, 1) AS folder, 'o
 UNION ALL SELECT 'scenario=none', 'no label', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
 
 
+def unit_malformed(spark, sf):
+    """Rows, malformed rows and kept rows per folder, where amounts that are no numbers were planted; and what the reading itself has observed."""
+    root = scratch_path(spark, "planted")
+    amount = F.when(F.col("o_orderkey") % 97 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    b.table(spark, sf, "orders").select("o_orderkey", amount.alias("o_totalprice"), F.col("o_orderstatus").alias("Label"),
+                                        F.substring("o_orderpriority", 1, 1).alias("scenario")).write.partitionBy("scenario").option("header", True).csv(root)
+    schema = "o_orderkey long, o_totalprice double, Label string"
+    built = ingest.build_ids2025(spark, root, schema=schema, bad_rows="drop")
+    merged = units.merge_units(spark, root, labels.LABEL_CANDIDATES["ids2025"], schema=schema, count_rows=True)
+    merged.table.write.format("noop").mode("overwrite").save()
+    seen = merged.counts.get
+    return built.status.groupBy(text.parent_name(F.col("path")).alias("folder"), "status").agg(
+        F.sum("rows").alias("rows"), F.sum("malformed").alias("malformed"), F.sum("kept").alias("kept")).withColumns(
+        {"observed_rows": F.lit(seen["rows"]).cast("long"), "observed_malformed": F.lit(seen["malformed"]).cast("long")})
+
+
+UNIT_MALFORMED = """WITH planted AS (SELECT 'scenario=' || substr(o_orderpriority, 1, 1) AS folder, o_orderkey % 97 = 0 AS bad FROM orders),
+folders AS (SELECT folder, count(*) AS rows, count(*) FILTER (bad) AS malformed, count(*) FILTER (NOT bad) AS kept FROM planted GROUP BY folder)
+SELECT folder, 'ok' AS status, rows, malformed, kept, CAST(sum(rows) OVER () AS BIGINT) AS observed_rows, CAST(sum(malformed) OVER () AS BIGINT) AS observed_malformed FROM folders"""
+
+
 def pair_many_files(spark, sf):
     """Two tables of several files zipped by position: as many rows as the shorter table, none twice."""
     paths = [scratch_path(spark, "paired") for _ in range(2)]
@@ -582,7 +603,7 @@ FROM events GROUP BY event_type"""
 NAMES = ("label_to_class_string", "label_to_class_numeric", "label_to_class_passthrough", "label_to_class_boolean", "fuse_sources", "fuse_sources_capped",
          "class_distribution", "class_distribution_all", "encode_fused", "fused_feature_names", "value_counts", "value_counts_with_null",
          "distinct_counts", "low_cardinality_columns", "table_shape", "distinct_labels", "csv_scan", "csv_inferred", "csv_merged_units",
-         "unit_status", "unit_rows", "pair_many_files", "file_manifest", "pair_features_labels", "unpaired_features", "cap_per_source", "cap_total", "balanced_quota",
+         "unit_status", "unit_rows", "unit_malformed", "pair_many_files", "file_manifest", "pair_features_labels", "unpaired_features", "cap_per_source", "cap_total", "balanced_quota",
          "fraction_sample", "fraction_per_day", "cv_subsample", "split_70_10_20", "split_80_20", "split_unkeyed", "hashed_split",
          "stratified_folds", "sanitise_clip", "infinities_to_null", "finite_rows", "quality_counts", "dummies", "impute_scale",
          "column_modes", "class_weights", "label_codes")

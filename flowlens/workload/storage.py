@@ -42,13 +42,16 @@ HEAD_SCAN = """SELECT least(500, (SELECT count(*) FROM lineitem)) AS rows,
 
 
 def chunk_sample(spark, sf):
-    """A tenth of every 5,000-row chunk of the line items as one CSV."""
+    """A tenth of every 5,000-row chunk of the line items as CSV files that follow each other: rows and kept rows per chunk, and the rows of the table."""
     path = scratch_path(spark, "items-csv")
-    b.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", F.col("l_returnflag").alias("Label")).coalesce(1).write.option("header", True).csv(path)
-    return ingest.build_nfuq(spark, path, 0.1, 5000).table.agg(F.count(F.lit(1)).alias("rows"))
+    b.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", F.col("l_returnflag").alias("Label")).repartition(4).write.option("header", True).csv(path)
+    built = ingest.build_nfuq(spark, path, 0.1, 5000)
+    total = built.table.agg(F.count(F.lit(1))).scalar()
+    return built.status.select("chunk", "status", "rows", "kept", total.alias("table_rows"))
 
 
-CHUNK_SAMPLE = """SELECT CAST((n // 5000) * 500 + round_even((n % 5000) * 0.1, 0) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM lineitem)"""
+CHUNK_SAMPLE = """WITH chunks AS (SELECT c.chunk, least(5000, n - 5000 * c.chunk) AS rows FROM (SELECT count(*) AS n FROM lineitem), range(100000) c(chunk) WHERE 5000 * c.chunk < n)
+SELECT chunk, 'ok' AS status, rows, CAST(round_even(rows * 0.1, 0) AS BIGINT) AS kept, CAST(sum(round_even(rows * 0.1, 0)) OVER () AS BIGINT) AS table_rows FROM chunks"""
 
 
 def paired_files(spark, sf):

@@ -272,3 +272,69 @@ def test_headers_and_types(spark):
     assert harmonise.class_last(renamed.select("class", "a")).columns == ["a", "class"]
     with pytest.raises(ValueError):
         harmonise.require_column(df, "nothing")
+
+
+def test_malformed_rows_are_counted_per_unit(spark, tmp_path):
+    write(tmp_path / "in" / "a.csv", "f,g,label\n1,2,BENIGN\n3,4\n5,6,ddos,7\n8,9,BENIGN\n")
+    write(tmp_path / "in" / "b.csv", "f,g,label\n1,2,BENIGN\n")
+    write(tmp_path / "in" / "c.csv", "f,g,what\n1,2,3\n")
+    built = {how: ingest.build_luflow(spark, str(tmp_path / "in"), bad_rows=how) for how in ("keep", "drop")}
+    found = {how: sorted((r["path"].rsplit("/", 1)[1], r["status"], r["rows"], r["malformed"], r["kept"]) for r in b.status.collect()) for how, b in built.items()}
+    assert found["keep"] == [("a.csv", "ok", 4, 2, 4), ("b.csv", "ok", 1, 0, 1), ("c.csv", "no label", 0, 0, 0)]
+    assert found["drop"] == [("a.csv", "ok", 4, 2, 2), ("b.csv", "ok", 1, 0, 1), ("c.csv", "no label", 0, 0, 0)]
+    assert built["keep"].table.count() == 5 and built["drop"].table.count() == 3
+    assert built["drop"].table.columns == built["keep"].table.columns == ["f", "g", "label", "source_file", "class"]
+    with pytest.raises(ValueError):
+        ingest.build_luflow(spark, str(tmp_path / "in"), bad_rows="ignore")
+
+
+def test_reading_itself_counts_rows(spark, tmp_path):
+    write(tmp_path / "a.csv", "f,label\n1,BENIGN\nx,ddos\n3,ddos\n")
+    merged = {how: units.merge_units(spark, str(tmp_path), ["label"], schema="f int, label string", bad_rows=how, count_rows=how == "keep") for how in units.BAD_ROWS}
+    assert merged["drop"].table.count() == 2
+    assert sorted(r["f"] or 0 for r in merged["keep"].table.collect()) == [0, 1, 3]
+    assert merged["keep"].counts.get == {"rows": 3, "malformed": 1}
+    with pytest.raises(Exception, match="malformed row in"):
+        merged["fail"].table.collect()
+
+
+def test_an_open_quote_in_a_header_is_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(units, "HEADER_BYTES", 1000)
+    write(tmp_path / "open.csv", 'a,"b\n' + "1,2\n" * 100_000)
+    write(tmp_path / "long.csv", "x" * 5_000_000)
+    write(tmp_path / "wide.csv", ",".join(f"c{k}" for k in range(100)) + "\n1\n")
+    for name in ("open.csv", "long.csv"):
+        header, error = units.read_header(str(tmp_path / name))
+        assert header == [] and "first record" in error
+    assert len(units.read_header(str(tmp_path / "wide.csv"))[0]) == 100
+
+
+def test_ledger_gives_positions_without_a_copy(spark, tmp_path):
+    write(tmp_path / "one.csv", "v\n" + "".join(f"{k}\n" for k in range(5000)))
+    write(tmp_path / "two.csv", "v\n" + "".join(f"{5000 + k}\n" for k in range(70)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        scan = files.load_csv(spark, str(tmp_path), "v long")
+        known = positions.ledger(scan)
+        assert known.count() > 3
+        rows = positions.csv_rows(scan, whole=True, blocks=known)
+        assert rows.count() == 5070 and rows.filter("v <> row_idx").isEmpty()
+        each = positions.csv_rows(scan)
+        assert each.filter("row_idx <> CASE WHEN v < 5000 THEN v ELSE v - 5000 END").isEmpty()
+        cut = positions.csv_rows(scan, 100, whole=True, blocks=known)
+        assert 100 <= cut.count() < 5070 and cut.filter("v = 99").count() == 1
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        with pytest.raises(Exception, match="not a block of the ledger"):
+            positions.csv_rows(files.load_csv(spark, str(tmp_path), "v long"), blocks=known).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_chunks_report_rows_and_kept(spark, tmp_path):
+    write(tmp_path / "nf" / "one.csv", "f,Label\n" + "".join(f"{k},0\n" for k in range(450)))
+    write(tmp_path / "nf" / "two.csv", "f,Label\n" + "".join(f"{k},1\n" for k in range(450, 600)))
+    built = ingest.build_nfuq(spark, str(tmp_path / "nf"), 0.1, 200)
+    assert sorted((r["chunk"], r["rows"], r["kept"]) for r in built.status.collect()) == [(0, 200, 20), (1, 200, 20), (2, 200, 20)]
+    assert built.table.count() == 60
+    assert built.table.filter("f < 200").count() == 20
