@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +31,9 @@ END_ID = 1
 CELL_PIECES = 16_384
 # Words and their pieces kept per worker; both tables stay with a worker between tasks.
 KEPT = 150_000
+SHORT = 9
+# Marks that end a word and belong to no piece of letters.
+STOPS = ".,;:!?"
 
 
 class WordTokens:
@@ -47,41 +51,70 @@ class WordTokens:
         self.library = Tokenizer.from_file(file)
         with open(file) as text:
             parts = json.load(text)["pre_tokenizer"]["pretokenizers"]
-        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)")
-        self.split = regex.compile(next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split"))
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        pattern = next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split")
+        self.split = regex.compile(pattern)
+        # By such a pattern a run of letters is one piece and so is a run of marks, so most words need no search.
+        self.letters_are_one = r"[\p{L}]+" in pattern and r"[^\s\p{L}\p{N}]+" in pattern
+        # Letters whose lower case hangs on their neighbours, and blanks beyond ASCII.
+        self.odd = regex.compile(r"[Σİ\x1C-\x1F]|[^\S\x00-\x7F]")
         self.model = self.library.model
         self.bytes = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def of_word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if self.added.search(text) or not text.isascii() and (
-                "Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text) or any(c.isspace() for c in text)):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for piece in self.split.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                letters = piece.encode().decode("latin-1").translate(self.bytes)
-                ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-                if len(self.pieces) >= KEPT:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+    def by_library(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def is_plain(self, text: str) -> bool:
+        """Words of the text can go to the model by themselves."""
+        return not any(token in text for token in self.added) and (text.isascii() or not self.odd.search(text) and unicodedata.is_normalized("NFC", text))
+
+    def learn(self, words) -> None:
+        """Keep the ids of plain words."""
+        known, pieces, model, whole = self.words, self.pieces, self.model, self.letters_are_one
+        for word in words:
+            text = word.decode().lower()
+            core = text.rstrip(STOPS)
+            if not whole or not core.isalpha():
+                found = self.split.findall(text)
+            elif len(core) == len(text):
+                found = (text,)
+            else:
+                found = (core, text[len(core):])
+            total = b""
+            for piece in found:
+                ids = pieces.get(piece)
+                if ids is None:
+                    letters = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.bytes)
+                    ids = pieces[piece] = array("I", [t.id for t in model.tokenize(letters)]).tobytes()
+                total += ids
+            known[word] = total
 
     def of_text(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text."""
         words, known = text.split(), self.words
-        new = {w for w in words if w not in known}
-        if len(known) + len(new) > KEPT:
-            known.clear()
-            new = set(words)
-        for word in new:
-            known[word] = self.of_word(word)
-        return b"".join([known[w] for w in words])
+        new = set(words).difference(known)
+        if new:
+            if len(known) + len(new) > KEPT:
+                _thin(known)
+                new = set(words).difference(known)
+            if len(self.pieces) > KEPT:
+                _thin(self.pieces)
+            if not self.is_plain(text.decode()):
+                special = {word for word in new if not self.is_plain(word.decode())}
+                known.update((word, self.by_library(word.decode())) for word in special)
+                new -= special
+            self.learn(new)
+        return b"".join(map(known.__getitem__, words))
+
+
+def _thin(table: dict) -> None:
+    """Keep the short entries, which come again most; nothing, if they are too many."""
+    short = {k: v for k, v in table.items() if len(k) <= SHORT}
+    table.clear()
+    if len(short) <= KEPT // 2:
+        table.update(short)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -105,10 +138,11 @@ def _pieces(file: str, length: int, end: int):
         tail = np.array([end], "<u4").tobytes()
         for batch in parts:
             columns = [[], [], [], [], []]
-            for k, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):
-                text = text or ""
-                ids = own.of_text(text.encode())
-                if k == 0 and ids != np.array(own.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes():
+            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            for k, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts)):
+                text = text or b""
+                ids = own.of_text(text)
+                if k == 0 and ids != own.by_library(text.decode()):
                     raise ValueError(f"differs from the library: {text[:200]!r}")
                 ids += tail
                 for number, at in enumerate(range(0, len(ids), 4 * length)):
