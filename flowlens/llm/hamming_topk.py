@@ -8,7 +8,8 @@ differs in exactly ``r`` bits. After radius ``r`` in the first ``j`` segments ev
 most that. Fetched codes are verified inside the join, against the k-th distance known so far, and a
 code is reported only by the first segment and radius that reach it.
 
-Codes are 64 bits at most (more dimensions: the first 64 are refused, see ``codes``). Equal codes are one
+A code has as many bits as the vectors have dimensions, in 64-bit words; no segment crosses a word. Vectors of different
+lengths have no distance and are refused. Equal codes are one
 entry with its ``k`` least ids, which are all that a result can show: ties in distance go to the lesser
 id. A query finds itself too. Rows whose vector or id is null are neither searched nor found; repeated ids
 are entries each.
@@ -29,27 +30,53 @@ QUERY_STEP = 20
 
 
 def code(vector: Column, bits: int) -> Column:
-    """The signs of the first ``bits`` dimensions as one long."""
-    places = F.sequence(F.lit(0), F.lit(bits - 1))
-    signs = F.transform(places, lambda p: F.when(F.get(vector, p) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), p)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(signs, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    """The signs of the dimensions as an array of longs, 64 to a word."""
+    def word(start: int) -> Column:
+        places = F.sequence(F.lit(0), F.lit(min(64, bits - start) - 1))
+        signs = F.transform(places, lambda p: F.when(F.get(vector, p + F.lit(start)) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), p)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(signs, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    return F.array(*[word(start) for start in range(0, bits, 64)])
+
+
+def dimensions(vectors: DataFrame) -> int:
+    """The one length of the vectors, 0 if there are none."""
+    least, most = vectors.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} dimensions have no common codes")
+    return most or 0
 
 
 def segments(bits: int, rows: int) -> list[tuple[int, int]]:
     """Start and width of each segment: about as many bits as the logarithm of the table's size, as the method asks."""
-    m = min(bits, max(1, math.ceil(bits / math.log2(max(rows, 4)))))
-    base, more = divmod(bits, m)
-    out, at = [], 0
-    for j in range(m):
-        width = base + (j < more)
-        out.append((at, width))
-        at += width
-    return out
+    out = []
+    for start in range(0, bits, 64):
+        own = min(64, bits - start)
+        m = min(own, max(1, math.ceil(own / math.log2(max(rows, 4)))))
+        base, more = divmod(own, m)
+        at = start
+        for j in range(m):
+            width = base + (j < more)
+            out.append((at, width))
+            at += width
+    # The search ends with the radius of its first segment, so that has to be a widest one.
+    return sorted(out, key=lambda cut: -cut[1])
 
 
 def _segment(value: Column, start: int, width: int) -> Column:
-    mask = (1 << width) - 1
-    return F.shiftrightunsigned(value, start).bitwiseAND(F.lit(mask).cast("long"))
+    word = F.get(value, F.lit(start // 64))
+    part = F.shiftrightunsigned(word, start % 64)
+    return part if width == 64 else part.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+
+
+def _bits(*parts: Column) -> Column:
+    total = F.bit_count(parts[0])
+    for part in parts[1:]:
+        total = total + F.bit_count(part)
+    return total
+
+
+def _distance(left: Column, right: Column, bits: int) -> Column:
+    return _bits(*[F.get(left, F.lit(w)).bitwiseXOR(F.get(right, F.lit(w))) for w in range(-(-bits // 64))])
 
 
 def _flips(width: int, radius: int) -> list[int]:
@@ -58,20 +85,25 @@ def _flips(width: int, radius: int) -> list[int]:
 
 def _new_here(query: Column, other: Column, cuts, j: int, radius: int) -> Column:
     """No earlier step reached the pair: earlier segments differ in more bits, later ones in at least as many."""
-    differ = query.bitwiseXOR(other)
-    tests = [F.bit_count(_segment(differ, *cut)) > radius if i < j else F.bit_count(_segment(differ, *cut)) >= radius
-             for i, cut in enumerate(cuts) if i != j]
     out = F.lit(True)
-    for test in tests:
-        out = out & test
+    for i, cut in enumerate(cuts):
+        if i != j:
+            differ = F.bit_count(_segment(query, *cut).bitwiseXOR(_segment(other, *cut)))
+            out = out & (differ > radius if i < j else differ >= radius)
     return out
 
 
-def search(vectors: DataFrame, k: int = K, step: int = QUERY_STEP, bits: int = 64) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``distance``: the k nearest of all rows for every row whose id divides by ``step``."""
-    if not 1 <= bits <= 64:
-        raise ValueError("codes of 1 to 64 bits")
-    rows = vectors.filter("vec_id is not null and embedding is not null").select(
+def search(vectors: DataFrame, k: int = K, step: int = QUERY_STEP, bits: int | None = None) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id``, ``distance``: the k nearest of all rows for every row whose id divides by ``step``.
+
+    ``bits`` is the number of dimensions, if it is known; a pass over the vectors finds it and checks that it is one.
+    """
+    usable = vectors.filter("vec_id is not null and embedding is not null")
+    found_bits = dimensions(usable)
+    if bits is not None and found_bits not in (0, bits):
+        raise ValueError(f"vectors of {found_bits} dimensions, not {bits}")
+    bits = max(1, found_bits or bits or 1)
+    rows = usable.select(
         F.col("vec_id").cast("long").alias("vec_id"), code(F.col("embedding"), bits).alias("code"))
     rows = stage(rows, "codes")
     # The group limit before the shuffle keeps a code that a third of all rows share at k rows per task.
@@ -113,11 +145,12 @@ def _fetch(asked: DataFrame, entries: DataFrame, cuts, j: int, radius: int) -> D
     start, width = cuts[j]
     if radius > width:
         return asked.limit(0).select(F.col("code").alias("query"), F.lit(0).alias("distance"), F.lit(0).cast("long").alias("vec_id"))
+    bits = sum(width for _, width in cuts)
     flips = F.array(*[F.lit(f).cast("long") for f in _flips(width, radius)])
     probes = asked.select(F.col("code").alias("query"), "kth", F.explode(flips).alias("flip")).select(
         "query", "kth", _segment(F.col("query"), start, width).bitwiseXOR(F.col("flip")).alias("probe"))
     index = entries.select("code", "ids", _segment(F.col("code"), start, width).alias("slot"))
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
+    distance = _distance(F.col("query"), F.col("code"), bits)
     pairs = probes.join(index, (F.col("probe") == F.col("slot")) & (distance <= F.col("kth"))
                         & _new_here(F.col("query"), F.col("code"), cuts, j, radius))
     return pairs.select("query", distance.alias("distance"), F.explode("ids").alias("vec_id"))

@@ -101,8 +101,8 @@ def _sketches(size: int):
                 tokens.append(minhash_tokens(found) if len(found) else None)
                 bytes_.append(tokens[-1][::2] if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(tokens, pa.binary()), pa.array(bytes_, pa.binary())],
-                ["doc_id", "key", "n", "tokens", "sketch"])
+                [batch.column("row"), batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(tokens, pa.binary()), pa.array(bytes_, pa.binary())],
+                ["row", "doc_id", "key", "n", "tokens", "sketch"])
     return run
 
 
@@ -349,18 +349,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     """``doc_id``, ``class_id``, ``n_links``: one row per row of ``docs`` (``doc_id``, ``text``; more columns are ignored).
 
     ``class_id`` is the least ``doc_id`` of the documents connected by links, its own where there are none;
-    ``n_links`` counts the other documents whose similarity to this one reaches the threshold.
+    ``n_links`` counts the other documents whose similarity to this one reaches the threshold. Rows are documents of their own, whether
+    they repeat an id or have none.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stage(texts.mapInArrow(_sketches(size), "doc_id long, key binary, n long, tokens binary, sketch binary"), "sets")
-    grouped = sets.filter("n > 0").groupBy("key", "n", "tokens", "sketch").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _classes(stage(rows, "numbered"), threshold, size, recall, seed).select("doc_id", "class_id", "n_links")
+
+
+def _classes(texts: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL, seed: int = 3) -> DataFrame:
+    """``row``, ``doc_id``, ``class`` (null for a text without words), ``class_id``, ``n_links`` of a stored table ``row``, ``doc_id``, ``text``."""
+    sets = stage(texts.mapInArrow(_sketches(size), "row long, doc_id long, key binary, n long, tokens binary, sketch binary"), "sets")
+    grouped = sets.filter("n > 0").groupBy("key", "n", "tokens", "sketch").agg(
+        F.min("doc_id").alias("first_id"), F.min("row").alias("first_row"), F.count("*").alias("copies"))
     reps = stage(grouped.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     groups = components(_candidate_links(reps, runs_needed(recall), seed)).select(F.col("node").alias("rep"), F.col("component").alias("group"))
-    members = stage(groups.join(reps, "rep").select("rep", "group", "key", "n", "copies", "first_id"), "members")
+    members = stage(groups.join(reps, "rep").select("rep", "group", "key", "n", "copies", "first_row"), "members")
     totals = members.groupBy("group").agg(
         F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
+    # A representative is one row, so its text comes once, however many rows share its id or have none.
     placed = (members.join(totals, "group").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-              .join(texts.hint("merge"), F.col("first_id").eqNullSafe(F.col("doc_id"))))
+              .join(texts.select("row", "text").hint("merge"), F.col("first_row") == F.col("row")))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "group", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "rep", "key", "copies", "text")
     compared = stage(pairs.repartition("group", "first", "second").sortWithinPartitions("group", "first", "second")
@@ -368,23 +376,30 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     links = compared.groupBy("rep").agg(F.sum("links").alias("links"))
     linked = components(compared.select(F.col("rep").alias("a"), F.col("least").alias("b")))
     named = linked.join(reps.select(F.col("rep").alias("node"), "first_id"), "node")
-    classes = named.join(named.groupBy("component").agg(F.min("first_id").alias("class_id")), "component").select(F.col("node").alias("rep"), "class_id")
-    result = (reps.join(links, "rep", "left").join(classes, "rep", "left")
-              .select("key", F.coalesce("class_id", "first_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return (sets.select("doc_id", "key").join(result, "key", "left")
-            .select("doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    ids = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
+    classes = named.join(ids, "component").select(F.col("node").alias("rep"), "component", "class_id")
+    result = reps.join(links, "rep", "left").join(classes, "rep", "left").select(
+        "key", F.coalesce("component", "rep").alias("class"), F.coalesce("class_id", "first_id").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return (sets.select("row", "doc_id", "key").join(result, "key", "left")
+            .select("row", "doc_id", "class", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` without all but one document of each class: the least ``doc_id`` stays.
+    """The rows of ``docs`` without all but one row of each class: the least ``doc_id`` stays, a row without an id only if the class has no other.
 
-    Rows that repeat a ``doc_id`` are one document here and leave one row; rows without an id all stay.
+    Of rows with one id the first in the table stays, if they are near copies; rows of one id with different texts all stay. So do texts without words.
     """
-    classes = near_duplicates(docs, **how)
-    kept = classes.filter("doc_id = class_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return (docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.filter("doc_id is null")))
+    place = "_row"
+    while place in docs.columns:
+        place = "_" + place
+    numbered = stage(docs.withColumn(place, F.monotonically_increasing_id()), "numbered")
+    classes = _classes(numbered.select(F.col(place).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), **how)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    kept = classes.filter("class is not null").groupBy("class").agg(first).select(F.col("first.row").alias(place)).union(
+        classes.filter("class is null").select("row"))
+    return numbered.join(kept, place, "left_semi").drop(place)
 
 
 # A document without a link is its own class; the classes grow over the links until nothing changes.

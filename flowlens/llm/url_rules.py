@@ -7,7 +7,8 @@ one that is rarest among the urls' own tokens. A url's tokens fetch the rules fi
 those are run. A match blocks, a match of an exception rule allows; no match allows.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up to
-``?``, ``#`` or the end. A null url or one without ``://`` has neither; it fits no rule and is allowed.
+``?``, ``#`` or the end. A null url or one without ``://`` has neither and fits no host rule; the patterns judge it like any other (a null
+url is allowed).
 Equal urls are judged once; repeated rows and a null ``page_id`` keep their rows.
 """
 
@@ -36,9 +37,9 @@ class Pattern:
 
 # Advertising, gambling, adult, pharmacy and link-farm hosts, and tracking redirects.
 PATTERNS = (
-    Pattern("gambling-win", r"://([a-z0-9-]+\.)*casino-win\.", ("casino", "win")),
-    Pattern("gambling-bets", r"://([a-z0-9-]+\.)*free-bets\.", ("free", "bets")),
-    Pattern("pharmacy", r"://([a-z0-9-]+\.)*cheap-pills\.", ("cheap", "pills")),
+    Pattern("gambling-casino", r"://([a-z0-9-]+\.)*([a-z0-9]+-)*casino(-[a-z0-9]+)*\.", ("casino",)),
+    Pattern("gambling-bets", r"://([a-z0-9-]+\.)*([a-z0-9]+-)*bets(-[a-z0-9]+)*\.", ("bets",)),
+    Pattern("pharmacy", r"://([a-z0-9-]+\.)*([a-z0-9]+-)*pills(-[a-z0-9]+)*\.", ("pills",)),
     Pattern("adult", r"://([a-z0-9-]+\.)*adult-x\.", ("adult", "x")),
     Pattern("ads-track", r"://([a-z0-9-]+\.)*ads-track\.", ("ads", "track")),
     Pattern("link-farm", r"://([a-z0-9-]+\.)*spam-farm\.", ("spam", "farm")),
@@ -111,10 +112,13 @@ def judge(pages: DataFrame, rules=SITE_RULES, patterns=PATTERNS) -> DataFrame:
     rows = rows.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
     name, verdict = site_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", name).withColumn("ruled", verdict)
-    open_ = rows.filter("rule is null and host <> ''").select("url").distinct()
-    found = pattern_verdicts(open_, patterns).withColumnRenamed("url", "matched_url")
-    joined = rows.join(found, F.when(F.col("rule").isNull(), F.col("url")) == F.col("matched_url"), "left")
-    return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", "verdict", F.lit("allow")).alias("verdict"), "pattern")
+    # Rows that a rule decides go around the join; every other url is judged by the patterns, also one without a host.
+    undecided = rows.filter("rule is null")
+    found = pattern_verdicts(undecided.filter("url is not null").select("url").distinct(), patterns)
+    matched = undecided.join(found, "url", "left").select(
+        "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"), "pattern")
+    return rows.filter("rule is not null").select(
+        "page_id", "host", "path", "rule", F.col("ruled").alias("verdict"), F.lit(None).cast("string").alias("pattern")).unionByName(matched)
 
 
 def _oracle() -> str:
@@ -130,7 +134,7 @@ fitting AS (SELECT page_id, site || start AS rule, kind,
     row_number() OVER (PARTITION BY page_id ORDER BY length(site || start) DESC) AS place
     FROM split JOIN rules ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, start)),
 judged AS (SELECT s.*, f.rule, f.kind,
-    CASE WHEN f.rule IS NOT NULL OR s.host = '' THEN NULL ELSE (CASE {cases} END) END AS pattern
+    CASE WHEN f.rule IS NOT NULL THEN NULL ELSE (CASE {cases} END) END AS pattern
     FROM (SELECT *, translate(url, '{UPPER}', '{LOWER}') AS low FROM split) s LEFT JOIN fitting f ON s.page_id = f.page_id AND f.place = 1)
 SELECT page_id, host, path, rule,
     coalesce(kind, CASE WHEN pattern IS NULL OR pattern IN ({allowed}) THEN 'allow' ELSE 'block' END) AS verdict, pattern

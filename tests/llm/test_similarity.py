@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from fixtures import awkward, no_docs
+from pyspark.sql import functions as F
 
 from flowlens.llm import batches, hamming_topk, jaccard_join, licences
 from flowlens.llm.components import components
@@ -109,8 +110,27 @@ def test_keep_one_keeps_columns_and_one_row_a_class(spark):
     docs = awkward(spark)
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.select("doc_id").collect() if r.doc_id is not None]
-    assert sorted(ids) == sorted({c for i, c, _ in brute([(r.doc_id, r.text) for r in docs.collect()]) if i == c and i is not None})
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    # One row of each class; every text without words is a class of its own, with an id or without.
+    classes = {c for i, c, _ in brute([(r.doc_id, r.text) for r in docs.collect()]) if i == c and i is not None}
+    assert sorted(ids, key=repr) == sorted([*classes, None], key=repr)
+
+
+def test_keep_one_looks_at_rows_not_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (3, a + " x"), (None, c), (None, "alone in the world of words"), (1, a), (None, None)]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit(0)))
+    assert kept.columns == ["doc_id", "text", "_row"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, a), (1, b), (2, c), (None, "alone in the world of words"), (None, None)], key=repr)
+
+
+def test_very_many_rows_without_an_id(spark):
+    base = " ".join(f"w{k}" for k in range(40))
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit(base), F.lit(" "), (F.col("id") % 50).cast("string")).alias("text"))
+    found_rows = jaccard_join.near_duplicates(docs)
+    assert found_rows.groupBy("class_id", "n_links").count().collect() == [(None, 3999, 4000)]
+    assert jaccard_join.keep_one(docs).count() == 1
 
 
 def test_runs_reach_the_recall():
@@ -155,6 +175,27 @@ def test_topk_of_awkward_rows(spark):
     assert hamming_topk.search(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dims", [8, 72, 128])
+def test_topk_of_any_number_of_dimensions(spark, dims):
+    draw = np.random.default_rng(4)
+    base = draw.normal(size=dims)
+    vectors = []
+    for k in range(200):
+        v = base.copy()
+        v[-8:] = draw.normal(size=8)
+        vectors.append((k, (v if k % 2 else draw.normal(size=dims)).tolist()))
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    codes = {k: sum(1 << b for b, x in enumerate(v) if x > 0) for k, v in vectors}
+    wanted = [(q, rank + 1, k, d) for q in codes if q % 20 == 0
+              for rank, (d, k) in enumerate(sorted(((codes[q] ^ c).bit_count(), k) for k, c in codes.items())[:10])]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.distance) for r in hamming_topk.search(frame).collect()) == sorted(wanted)
+
+
+def test_topk_refuses_mixed_lengths(spark):
+    with pytest.raises(ValueError):
+        hamming_topk.search(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>"))
+
+
 def test_licences_of_awkward_rows(spark):
     rows = awkward(spark).select("doc_id", "text").collect()
     notice = "Notes.\nReleased under the MIT license!\nmore words follow here"

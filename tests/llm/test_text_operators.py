@@ -162,7 +162,7 @@ def test_url_rules_of_awkward_rows(spark):
     assert (1, "www.example.net", "example.net/en/", "allow", None) in got
     assert (3, "a.b.example.com", "example.com/de/", "block", None) in got
     assert (8, "notexample.net", "net/", "block", None) in got
-    assert (9, "casino-win.example.com", None, "block", "gambling-win") in got
+    assert (9, "casino-win.example.com", None, "block", "gambling-casino") in got
     assert (10, "ok.example.com", None, "allow", None) in got
     assert (11, "x.example.com", None, "block", "banner-path") in got
     assert (12, "archive.example.com", None, "allow", "spam-archive") in got or (12, "archive.example.com", None, "allow", None) in got
@@ -171,8 +171,18 @@ def test_url_rules_of_awkward_rows(spark):
     assert url_rules.judge(pages).count() == len(URLS) and url_rules.judge(pages.limit(0)).count() == 0
 
 
+NO_HOST = [(20, "file:///banner/x.gif"), (21, "x://?affiliate=1"), (22, "/banner/a.png"), (23, "www.example.com/page?affiliate_id=2"), (24, "plain words"),
+           (25, "http://mega-casino.example.com/"), (26, "http://a.best-pills.co.uk/x"), (27, "http://casinoroyale.example.com/"), (28, "http://alphabets.example.com/")]
+
+
+def test_url_patterns_judge_urls_without_a_host(spark):
+    got = {r.page_id: (r.verdict, r.pattern) for r in url_rules.judge(spark.createDataFrame(NO_HOST, "page_id long, url string")).collect()}
+    assert got == {20: ("block", "banner-path"), 21: ("block", "affiliate"), 22: ("block", "banner-path"), 23: ("block", "affiliate"), 24: ("allow", None),
+                   25: ("block", "gambling-casino"), 26: ("block", "pharmacy"), 27: ("allow", None), 28: ("allow", None)}
+
+
 def test_url_rules_equal_sql_on_awkward_rows(spark):
-    pages = spark.createDataFrame([u for u in URLS if u[0] not in (None, 1)], "page_id long, url string")
+    pages = spark.createDataFrame([u for u in URLS + NO_HOST if u[0] not in (None, 1)], "page_id long, url string")
     connection = duckdb.connect()
     connection.register("pages", pages.toPandas())
     cursor = connection.execute(url_rules.ORACLE)
