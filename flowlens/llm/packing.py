@@ -31,7 +31,7 @@ END_ID = 1
 CELL_PIECES = 16_384
 # Words and their pieces kept per worker; both tables stay with a worker between tasks.
 KEPT = 150_000
-SHORT = 9
+KEPT_PIECES = 300_000
 # Marks that end a word and belong to no piece of letters.
 STOPS = ".,;:!?"
 
@@ -97,10 +97,10 @@ class WordTokens:
         new = set(words).difference(known)
         if new:
             if len(known) + len(new) > KEPT:
-                _thin(known)
-                new = set(words).difference(known)
-            if len(self.pieces) > KEPT:
-                _thin(self.pieces)
+                known.clear()
+                new = set(words)
+            if len(self.pieces) > KEPT_PIECES:
+                self.pieces.clear()
             if not self.is_plain(text.decode()):
                 special = {word for word in new if not self.is_plain(word.decode())}
                 known.update((word, self.by_library(word.decode())) for word in special)
@@ -109,14 +109,6 @@ class WordTokens:
         return b"".join(map(known.__getitem__, words))
 
 
-def _thin(table: dict) -> None:
-    """Keep the short entries, which come again most; nothing, if they are too many."""
-    short = {k: v for k, v in table.items() if len(k) <= SHORT}
-    table.clear()
-    if len(short) <= KEPT // 2:
-        table.update(short)
-
-
 def _byte_letters() -> dict[int, str]:
     """The printable letter that byte-level vocabularies write for each byte."""
     kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
