@@ -94,11 +94,10 @@ def status_logs(changes: DataFrame) -> DataFrame:
 def store(analysis: Analysis, root: str) -> None:
     """Add the rows of a batch to the service tables; storing a batch again changes nothing.
 
-    Identifiers derive from batch and item, so rows whose id is there already are left out. A run that was cut off between
-    two tables is made whole by the next one.
+    Identifiers derive from batch and item, so rows whose id is there already are left out. The three tables show the batch
+    together: a run that is cut off leaves nothing to be seen, and the next one stores the whole batch.
     """
-    for name, rows in (("analyses", analysis.analyses), ("alerts", analysis.alerts), ("logs", analysis.logs)):
-        service_tables.append_new(rows, root, name)
+    service_tables.store_together({"analyses": analysis.analyses, "alerts": analysis.alerts, "logs": analysis.logs}, root)
 
 
 def analyse_and_store(scored: DataFrame, limit: Column | float, root: str,

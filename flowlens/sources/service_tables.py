@@ -2,10 +2,15 @@
 
 Parquet has no update in place. Changes are appended as events, and the current state is the
 latest event per key, which aggregates map-side and so survives a hot key.
+
+Rows lie in a folder per month of their creation. Storing a batch looks for known ids in the months of its own rows alone, so its cost
+does not grow with the history. Rows written under a commit become visible when its name is added to the table of
+commits, in all tables at once; what a cut-off run has written is never seen, and ``compact`` removes it.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +19,7 @@ from pyspark.sql import types as T
 
 from flowlens.functions import numeric, text
 from flowlens.functions.scores import DEFAULT_THRESHOLD
+from flowlens.session import small, small_rows, stage
 
 # Table shapes, states and default settings.
 ALERTS = (
@@ -37,8 +43,34 @@ DEFAULT_SETTINGS = {
 }
 
 
+COMMITS = "commits"
+MOST_MONTHS = 4000
+# How rows are filed: by month of creation, under the commit that makes them visible (none: at once).
+FILED = "commit string, month date"
+
+
+def _filed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(f"{TABLES[name]}, {FILED}").parquet(f"{root}/{name}")
+
+
+def _visible(rows: DataFrame, root: str) -> DataFrame:
+    """Rows without a commit and rows of finished ones."""
+    spark = rows.sparkSession
+    commit(spark, root, None)
+    # One row per stored batch.
+    finished = small(spark.read.schema("commit string").parquet(f"{root}/{COMMITS}").filter("commit is not null").distinct())
+    return rows.filter("commit is null").unionByName(rows.join(finished, "commit", "left_semi").select(rows.columns))
+
+
+def commit(spark: SparkSession, root: str, name: str | None) -> None:
+    """Make the rows of a commit visible; without a name only the table of commits is there afterwards."""
+    rows = [(name,)] if name else []
+    spark.createDataFrame(rows, "commit string").coalesce(1).write.mode("append").parquet(f"{root}/{COMMITS}")
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+    """The visible rows of a service table."""
+    return _visible(_filed(spark, root, name), root).select(T.StructType.fromDDL(TABLES[name]).names)
 
 
 def read_database_table(spark: SparkSession, url: str, name: str, properties: dict[str, str],
@@ -48,23 +80,62 @@ def read_database_table(spark: SparkSession, url: str, name: str, properties: di
                            upperBound=newest.isoformat(" "), numPartitions=parts, properties=properties)
 
 
-def append_table(df: DataFrame, root: str, name: str) -> None:
+def _month() -> Column:
+    return F.to_date(F.date_trunc("month", "created_at"))
+
+
+def append_table(df: DataFrame, root: str, name: str, under: str | None = None) -> None:
+    """Add rows, to be seen at once or when the commit ``under`` is finished."""
     schema = T.StructType.fromDDL(TABLES[name])
-    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.mode(
-        "append").parquet(f"{root}/{name}")
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], F.lit(under).cast("string").alias("commit"))
+    # Few files a month, however many tasks the rows come from; Spark splits a hot month.
+    filed = typed.withColumn("month", _month()).hint("rebalance", "month")
+    filed.write.partitionBy("month").mode("append").parquet(f"{root}/{name}")
+
 
+def append_new(df: DataFrame, root: str, name: str, key: str = "id", under: str | None = None) -> None:
+    """Append the rows whose key the table does not hold yet.
 
-def append_new(df: DataFrame, root: str, name: str, key: str = "id") -> None:
-    """Append the rows whose key the table does not hold yet."""
+    A row that is stored again has the creation time it had, so only the months of ``df`` are searched.
+    """
     spark = df.sparkSession
-    spark.createDataFrame([], TABLES[name]).write.mode("append").parquet(f"{root}/{name}")
-    there = read_table(spark, root, name).select(key)
-    append_table(df.join(there, key, "left_anti"), root, name)
+    spark.createDataFrame([], f"{TABLES[name]}, {FILED}").write.mode("append").partitionBy("month").parquet(f"{root}/{name}")
+    # One row for each month that the batch touches; as constants they keep the other folders from being read.
+    table, months = small_rows(df.select(_month().alias("month")).distinct(), MOST_MONTHS)
+    near = _filed(spark, root, name)
+    if months is None:
+        near = near.join(table, near["month"].eqNullSafe(table["month"]), "left_semi")
+    else:
+        undated = F.col("month").isNull() if any(r["month"] is None for r in months) else F.lit(False)
+        near = near.filter(F.col("month").isin([r["month"] for r in months if r["month"]]) | undated)
+    append_table(df.join(_visible(near, root).select(key), key, "left_anti"), root, name, under)
+
+
+def store_together(rows: dict[str, DataFrame], root: str) -> str:
+    """Add the new rows of several tables under one commit: all of them are seen afterwards, or none."""
+    name = uuid.uuid4().hex
+    for table, found in rows.items():
+        append_new(found, root, table, under=name)
+    commit(next(iter(rows.values())).sparkSession, root, name)
+    return name
+
+
+def compact(spark: SparkSession, root: str, name: str, months: list[str], files: int = 1) -> None:
+    """Rewrite the visible rows of some months (each by its first day) into ``files`` files each; rows of unfinished commits go.
+
+    No writer may be at work on these months.
+    """
+    wanted = [datetime.fromisoformat(month).date() for month in months]
+    rows = stage(_visible(_filed(spark, root, name).filter(F.col("month").isin(wanted)), root), "compacted")
+    schema = T.StructType.fromDDL(TABLES[name])
+    settled = rows.select(*schema.names, F.lit(None).cast("string").alias("commit"), "month")
+    spread = settled.repartition(files * max(1, len(months)), "month", F.pmod(F.xxhash64("id"), F.lit(files)))
+    spread.write.partitionBy("month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{name}")
 
 
 def clear_table(spark: SparkSession, root: str, name: str) -> None:
     """Empty a service table."""
-    spark.createDataFrame([], TABLES[name]).write.mode("overwrite").parquet(f"{root}/{name}")
+    spark.createDataFrame([], f"{TABLES[name]}, {FILED}").write.mode("overwrite").partitionBy("month").parquet(f"{root}/{name}")
 
 
 def current_status(alerts: DataFrame, changes: DataFrame, deleted: DataFrame | None = None) -> DataFrame:

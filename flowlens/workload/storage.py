@@ -199,6 +199,25 @@ STORED_TWICE = f"""WITH {EFFECTIVE}, counts AS (SELECT count(*) AS n, count(*) F
 SELECT 'analyses' AS name, n AS rows, n AS ids FROM counts UNION ALL SELECT 'alerts', a, a FROM counts UNION ALL SELECT 'logs', n + a + d, n + a + d FROM counts"""
 
 
+def stored_after_cut(spark, sf):
+    """A batch whose first run was cut off between two tables, stored by a second run, then compacted: what is seen each time."""
+    root = scratch_path(spark, "service")
+    found = todays_analysis(spark, sf)
+    service_tables.append_new(found.analyses, root, "analyses", under="cut-off")
+    cut = service_tables.read_table(spark, root, "analyses").count()
+    analysis.store(found, root)
+    stored = service_tables.read_table(spark, root, "analyses").count()
+    months = [str(r["month"]) for r in found.analyses.select(F.to_date(F.date_trunc("month", "created_at")).alias("month")).distinct().collect()]
+    service_tables.compact(spark, root, "analyses", months)
+    rows = service_tables.read_table(spark, root, "analyses")
+    return rows.groupBy("predicted_label").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.round(F.sum("anomaly_score"), 4).alias("score")).withColumns(
+        {"seen_after_cut": F.lit(cut).cast("long"), "seen_after_store": F.lit(stored).cast("long")})
+
+
+STORED_AFTER_CUT = f"""WITH {EFFECTIVE} SELECT predicted_label, count(*) AS rows, count(*) AS ids, round(sum(anomaly_score), 4) AS score, CAST(0 AS BIGINT) AS seen_after_cut,
+       (SELECT count(*) FROM results) AS seen_after_store FROM results GROUP BY predicted_label"""
+
+
 def cleared_table(spark, sf):
     """A service table written, then emptied."""
     root = scratch_path(spark, "cleared")
@@ -234,7 +253,7 @@ SELECT round(least({HIGH}, greatest({LOW}, t)), 6) AS anomaly_threshold, false A
 FROM picked"""
 
 NAMES = ("bom_scan", "head_scan", "chunk_sample", "paired_files", "calibration_file", "upload_count", "zero_filled", "features_without_target",
-         "merged_sink", "prediction_sink", "metrics_sink", "metrics_document_with_nulls", "roc_points_ovr", "stored_twice", "cleared_table",
+         "merged_sink", "prediction_sink", "metrics_sink", "metrics_document_with_nulls", "roc_points_ovr", "stored_twice", "stored_after_cut", "cleared_table",
          "calibrated_settings")
 QUERIES = {name: globals()[name] for name in NAMES}
 ORACLES = {name: globals()[name.upper()] for name in NAMES}

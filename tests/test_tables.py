@@ -112,3 +112,48 @@ def test_top_and_chart(spark):
     assert [p["point"] for p in points] == list(range(1, 21)) and points[0]["score"] == 10.0
     assert [r["id"] for r in dashboard.top_anomalies(df, 2).collect()] == [29, 28]
     assert dashboard.recent_label_split(df).first()["normal"] == 30
+
+
+def alert_log(spark, rows):
+    from datetime import datetime
+    return spark.createDataFrame([(i, datetime(2026, month, 9), "status", "m", None, datetime(2026, month, 9)) for i, month in rows], service_tables.LOGS)
+
+
+def ids(spark, root):
+    return sorted(r["id"] for r in service_tables.read_table(spark, root, "logs").collect())
+
+
+def test_an_unfinished_commit_is_never_seen(spark, tmp_path):
+    root = str(tmp_path)
+    service_tables.append_table(alert_log(spark, [("a", 1)]), root, "logs")
+    service_tables.append_new(alert_log(spark, [("a", 1), ("b", 1), ("c", 2)]), root, "logs", under="one")
+    assert ids(spark, root) == ["a"]
+    service_tables.append_new(alert_log(spark, [("b", 1), ("c", 2)]), root, "logs", under="two")
+    service_tables.commit(spark, root, "two")
+    assert ids(spark, root) == ["a", "b", "c"]
+    service_tables.compact(spark, root, "logs", ["2026-01-01"])
+    assert ids(spark, root) == ["a", "b", "c"]
+    left = service_tables._filed(spark, root, "logs").groupBy("month").count().orderBy("month").collect()
+    assert [r["count"] for r in left] == [2, 2]
+    service_tables.commit(spark, root, "one")
+    assert ids(spark, root) == ["a", "b", "c", "c"]
+
+
+def test_storing_reads_the_months_of_the_batch_alone(spark, tmp_path):
+    root = str(tmp_path)
+    service_tables.append_table(alert_log(spark, [(f"{month}", month) for month in range(1, 13)]), root, "logs")
+    # Files of other months are spoilt: whoever reads them fails.
+    for month in range(1, 13):
+        if month != 5:
+            for part in (tmp_path / "logs" / f"month=2026-{month:02d}-01").glob("*.parquet"):
+                part.write_bytes(b"spoilt")
+    service_tables.append_new(alert_log(spark, [("5", 5), ("new", 5)]), root, "logs")
+    rows = spark.read.parquet(f"{root}/logs/month=2026-05-01").collect()
+    assert sorted(r["id"] for r in rows) == ["5", "new"]
+
+
+def test_rows_without_a_time_are_stored_once(spark, tmp_path):
+    row = spark.createDataFrame([("1", None, "status", "m", None, None)], service_tables.LOGS)
+    for _ in range(2):
+        service_tables.append_new(row, str(tmp_path), "logs")
+    assert ids(spark, str(tmp_path)) == ["1"]
