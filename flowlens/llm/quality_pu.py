@@ -35,11 +35,26 @@ def prior_bound(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1
     return float(np.clip((above_u / above_p)[np.argmin(bound)], 0.01, 0.99))
 
 
+def risk_slopes(z: np.ndarray, positive: np.ndarray, per_row: np.ndarray, prior: float) -> np.ndarray:
+    """Slope of the non-negative risk at every row's margin; ``per_row`` makes the weights of each kind add to one.
+
+    Where the unlabelled rows' part without the positives among them falls below zero, only that part is followed, upwards.
+    """
+    p = features.sigmoid(z)
+    as_negative = np.logaddexp(0, z)  # loss of calling a row negative
+    rest = (per_row * as_negative)[~positive].sum() - prior * (per_row * as_negative)[positive].sum()
+    up = np.where(positive, prior * per_row * (p - 1), 0)
+    down = per_row * p * np.where(positive, -prior, 1)
+    return up + down if rest >= 0 else -down
+
+
 def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[features.Linear, float] | None:
     """Model and class prior; labels are read outside the held-out fold only."""
-    known = features.labelled(labels, "quality")
-    trusted = known.filter((features.fold(F.col("doc_id"), FOLDS) != HELD_OUT) & (F.col("label") == 1)).select("doc_id")
-    free = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").join(known, "doc_id", "left_anti")
+    # Neither the labels of held-out rows nor which of them have one may be known here, so unlabelled rows are taken from the other folds too.
+    open_fold = features.fold(F.col("doc_id"), FOLDS) != HELD_OUT
+    known = features.labelled(labels, "quality").filter(open_fold)
+    trusted = known.filter("label = 1").select("doc_id")
+    free = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter(open_fold).join(known, "doc_id", "left_anti")
     picked = (features.first_by_hash(trusted, bound).select("doc_id", F.lit(1).alias("label"))
               .union(features.first_by_hash(free.distinct(), bound).select("doc_id", F.lit(0).alias("label"))))
     sample = features.Sample.gather(picked, docs)
@@ -58,15 +73,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[featur
     positive = sample.labels == 1
     per_row = 1 / np.bincount(sample.labels, minlength=2)[sample.labels]
 
-    def slopes(z: np.ndarray) -> np.ndarray:
-        p = features.sigmoid(z)
-        as_negative = np.logaddexp(0, z)  # loss of calling a row negative
-        rest = (per_row * as_negative)[~positive].sum() - prior * (per_row * as_negative)[positive].sum()
-        up = np.where(positive, prior * per_row * (p - 1), 0)
-        down = per_row * p * np.where(positive, -prior, 1)
-        return up + down if rest >= 0 else -down
-
-    weights, bias = features.descend(sample, slopes, steps=STEPS, decay=1e-4)
+    weights, bias = features.descend(sample, lambda z: risk_slopes(z, positive, per_row, prior), steps=STEPS, decay=1e-4)
     return features.Linear(weights.reshape(features.FAMILIES, -1).astype(np.float32), bias), prior
 
 
@@ -84,4 +91,4 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fitted = fit(docs, labels)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(_score(fitted[0] if fitted else None), "doc_id long, score double").select(
-        "doc_id", (features.fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(features.fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -71,6 +71,45 @@ def test_held_out_quality(spark, tables):
     assert good > 0.95 and bad < 0.3
 
 
+def plain_risk(z, positive, prior):
+    """Non-negative risk, row by row: its two parts."""
+    import math
+
+    loss = {k: [math.log1p(math.exp(-m)) if k else math.log1p(math.exp(m)) for m in z] for k in (0, 1)}
+    mean = lambda values: sum(values) / len(values)
+    first = prior * mean([x for x, own in zip(loss[1], positive) if own])
+    second = mean([x for x, own in zip(loss[0], positive) if not own]) - prior * mean([x for x, own in zip(loss[0], positive) if own])
+    return first, second
+
+
+def test_slopes_of_the_non_negative_risk():
+    draw = np.random.default_rng(7)
+    seen = set()
+    for shift in (-3.0, 0.0, 3.0):
+        positive = np.arange(30) < 12
+        z = draw.normal(size=30) + np.where(positive, -shift, shift)
+        for prior in (0.2, 0.9):
+            per_row = 1 / np.bincount(positive, minlength=2)[positive.astype(int)]
+            got = quality_pu.risk_slopes(z, positive, per_row, prior)
+            below = plain_risk(z, positive, prior)[1] < 0
+            seen.add(below)
+            for k in range(30):
+                step = np.zeros(30)
+                step[k] = 1e-6
+                (a1, a2), (b1, b2) = plain_risk(z + step, positive, prior), plain_risk(z - step, positive, prior)
+                wanted = -(a2 - b2) / 2e-6 if below else (a1 + a2 - b1 - b2) / 2e-6
+                assert abs(got[k] - wanted) < 1e-6
+    assert seen == {True, False}
+
+
+def test_presence_of_held_out_labels_is_not_used(spark, tables):
+    docs, labels = tables
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    fewer = labels.filter(fold != 1)
+    one, two = ({(r.doc_id, r.score) for r in quality_pu.scores(docs, given).collect()} for given in (labels, fewer))
+    assert one == two
+
+
 def test_held_out_toxicity(spark, tables):
     docs, labels = tables
     truth = {r.doc_id: r.toxic for r in labels.collect()}
