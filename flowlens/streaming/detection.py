@@ -15,6 +15,10 @@ from flowlens.operators import threshold
 from flowlens.plans import analysis
 
 
+# A batch reads the table of the one before it and writes its own; the third is for looking back.
+KEPT_EPOCHS = 3
+
+
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None = None,
                 files_per_batch: int | None = None) -> DataFrame:
     """New parquet files of a folder, or one file, as a stream.
@@ -86,22 +90,34 @@ def adaptive_stream(scored: DataFrame, path: str, checkpoint: str, at: str, key:
     """Judge each micro-batch by the smart threshold of the latest n scores before it.
 
     The latest n scores are carried from batch to batch as a small table, so the work of a
-    batch does not grow with the history. Every write replaces itself when repeated.
+    batch does not grow with the history. The tables of ``KEPT_EPOCHS`` batches are kept in turn, however many there are; one that
+    is not of the batch before ends the stream. Every write replaces itself when repeated.
     """
     schema = scored.schema
     kept = T.StructType([schema[key], schema[at], schema["anomaly_score"]])
+    marked = T.StructType([*kept.fields, T.StructField("epoch", T.LongType())])
+
+    def slot(epoch: int) -> str:
+        return f"{path}/recent/slot={epoch % KEPT_EPOCHS}"
+
+    def before(spark: SparkSession, epoch: int) -> DataFrame:
+        if not epoch:
+            return spark.createDataFrame([], kept)
+        found = spark.read.schema(marked).parquet(slot(epoch - 1))
+        if not found.filter(F.col("epoch") != epoch - 1).isEmpty():
+            raise ValueError(f"the scores before batch {epoch} are not there any more")
+        return found.select(kept.names)
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        recent = (spark.read.schema(kept).parquet(f"{path}/recent/epoch={epoch - 1}") if epoch
-                  else spark.createDataFrame([], kept))
+        recent = before(spark, epoch)
         limit = threshold.smart_threshold(recent, fallback=fallback).first()["threshold"]
         written = f"{path}/analyses/epoch={epoch}"
         judged = analysis.judge(batch, F.lit(limit)).withColumn("threshold", F.lit(limit))
         judged.write.mode("overwrite").parquet(written)
         # The latest scores are read from what was written, so the batch is scored once.
         latest = threshold.recent(recent.unionByName(spark.read.schema(kept).parquet(written)), n, at, key)
-        latest.coalesce(1).write.mode("overwrite").parquet(f"{path}/recent/epoch={epoch}")
+        latest.withColumn("epoch", F.lit(epoch).cast("long")).coalesce(1).write.mode("overwrite").parquet(slot(epoch))
 
     return (scored.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

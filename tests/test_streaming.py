@@ -74,3 +74,31 @@ def test_a_stream_that_writes_nothing_gives_no_rows(spark, sf, tmp_path):
     bindings.table(spark, sf, "events").limit(0).write.parquet(str(tmp_path / "events.parquet"))
     for query in (streams.stream_scores, streams.stream_alerts, streams.stream_adaptive):
         assert query(spark, str(tmp_path)).count() == 0
+
+
+def test_adaptive_state_stays_small_over_a_restart(spark, sf, tmp_path):
+    events = bindings.table(spark, sf, "events").filter("event_id < 400")
+    source = str(tmp_path / "in")
+
+    def add(first, last):
+        for part in range(first, last):
+            events.filter(F.col("event_id").between(50 * part, 50 * part + 49)).coalesce(1).write.mode("append").parquet(source)
+
+    def go():
+        flows = streams.scored(detection.file_stream(spark, source, events.schema, "*.parquet", 1))
+        detection.adaptive_stream(flows, str(tmp_path / "out"), str(tmp_path / "check"), "ts", "event_id", n=60).awaitTermination()
+
+    add(0, 5)
+    go()
+    add(5, 8)
+    go()
+    assert len(list((tmp_path / "out" / "recent").glob("slot=*"))) == detection.KEPT_EPOCHS
+    rows = spark.read.parquet(str(tmp_path / "out" / "analyses" / "epoch=*"))
+    assert rows.count() == 400
+    limits = {r["part"]: (r["low"], r["high"]) for r in rows.groupBy(F.floor(F.col("event_id") / 50).alias("part")).agg(
+        F.min("threshold").alias("low"), F.max("threshold").alias("high")).collect()}
+    scored = streams.scored(events)
+    for part in range(1, 8):
+        past = threshold.recent(scored.filter(F.col("event_id") < 50 * part), 60, "ts", "event_id")
+        expected = threshold.smart_threshold(past, fallback=0.45).first()["threshold"]
+        assert limits[part][0] == limits[part][1] and abs(limits[part][0] - expected) < 1e-12
