@@ -133,7 +133,12 @@ def settle_levels(df: DataFrame, columns: Sequence[str], wide: str = "fail", mos
     if wide == "hash":
         grouped = {c: F.when(text.col(c).isNotNull(), F.pmod(F.xxhash64(text.col(c)), F.lit(HASH_LEVELS)).cast("string")) for c in columns}
         return df.select(*[grouped[c].alias(c) if c in grouped else text.col(c) for c in df.columns]), list(columns)
-    over = [c for c in columns if df.select(text.col(c)).distinct().limit(most + 1).count() > most]
+    if not columns:
+        return df, []
+    # One pass sketches all columns; only those near the limit or above it are counted exactly, each by itself.
+    sketched = df.agg(*[F.approx_count_distinct(text.col(c), 0.02).alias(str(i)) for i, c in enumerate(columns)]).first()
+    near = [c for i, c in enumerate(columns) if sketched[i] > 0.8 * most]
+    over = [c for c in near if df.select(text.col(c)).distinct().limit(most + 1).count() > most]
     if over and wide != "drop":
         raise ValueError(f"columns {over} hold more than {most} categories; choose drop or hash")
     return df, [c for c in columns if c not in over]
