@@ -47,6 +47,20 @@ def alert_stream(judged: DataFrame, key: str, at: str) -> DataFrame:
         F.lit("New").alias("status"))
 
 
+def status_stream(alerts: DataFrame, changes: DataFrame, key: str = "id", time: str = "time", changed: str = "changed_at",
+                  horizon: str = "30 days", lateness: str = "1 hour") -> DataFrame:
+    """Status changes (``key``, ``status``, ``changed``, ``seq``) of alerts, as both arrive.
+
+    A change is joined to its alert if it is not earlier and at most ``horizon`` later; so each side waits for the other no longer than
+    that plus ``lateness``, and what is kept between batches does not grow with the history. ``service_tables.current_status`` turns
+    the alerts and these changes into the latest status.
+    """
+    known = alerts.select(F.col(key), F.col(time).cast("timestamp").alias("_time")).withWatermark("_time", lateness)
+    moved = changes.select(F.col(key).alias("_key"), "status", changed, "seq", F.col(changed).cast("timestamp").alias("_changed")).withWatermark("_changed", lateness)
+    near = (F.col("_changed") >= F.col("_time")) & (F.col("_changed") <= F.col("_time") + F.expr(f"INTERVAL {horizon}"))
+    return known.join(moved, (F.col(key) == F.col("_key")) & near).select(key, "status", changed, "seq")
+
+
 def window_stats(judged: DataFrame, at: str, length: str = "1 day", lateness: str = "1 hour") -> DataFrame:
     """Counts per closed event-time window; rows later than the watermark are dropped."""
     timed = judged.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", lateness)

@@ -102,3 +102,22 @@ def test_adaptive_state_stays_small_over_a_restart(spark, sf, tmp_path):
         past = threshold.recent(scored.filter(F.col("event_id") < 50 * part), 60, "ts", "event_id")
         expected = threshold.smart_threshold(past, fallback=0.45).first()["threshold"]
         assert limits[part][0] == limits[part][1] and abs(limits[part][0] - expected) < 1e-12
+
+
+def test_status_changes_of_later_batches_find_their_alerts(spark, sf, folder, tmp_path):
+    """Changes arrive a batch after their alerts; one comes too early, one beyond the horizon, one names no alert."""
+    events = bindings.table(spark, sf, "events")
+    late = streams.event_changes(events)
+    odd = [(f"event_id = {k} AND seq = 1", shift) for k, shift in ((1, "-1"), (2, "1000"))]
+    for low, high in ((2000, 2001), (0, 300), (300, 700), (700, 1000)):
+        part = late.filter(F.col("event_id").between(low, high - 1))
+        for where, hours in odd:
+            part = part.withColumn("changed_at", F.when(F.expr(where), F.col("changed_at") + F.expr(f"INTERVAL '{hours}' HOUR")).otherwise(F.col("changed_at")))
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "changes"))
+    alerts = detection.alert_stream(detection.score_stream(stream(spark, folder, sf), streams.scored, 0.0), "event_id", "ts")
+    changes = detection.file_stream(spark, str(tmp_path / "changes"), late.schema, files_per_batch=1)
+    joined = detection.status_stream(alerts, changes, "event_id", horizon="10 days", lateness="400 days")
+    detection.to_parquet(joined, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    found = spark.read.schema(joined.schema).parquet(str(tmp_path / "out"))
+    expected = {(r["event_id"], r["seq"]) for r in late.collect()} - {(1, 1), (2, 1)}
+    assert sorted((r["event_id"], r["seq"]) for r in found.collect()) == sorted(expected)
