@@ -45,6 +45,17 @@ SPLIT_MEMORY = 512
 DEEP = 10
 
 
+class PlainForest(RandomForestClassifier):
+    """Fits a model without its training summary.
+
+    The summary of a forest of two classes holds the session, and every task that predicts would have to ship it, which fails once the
+    session has a tag or an observation. A copy of the model has none.
+    """
+
+    def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
+        return super()._fit(dataset).copy()
+
+
 @dataclass
 class ForestSettings:
     """Spark grows trees to depth 30 at most; there is no minimum split size. ``maxBins`` bounds the cuts tried per feature."""
@@ -59,7 +70,7 @@ class ForestSettings:
     maxBins: int = 32
 
     def classifier(self, features: str = "features", label: str = "label") -> RandomForestClassifier:
-        learner = RandomForestClassifier(
+        learner = PlainForest(
             featuresCol=features, labelCol=label, predictionCol="encoded", probabilityCol="probability",
             rawPredictionCol="votes", numTrees=self.numTrees, maxDepth=self.maxDepth,
             minInstancesPerNode=self.minInstancesPerNode, featureSubsetStrategy=self.featureSubsetStrategy,

@@ -138,3 +138,19 @@ def test_fusion_hides_source_labels(spark):
     assert encoded.features == ["f", "g", "dataset_A", "dataset_B"]
     assert sorted(map(tuple, encoded.table.collect())) == [("anomaly", 1.0, 0.0, 1.0, 0.0), ("normal", 0.0, 2.5, 0.0, 1.0)]
     assert sampling.cap_rows(fused, 1).count() == 1
+
+
+def test_tagged_session_predicts(spark, table):
+    """A tag on the session, as a scheduler sets it, must not reach the tasks by way of the model."""
+    spark.addTag("night-run")
+    try:
+        trained = learning.fit(table, "class", FOREST, ["id"])
+        assert not learning._forest(trained).hasSummary
+        found = evaluation.evaluate(trained, table.drop("class"), predict_only=True).predictions
+        assert found.filter("prediction = 'anomaly'").count() == 180
+        assert learning.cross_validate(table, "class", 3, FOREST, key=["id"]).count() == 3
+        fused = fusion.encode_fused(table, keep=("class", "id"))
+        best, _ = learning.random_search(fused.table, fused.features, "class", 1, 2, {"numTrees": [3], "maxDepth": [4]}, ["id"])
+        assert learning.predict(best, fused.table).filter("predicted_label = 'anomaly'").count() == 180
+    finally:
+        spark.removeTag("night-run")
