@@ -242,14 +242,14 @@ def auc_of(trained: Trained, scored: DataFrame, target: str, positive: str = ANO
 
 
 def cross_validate(df: DataFrame, target: str = "class", folds: int = FOLDS, settings: ForestSettings | None = None,
-                   key: Sequence[str] | None = None, provenance: Sequence[str] = (), most_rows: int = CV_ROWS,
+                   key: Sequence[str] | None = None, provenance: Sequence[str] = (), most_rows: int | None = None,
                    positive: str = ANOMALY, parallelism: int = 4, seed: int = 42) -> DataFrame:
     """(fold, rows, auc) of a model fitted on the other folds, preprocessing included.
 
-    At most ``most_rows`` labelled rows take part, those first in hash order. ``parallelism`` folds are
-    submitted at a time, as in Spark's own cross validation.
+    All rows take part unless ``most_rows`` bounds them (``CV_ROWS`` is the usual bound) to those first in hash order. ``parallelism``
+    folds are submitted at a time, as in Spark's own cross validation.
     """
-    subset = sampling.cap_rows(df, most_rows, (), key, seed)
+    subset = sampling.cap_rows(df, most_rows, (), key, seed) if most_rows is not None else df
     folded = stage(sampling.stratified_folds(subset, folds, target, key, seed), "folds")
     hidden = [*provenance, *(key or ())]
     spark = df.sparkSession

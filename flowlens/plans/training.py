@@ -25,8 +25,8 @@ class Run(NamedTuple):
 
 def train(df: DataFrame, folder: str, target: str = "class", settings: learning.ForestSettings | None = None,
           key: Sequence[str] | None = None, provenance: Sequence[str] = (), folds: int = learning.FOLDS,
-          cv_rows: int = learning.CV_ROWS, test: float = 0.2, val: float = 0.1, seed: int = 42) -> Run:
-    """Split to files, cross-validate on training rows (at most ``cv_rows``), fit on all of them, report on validation rows.
+          cv_rows: int | None = None, test: float = 0.2, val: float = 0.1, seed: int = 42) -> Run:
+    """Split to files, cross-validate on training rows (all, or at most ``cv_rows``), fit on all of them, report on validation rows.
 
     ``folder`` gets ``splits``, ``model`` and ``metrics``. The document has ``cv_auc_mean``, ``cv_auc_std``, ``val_auc``,
     ``val_classification_report``, ``val_confusion_matrix`` and ``val_unlabelled``.

@@ -118,6 +118,14 @@ def test_cross_validation(table):
     assert sorted(r["fold"] for r in folds.collect()) == [0, 1, 2] and folds.filter("auc < 0.95").isEmpty()
 
 
+def test_cross_validation_takes_all_rows(spark):
+    rows = learning.CV_ROWS + 11
+    wide = spark.range(rows).select("id", (F.col("id") % 10).alias("v"), F.when(F.col("id") % 10 > 6, "anomaly").otherwise("normal").alias("class"))
+    few = learning.ForestSettings(numTrees=1, maxDepth=2)
+    assert sum(r["rows"] for r in learning.cross_validate(wide, "class", 2, few, key=["id"]).collect()) == rows
+    assert sum(r["rows"] for r in learning.cross_validate(wide, "class", 2, few, key=["id"], most_rows=100).collect()) == 100
+
+
 def test_random_search_keeps_the_best(table):
     space = {"numTrees": [3, 5], "maxDepth": [2, 4], "balanced": [True, False]}
     fused = fusion.encode_fused(table, keep=("class", "id"))
