@@ -10,6 +10,7 @@ commits, in all tables at once; what a cut-off run has written is never seen, an
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import datetime
 
@@ -45,6 +46,8 @@ DEFAULT_SETTINGS = {
 
 COMMITS = "commits"
 MOST_MONTHS = 4000
+# Rows of a compacted file: some tens of MB.
+FILE_ROWS = 200_000
 # How rows are filed: by month of creation, under the commit that makes them visible (none: at once).
 FILED = "commit string, month date"
 
@@ -120,16 +123,24 @@ def store_together(rows: dict[str, DataFrame], root: str) -> str:
     return name
 
 
-def compact(spark: SparkSession, root: str, name: str, months: list[str], files: int = 1) -> None:
-    """Rewrite the visible rows of some months (each by its first day) into ``files`` files each; rows of unfinished commits go.
+def compact(spark: SparkSession, root: str, name: str, months: list[str], file_rows: int = FILE_ROWS) -> None:
+    """Rewrite the visible rows of some months (each by its first day) into files of about ``file_rows`` rows; rows of unfinished commits go.
 
-    No writer may be at work on these months.
+    A month gets as many files as its rows need, each written by a task of its own, so no task grows with a month. No writer may be
+    at work on these months.
     """
     wanted = [datetime.fromisoformat(month).date() for month in months]
     rows = stage(_visible(_filed(spark, root, name).filter(F.col("month").isin(wanted)), root), "compacted")
     schema = T.StructType.fromDDL(TABLES[name])
     settled = rows.select(*schema.names, F.lit(None).cast("string").alias("commit"), "month")
-    spread = settled.repartition(files * max(1, len(months)), "month", F.pmod(F.xxhash64("id"), F.lit(files)))
+    # One row per month; its files are numbered after those of the months before it.
+    sizes = {r["month"]: r["count"] for r in rows.groupBy("month").count().collect()}
+    place, files = F.when(F.col("month").isNull(), 0), 0
+    for month, count in sizes.items():
+        own = math.ceil(count / file_rows)
+        place = place.when(F.col("month") == month, F.lit(files) + F.pmod(F.xxhash64("id"), F.lit(own)).cast("int"))
+        files += own
+    spread = settled.repartitionById(max(1, files), place)
     spread.write.partitionBy("month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{name}")
 
 

@@ -139,6 +139,16 @@ def test_an_unfinished_commit_is_never_seen(spark, tmp_path):
     assert ids(spark, root) == ["a", "b", "c", "c"]
 
 
+def test_compaction_spreads_a_large_month(spark, tmp_path):
+    root = str(tmp_path)
+    service_tables.append_table(alert_log(spark, [(f"{i}", 1) for i in range(400)] + [("x", 2)]), root, "logs")
+    service_tables.compact(spark, root, "logs", ["2026-01-01", "2026-02-01"], file_rows=100)
+    assert ids(spark, root) == sorted([f"{i}" for i in range(400)] + ["x"])
+    parts = {month: list((tmp_path / "logs" / f"month=2026-{month}-01").glob("*.parquet")) for month in ("01", "02")}
+    assert len(parts["01"]) == 4 and len(parts["02"]) == 1
+    assert max(spark.read.parquet(str(part)).count() for part in parts["01"]) < 150
+
+
 def test_storing_reads_the_months_of_the_batch_alone(spark, tmp_path):
     root = str(tmp_path)
     service_tables.append_table(alert_log(spark, [(f"{month}", month) for month in range(1, 13)]), root, "logs")
