@@ -14,7 +14,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.session import scratch_path, small, stage
+from flowlens.session import scratch_path, small, small_rows, stage
 
 NODES = ("tree int, node int, feature int, cut double, left int, right int, votes array<double>, weights array<double>, gain double, rows long")
 MOST_NODES = 500_000
@@ -88,6 +88,18 @@ def _predictions(classes: Sequence[str], sums: Column) -> list[Column]:
     return [F.get(names, F.array_position(sums, F.array_max(sums)).cast("int") - 1).alias("predicted_label"), F.map_from_arrays(names, shares).alias("raw_proba")]
 
 
+def deepest(nodes: DataFrame, depth: int) -> int:
+    """Steps from the root to the farthest leaf; ``depth``, which no tree exceeds, for forests too large to look at."""
+    _, splits = small_rows(nodes.filter("feature is not null").select("tree", "node", "left", "right"))
+    if splits is None:
+        return depth
+    below = {(r["tree"], r["node"]): [(r["tree"], r["left"]), (r["tree"], r["right"])] for r in splits}
+    level, steps = [at for at in below if at[1] == 0], 0
+    while level and steps < depth:
+        level, steps = [child for at in level for child in below[at] if child in below], steps + 1
+    return steps
+
+
 def score(nodes: DataFrame, rows: DataFrame, values: Column, classes: Sequence[str], depth: int, most_nodes: int = MOST_NODES) -> DataFrame:
     """``rows`` with ``predicted_label`` and ``raw_proba`` (class → probability).
 
@@ -96,7 +108,7 @@ def score(nodes: DataFrame, rows: DataFrame, values: Column, classes: Sequence[s
     """
     if nodes.limit(most_nodes + 1).count() > most_nodes:
         return _by_joins(nodes, rows, values, classes)
-    votes = _votes(F.col("_trees"), F.col("_values"), depth)
+    votes = _votes(F.col("_trees"), F.col("_values"), deepest(nodes, depth))
     sums = F.array(*[_sum_of(F.transform("_votes", _part(k))) for k in range(len(classes))])
     scored = rows.withColumn("_values", values).withColumn("_trees", _packed(nodes).scalar()).withColumn("_votes", votes).withColumn("_sums", sums)
     return scored.select(*[F.col(f"`{c}`") for c in rows.columns], *_predictions(classes, F.col("_sums")))

@@ -74,12 +74,19 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, tuple[Column, Callable[
 
 def _narrow(flat: DataFrame, searches: list[_Search]) -> None:
     margin = 3.0 / SKETCH_ACCURACY
+    # Searches of one span (both middles of a median) share a sketch.
+    spans: dict[tuple, list[int]] = {}
+    for i, s in enumerate(searches):
+        spans.setdefault((s.place, s.low, s.high), []).append(i)
     proposals = []
-    for s in searches:
-        share = (s.rank + 0.5) / s.rows
-        marks = F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin)))
-        proposals.append(F.percentile_approx(F.when(s.holds(s.value), s.value), marks, SKETCH_ACCURACY))
-    intervals = list(flat.agg(*[p.alias(f"p{i}") for i, p in enumerate(proposals)]).first())
+    for members in spans.values():
+        shares = [(searches[i].rank + 0.5) / searches[i].rows for i in members]
+        marks = F.array(*[F.lit(mark) for share in shares for mark in (max(0.0, share - margin), min(1.0, share + margin))])
+        first = searches[members[0]]
+        proposals.append(F.percentile_approx(F.when(first.holds(first.value), first.value), marks, SKETCH_ACCURACY))
+    found = list(flat.agg(*[p.alias(f"p{i}") for i, p in enumerate(proposals)]).first())
+    proposed = {i: marks[2 * k:2 * k + 2] for members, marks in zip(spans.values(), found) for k, i in enumerate(members)}
+    intervals = [proposed[i] for i in range(len(searches))]
     checks = []
     for s, (low, high) in zip(searches, intervals):
         held = s.holds(s.value)

@@ -114,13 +114,17 @@ def _labeller(target: str, classes: Mapping[str, float]) -> StringIndexerModel:
     return StringIndexerModel.from_labels(sorted(classes), inputCol=target, outputCol="label")
 
 
+def _weight_column(settings: ForestSettings) -> list[str]:
+    return ["_weight"] if settings.balanced else []
+
+
 def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None = None,
         provenance: Sequence[str] = (), wide: str = "fail") -> Trained:
     """Impute, scale, one-hot encode and fit a forest; ``provenance`` columns are no features.
 
     ``wide`` says what becomes of columns of very many categories (``encoding.settle_levels``); a model fitted with
     ``hash`` wants its rows hashed alike. Headers are normalised first. Fitting passes over ``train`` several times, so give it a
-    stored table.
+    stored table. The prepared features are stored once: the forest reads them for every level of its trees.
     """
     settings = settings or ForestSettings()
     train, target = harmonise.normalise_headers(train, target)
@@ -140,9 +144,11 @@ def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None
         blocks += hot
     weights = encoding.class_weights(known, target)
     labeller = _labeller(target, weights)
-    stages += [VectorAssembler(inputCols=blocks, outputCol="features"), settings.classifier()]
+    stages.append(VectorAssembler(inputCols=blocks, outputCol="features"))
     weighted = encoding.with_weight(known, target, weights) if settings.balanced else known
-    model = Pipeline(stages=stages).fit(labeller.transform(weighted))
+    prepared = Pipeline(stages=stages).fit(weighted)
+    rows = labeller.transform(prepared.transform(weighted)).select("features", "label", *_weight_column(settings))
+    model = PipelineModel([*prepared.stages, settings.classifier().fit(stage(rows, "prepared"))])
     names = list(fits)
     indexer = next((s for s in model.stages if isinstance(s, StringIndexerModel)), None)
     for name, values in zip(modes, indexer.labelsArray if indexer else []):
@@ -152,12 +158,12 @@ def fit(train: DataFrame, target: str = "class", settings: ForestSettings | None
 
 def fit_encoded(train: DataFrame, features: Sequence[str], target: str = "class",
                 settings: ForestSettings | None = None) -> Trained:
-    """Fit on columns that are encoded already; the model keeps their order."""
+    """Fit on columns that are encoded already; the model keeps their order. ``train`` is read once."""
     settings = settings or ForestSettings(balanced=False)
     known = train.filter(text.col(target).isNotNull())
-    weights = encoding.class_weights(known, target)
+    rows = stage(assembled(known, features, [target]), "prepared")
+    weights = encoding.class_weights(rows, target)
     labeller = _labeller(target, weights)
-    rows = assembled(known, features, [target])
     if settings.balanced:
         rows = encoding.with_weight(rows, target, weights)
     model = Pipeline(stages=[settings.classifier()]).fit(labeller.transform(rows))

@@ -90,3 +90,15 @@ def test_a_forest_of_one_leaf(spark):
     found = learning.predict_by_nodes(trained, learning.forest_nodes(trained), rows)
     assert {(r.predicted_label, round(r.anomaly_score, 9)) for r in found.collect()} == {("normal", 0.333333333)}
     assert found.filter("id < 0").isEmpty()
+
+
+def test_walks_end_at_the_farthest_leaf(spark):
+    """Settings allow deeper trees than the data gives; rows take no steps beyond the leaves."""
+    schema = "tree int, node int, feature int, cut double, left int, right int, votes array<double>"
+    nodes = spark.createDataFrame([(0, 0, 0, 1.0, 1, 2, None), (0, 1, None, None, None, None, [1.0, 0.0]), (0, 2, 0, 2.0, 3, 4, None),
+                                   (0, 3, None, None, None, None, [0.0, 1.0]), (0, 4, None, None, None, None, [1.0, 0.0]),
+                                   (1, 0, None, None, None, None, [0.5, 0.5])], schema)
+    assert forest.deepest(nodes, 30) == 2 and forest.deepest(nodes.filter("tree = 1"), 30) == 0 and forest.deepest(nodes, 1) == 1
+    rows = spark.createDataFrame([(0.5,), (1.5,), (2.5,)], "v double")
+    scored = forest.score(nodes, rows, F.array("v"), ["a", "b"], 30)
+    assert {r["v"]: r["predicted_label"] for r in scored.collect()} == {0.5: "a", 1.5: "b", 2.5: "a"}
