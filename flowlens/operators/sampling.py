@@ -17,6 +17,7 @@ the whole table is folded first.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -303,9 +304,16 @@ def hashed_split(df: DataFrame, key: Sequence[str], test: float = 0.2, val: floa
                  column: str = "split") -> DataFrame:
     """Split by hash alone: no shuffle, sizes only close to the shares."""
     digits = F.substring(order_hash(seed, _key_columns(df, key)), 1, HASH_DIGITS)
-    position = F.conv(digits, 16, 10).cast("double") / float(16 ** HASH_DIGITS)
-    return df.withColumn(column, F.when(position < 1 - test - val, "train")
-                         .when(position < 1 - test, "val").otherwise("test"))
+
+    def before(share: float) -> Column:
+        """Whether the digits as a fraction lie below ``share``, compared as text."""
+        cut = math.ceil(share * 16 ** HASH_DIGITS)
+        if not 0 < cut < 16 ** HASH_DIGITS:
+            return F.lit(cut > 0)
+        return digits < format(cut, f"0{HASH_DIGITS}x")
+
+    parts = F.when(before(1 - test - val), "train")
+    return df.withColumn(column, (parts.when(before(1 - test), "val") if val > 0 else parts).otherwise("test"))
 
 
 def stratified_folds(df: DataFrame, folds: int = 5, class_column: str = "class",

@@ -145,3 +145,14 @@ def test_whole_rows_are_chosen_by_a_filter(flows):
     """Past the cuts the table is read once more and not shuffled."""
     plan = sampling.cap_rows(flows, 300, ["class"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Aggregate" not in plan
+
+
+def test_hashed_split_compares_whole_digits(spark):
+    """Text and number order agree, at the ends as well."""
+    df = spark.range(3000)
+    position = F.conv(F.substring(sampling.order_hash(42, [F.col("id")]), 1, 8), 16, 10).cast("double") / 2.0 ** 32
+    for test, val in ((0.2, 0.0), (0.3, 0.1), (0.0, 0.0), (1.0, 0.0)):
+        wanted = F.when(position < 1 - test - val, "train").when(position < 1 - test, "val").otherwise("test")
+        assert sampling.hashed_split(df, ["id"], test, val).filter(F.col("split") != wanted).isEmpty()
+    plan = sampling.hashed_split(df, ["id"], 0.2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5") == 1
