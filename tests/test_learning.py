@@ -89,6 +89,38 @@ def test_evaluate_with_and_without_labels(trained, table):
     assert evaluation.evaluate(trained, bare, predict_only=True).document is None
 
 
+def counted_rows(spark, table):
+    """The table with one more feature, and how many of its rows were computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def noted(value):
+        seen.add(1)
+        return value
+
+    return table.withColumn("noted", noted(F.col("Flow Byts/s"))), seen
+
+
+def test_a_forest_on_encoded_columns_reads_its_rows_once(spark, table):
+    rows, seen = counted_rows(spark, table)
+    learning.fit_encoded(rows, ["noted"], "class", learning.ForestSettings(numTrees=3, maxDepth=4))
+    assert seen.value == 600
+
+
+def test_a_forest_prepares_its_rows_once(monkeypatch, table):
+    stored = []
+    monkeypatch.setattr(learning, "stage", lambda df, name: stored.append(df.columns) or df, raising=False)
+    fitted = learning.fit(table, "class", FOREST, ["id"])
+    assert stored == [["features", "label", "_weight"]] and fitted.features == ["Flow_Byts/s", "flag", "proto_tcp", "proto_udp"]
+
+
+def test_evaluation_scores_each_row_once(spark, table):
+    rows, seen = counted_rows(spark, table)
+    fitted = learning.fit_encoded(table.withColumn("noted", F.col("Flow Byts/s")), ["noted"], "class", learning.ForestSettings(numTrees=3, maxDepth=4))
+    assert evaluation.evaluate(fitted, rows.select("noted", "class")).document.first()["auc"] == 1.0
+    assert seen.value == 600
+
+
 def test_headers_are_normalised_before_scoring(spark, table):
     renamed = table.withColumnRenamed("Flow Byts/s", "Flow_Byts/s")
     trained = learning.fit(renamed, "class", FOREST, ["id"])
