@@ -191,6 +191,59 @@ def test_topk_of_any_number_of_dimensions(spark, dims):
     assert sorted((r.query_id, r.rank, r.vec_id, r.distance) for r in hamming_topk.search(frame).collect()) == sorted(wanted)
 
 
+def nearest_by_hand(codes, asked, k=10):
+    """Rows by code of the vectors, as whole numbers of any size."""
+    return sorted((q, rank + 1, i, d) for q in asked for rank, (d, i) in enumerate(sorted(((codes[q] ^ c).bit_count(), i) for i, c in codes.items())[:k]))
+
+
+def test_topk_broadcasts_nothing(spark, monkeypatch):
+    # Spark takes exploded probes for as small as the codes they come from; every table here is below its bound.
+    plans = []
+    plain = hamming_topk.stage
+    monkeypatch.setattr(hamming_topk, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, name))
+    draw = np.random.default_rng(6)
+    vectors = [(k, draw.normal(size=16).tolist()) for k in range(200)]
+    found = hamming_topk.search(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
+    codes = {k: sum(1 << b for b, x in enumerate(v) if x > 0) for k, v in vectors}
+    assert sorted((r.query_id, r.rank, r.vec_id, r.distance) for r in found.collect()) == nearest_by_hand(codes, [k for k in codes if k % 20 == 0])
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 3 and not [p for p in plans if "Broadcast" in p]
+
+
+def test_topk_in_many_shards_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(hamming_topk, "SHARD_ROWS", 150)
+    monkeypatch.setattr(hamming_topk, "LEAST_BLOCK", 8)
+    draw = np.random.default_rng(7)
+    vectors = [(7 * k - 300, draw.normal(size=64).tolist()) for k in range(1000)]
+    vectors += [(10_000 + k, vectors[3 * k][1]) for k in range(100)]
+    codes = {k: sum(1 << b for b, x in enumerate(v) if x > 0) for k, v in vectors}
+    assert hamming_topk._parts(len(codes), 55, 1, 8) == (8, 6)
+    got = hamming_topk.search(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
+    assert sorted((r.query_id, r.rank, r.vec_id, r.distance) for r in got.collect()) == nearest_by_hand(codes, [k for k in codes if k % 20 == 0])
+
+
+@pytest.mark.parametrize("scan_cost, held", [(0, 1 << 17), (3, 50), (10**9, 1 << 17), (10**9, 50)])
+@pytest.mark.parametrize("bits", [20, 64, 100])
+def test_topk_of_a_block(monkeypatch, bits, scan_cost, held):
+    """By comparison with all codes, by fetches, and by both; half of the codes share most segments."""
+    monkeypatch.setattr(hamming_topk, "PIECE", 256)
+    monkeypatch.setattr(hamming_topk, "HELD", held)
+    monkeypatch.setattr(hamming_topk, "SCAN_COST", scan_cost)
+    draw = np.random.default_rng(8)
+    words = -(-bits // 64)
+    top = np.array([(1 << min(64, bits - 64 * w)) - 1 for w in range(words)], np.uint64)
+    rows = draw.integers(0, 1 << 63, (600, words)).astype(np.uint64) * np.uint64(2) & top
+    rows[::2] = rows[0] ^ draw.integers(0, 64, (300, words)).astype(np.uint64)
+    ids = draw.permutation(600) - 100
+    block = hamming_topk.Block(np.ascontiguousarray(rows[:40].T), bits, 10)
+    for part in (slice(0, 7), slice(7, 400), slice(400, 600)):
+        block.meet(np.ascontiguousarray(rows[part].T), ids[part])
+    number = lambda row: sum(int(x) << 64 * w for w, x in enumerate(row))
+    for query, distance, found in zip(block.queries.T, block.distance, block.ids):
+        near = sorted(((number(query) ^ number(row)).bit_count(), int(i)) for row, i in zip(rows, ids))[:10]
+        assert list(zip(distance.tolist(), found.tolist())) == near
+
+
 def test_topk_refuses_mixed_lengths(spark):
     with pytest.raises(ValueError):
         hamming_topk.search(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>"))
