@@ -244,6 +244,20 @@ def test_topk_of_a_block(monkeypatch, bits, scan_cost, held):
         assert list(zip(distance.tolist(), found.tolist())) == near
 
 
+def test_topk_packs_rows_of_bounded_size(monkeypatch):
+    """A shard travels in many rows, and all of its codes arrive."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(hamming_topk, "PACKED_WORDS", 50)
+    batch = pa.RecordBatch.from_pydict({"code": [[k, -k] for k in range(40)], "vec_id": list(range(40)), "part": pa.array([k % 3 for k in range(40)], pa.int32())})
+    rows = [r for b in hamming_topk._packed(2)(iter([batch] * 9)) for r in b.to_pylist()]
+    assert len(rows) == 15 and max(len(r["ids"]) for r in rows) == 28 * 8
+    found = Counter((r["part"], *x) for r in rows for x in zip(np.frombuffer(r["codes"], np.int64).reshape(-1, 2).tolist(), np.frombuffer(r["ids"], np.int64).tolist()) for x in [(*x[0], x[1])])
+    assert found == Counter({(k % 3, k, -k, k): 9 for k in range(40)})
+    # 6 GB of vectors: shards stay bounded, and so do blocks.
+    assert hamming_topk._parts(15_400_000, 770_000, 1, 6) == (8, 18) and hamming_topk._parts(154_000_000, 7_700_000, 1, 6) == (74, 118)
+
+
 def test_topk_refuses_mixed_lengths(spark):
     with pytest.raises(ValueError):
         hamming_topk.search(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>"))
